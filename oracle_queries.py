@@ -202,6 +202,110 @@ FROM oee_daily
 GROUP BY machine_id, machine_name, production_line, machine_type, CAST(date_trunc('week', shift_date) AS DATE)""")
 
 
+# --- trend / health window / queue ------------------------------------------------------
+_S1, _S0 = as_int("s1", 4), as_int("s0", 4)
+cte("oee_trend", f"""
+SELECT machine_id, max_date, s1, n1, s0, n0,
+       CASE WHEN n1 = 0 THEN NULL ELSE {hu(_S1, 'n1', 4)} END AS last8,
+       CASE WHEN n0 = 0 THEN NULL ELSE {hu(_S0, 'n0', 4)} END AS prior8,
+       (n1 > 0 AND n0 > 0 AND {_S1} * n0 < {_S0} * n1 - 300 * n0 * n1) AS declining
+FROM (SELECT o.machine_id, d.max_date,
+             sum(CASE WHEN o.shift_date >= d.max_date - 7 THEN o.oee END) AS s1,
+             count(CASE WHEN o.shift_date >= d.max_date - 7 THEN o.oee END) AS n1,
+             sum(CASE WHEN o.shift_date >= d.max_date - 14 AND o.shift_date < d.max_date - 7 THEN o.oee END) AS s0,
+             count(CASE WHEN o.shift_date >= d.max_date - 14 AND o.shift_date < d.max_date - 7 THEN o.oee END) AS n0
+      FROM oee_daily o JOIN (SELECT machine_id, max(shift_date) AS max_date FROM oee_daily GROUP BY machine_id) d
+        ON o.machine_id = d.machine_id
+      GROUP BY o.machine_id, d.max_date)""")
+cte("trend_report", f"""
+SELECT machine_id, max_date,
+       CAST({units('last8', 8, 38)} AS DECIMAL(5,4)) AS oee_last_7d,
+       CAST({units('prior8', 8, 38)} AS DECIMAL(5,4)) AS oee_prior_7d,
+       CAST({units('last8 - prior8', 8, 38)} AS DECIMAL(6,4)) AS oee_trend_delta,
+       declining
+FROM oee_trend""")
+
+
+def _avg_units(col: str, s: int) -> str:
+    """integer count of 10^-(s+4) units of AVG(col) with Spark's half-up rounding"""
+    return f"CASE WHEN count({col}) = 0 THEN NULL ELSE {hu(as_int(f'sum({col})', s), f'count({col})', 4)} END"
+
+
+cte("recent_health", f"""
+SELECT machine_id, max(reading_date) AS reading_date, bool_or(anomaly_flag) AS anomaly_flag,
+       {_avg_units('avg_temp_c', 2)} AS at6, max(max_temp_c) AS max_temp_c,
+       {_avg_units('avg_vibration_mm_s', 3)} AS av7, max(max_vibration_mm_s) AS max_vibration_mm_s,
+       {_avg_units('avg_power_kw', 3)} AS ap7, max(max_power_kw) AS max_power_kw
+FROM machine_health WHERE reading_date >= (SELECT max(reading_date) FROM machine_health) - 7
+GROUP BY machine_id""")
+cte("latest_health", f"""
+SELECT machine_id, reading_date, anomaly_flag,
+       CAST({units('at6', 6, 38)} AS DECIMAL(6,2)) AS avg_temp_c, CAST(max_temp_c AS DECIMAL(6,2)) AS max_temp_c,
+       CAST({units('av7', 7, 38)} AS DECIMAL(7,3)) AS avg_vibration_mm_s,
+       CAST(max_vibration_mm_s AS DECIMAL(7,3)) AS max_vibration_mm_s
+FROM recent_health""")
+_RT = f"CASE WHEN at6 > 0 THEN {hu(f'abs({as_int('max_temp_c', 6)} - at6)', 'at6', 6)} ELSE 0 END"
+_RV = f"CASE WHEN av7 > 0 THEN {hu(f'abs({as_int('max_vibration_mm_s', 7)} - av7)', 'av7', 6)} ELSE 0 END"
+cte("at_risk", f"""
+SELECT h.machine_id, m.machine_name, m.machine_type, m.production_line, h.reading_date, h.anomaly_flag,
+       {units('h.at6', 6, 38)} AS avg_temp_c, h.max_temp_c,
+       {units('h.av7', 7, 38)} AS avg_vibration_mm_s, h.max_vibration_mm_s,
+       {units('h.ap7', 7, 38)} AS avg_power_kw, h.max_power_kw,
+       coalesce({units('t.last8', 8, 38)}, 0) AS oee_last_7d,
+       coalesce({units('t.prior8', 8, 38)}, 0) AS oee_prior_7d,
+       {units(f'greatest({_RT}, {_RV})', 6, 10)} AS anomaly_score
+FROM recent_health h JOIN stg_machines m ON h.machine_id = m.machine_id
+LEFT JOIN oee_trend t ON h.machine_id = t.machine_id
+WHERE h.anomaly_flag OR coalesce(t.declining, FALSE)""")
+cte("latest_rec", """
+SELECT * FROM recs_raw
+QUALIFY row_number() OVER (PARTITION BY machine_id ORDER BY generated_at DESC, rec_id DESC) = 1""")
+cte("maintenance_queue", """
+SELECT m.machine_id, m.machine_name, m.production_line, m.machine_type, h.reading_date, h.anomaly_flag,
+       h.avg_temp_c, h.max_temp_c, h.avg_vibration_mm_s, h.max_vibration_mm_s,
+       t.oee_last_7d, t.oee_prior_7d, t.oee_trend_delta,
+       r.anomaly_score, r.root_cause, r.recommended_action, r.estimated_hours_to_failure, r.confidence,
+       r.similar_pattern_ids, r.generated_at AS ai_generated_at,
+       CASE WHEN r.estimated_hours_to_failure <= 8 THEN 'CRITICAL'
+            WHEN r.estimated_hours_to_failure <= 24 THEN 'HIGH'
+            WHEN r.estimated_hours_to_failure <= 72 THEN 'MEDIUM'
+            ELSE 'LOW' END AS urgency_tier
+FROM stg_machines m
+JOIN latest_health h ON m.machine_id = h.machine_id
+JOIN trend_report t ON m.machine_id = t.machine_id
+LEFT JOIN latest_rec r ON m.machine_id = r.machine_id
+WHERE h.anomaly_flag = TRUE OR t.declining""")
+cte("queue_ranked", """
+SELECT *, CASE urgency_tier WHEN 'CRITICAL' THEN 1 WHEN 'HIGH' THEN 2 WHEN 'MEDIUM' THEN 3 ELSE 4 END AS tier_rank
+FROM maintenance_queue""")
+
+# --- responses --------------------------------------------------------------------------
+_RC = """'"root_cause": "Bearing wear pattern ' || CAST(k AS VARCHAR) || '"'"""
+_ACT = """'"recommended_action": "Replace spindle bearing"'"""
+_CONF = f"""'"confidence": "' || {CONFIDENCE_LEVELS}[k % 3 + 1] || '"'"""
+_HRS = "CAST(CAST(value AS DECIMAL(10,2)) AS VARCHAR)"
+_NUM = f"""'"estimated_hours_to_failure": ' || {_HRS}"""
+cte("responses", f"""
+SELECT event_id AS response_id, machine_id,
+       CASE WHEN k % 10 = 0 THEN '{{' || {_RC}
+            WHEN k % 10 = 1 THEN '{{' || {_RC} || ', ' || {_ACT} || ', ' || {_CONF} || '}}'
+            WHEN k % 10 = 2 THEN '{{' || {_RC} || ', ' || {_ACT} || ', ' || '"estimated_hours_to_failure": "' || {_HRS} || '"' || ', ' || {_CONF} || '}}'
+            WHEN k % 10 = 3 THEN '{{' || {_RC} || ', ' || {_ACT} || ', ' || {_NUM} || ', ' || '"confidence": "CERTAIN"}}'
+            ELSE '{{' || {_RC} || ', ' || {_ACT} || ', ' || {_NUM} || ', ' || {_CONF} || '}}' END AS response
+FROM ev WHERE event_type = 'click'""")
+_RAW_H = "CASE WHEN json_valid(response) THEN json_extract_string(response, '$.estimated_hours_to_failure') END"
+cte("validated", f"""
+SELECT response_id, machine_id, response, ok AS is_valid,
+       CASE WHEN ok THEN json_extract_string(response, '$.root_cause') END AS root_cause,
+       CASE WHEN ok THEN json_extract_string(response, '$.recommended_action') END AS recommended_action,
+       CASE WHEN ok THEN least(greatest(TRY_CAST({_RAW_H} AS DOUBLE), 1.0), 720.0) END AS estimated_hours_to_failure,
+       CASE WHEN ok THEN (CASE WHEN json_extract_string(response, '$.confidence') IN ('HIGH', 'MEDIUM', 'LOW')
+                               THEN json_extract_string(response, '$.confidence') ELSE 'MEDIUM' END) END AS confidence
+FROM (SELECT *, coalesce(CASE WHEN json_valid(response) THEN
+                   list_has_all(json_keys(response), ['root_cause', 'recommended_action', 'estimated_hours_to_failure', 'confidence'])
+                   AND TRY_CAST(json_extract_string(response, '$.estimated_hours_to_failure') AS DOUBLE) IS NOT NULL END, FALSE) AS ok
+      FROM responses)""")
+
 def _deps(text: str, seen: list[str]) -> None:
     for name in CTES:
         if name not in seen and re.search(rf"\b{re.escape(name)}\b", text):
@@ -250,3 +354,32 @@ q("production_summary", f"""SELECT machine_id, machine_name, production_line, ma
  {dbl('avg_oee', 'min_oee', 'max_oee')}, total_units_produced, total_good_units, total_defects,
  {dbl('total_downtime_hrs', 'avg_availability', 'avg_performance', 'avg_quality')}
 FROM production_summary""")
+
+q("oee_trend_7d", f"SELECT machine_id, max_date, {dbl('oee_last_7d', 'oee_prior_7d', 'oee_trend_delta')} FROM trend_report")
+q("latest_health", f"SELECT machine_id, reading_date, anomaly_flag, {dbl('avg_temp_c', 'max_temp_c', 'avg_vibration_mm_s', 'max_vibration_mm_s')} FROM latest_health")
+q("at_risk_machines", f"""SELECT machine_id, machine_name, machine_type, production_line, reading_date, anomaly_flag,
+ {dbl('avg_temp_c', 'max_temp_c', 'avg_vibration_mm_s', 'max_vibration_mm_s', 'avg_power_kw', 'max_power_kw', 'oee_last_7d', 'oee_prior_7d', 'anomaly_score')}
+FROM at_risk""")
+q("maintenance_queue", f"""SELECT machine_id, machine_name, production_line, machine_type, reading_date, anomaly_flag,
+ {dbl('avg_temp_c', 'max_temp_c', 'avg_vibration_mm_s', 'max_vibration_mm_s', 'oee_last_7d', 'oee_prior_7d', 'oee_trend_delta', 'anomaly_score')},
+ root_cause, recommended_action, {dbl('estimated_hours_to_failure')}, confidence, similar_pattern_ids, ai_generated_at, urgency_tier
+FROM maintenance_queue""")
+q("latest_recommendation", f"""SELECT rec_id, machine_id, machine_name, generated_at, {dbl('anomaly_score')}, root_cause,
+ recommended_action, {dbl('estimated_hours_to_failure')}, confidence, similar_pattern_ids FROM latest_rec""")
+q("urgency_tiers", f"""SELECT rec_id, machine_id, {dbl('estimated_hours_to_failure')},
+ CASE WHEN estimated_hours_to_failure <= 8 THEN 'CRITICAL' WHEN estimated_hours_to_failure <= 24 THEN 'HIGH'
+      WHEN estimated_hours_to_failure <= 72 THEN 'MEDIUM' ELSE 'LOW' END AS urgency_tier FROM recs_raw""")
+q("urgency_breakdown", "SELECT urgency_tier, count(*) AS machines, min(tier_rank) AS tier_rank FROM queue_ranked GROUP BY urgency_tier")
+q("queue_headline", f"""SELECT
+ (SELECT machine_name FROM queue_ranked ORDER BY tier_rank, estimated_hours_to_failure ASC NULLS LAST, machine_id LIMIT 1) AS top_machine,
+ (SELECT urgency_tier FROM queue_ranked ORDER BY tier_rank, estimated_hours_to_failure ASC NULLS LAST, machine_id LIMIT 1) AS top_tier,
+ (SELECT CAST(estimated_hours_to_failure AS DOUBLE) FROM queue_ranked ORDER BY tier_rank, estimated_hours_to_failure ASC NULLS LAST, machine_id LIMIT 1) AS top_hours,
+ (SELECT count(*) FROM queue_ranked WHERE urgency_tier = 'CRITICAL') AS n_critical,
+ (SELECT count(*) FROM queue_ranked WHERE urgency_tier = 'HIGH') AS n_high,
+ (SELECT count(*) FROM queue_ranked WHERE estimated_hours_to_failure <= 24) AS n_within_24h,
+ (SELECT CAST(min(estimated_hours_to_failure) AS DOUBLE) FROM queue_ranked) AS shortest_hours,
+ (SELECT machine_name FROM queue_ranked WHERE estimated_hours_to_failure IS NOT NULL
+   ORDER BY estimated_hours_to_failure, tier_rank, machine_id LIMIT 1) AS shortest_machine,
+ (SELECT count(*) FROM queue_ranked) AS machines""")
+q("validate_responses", "SELECT response_id, machine_id, is_valid, root_cause, recommended_action, estimated_hours_to_failure, confidence FROM validated")
+q("safe_cast", f"SELECT response_id, {_RAW_H} AS raw_hours, coalesce(TRY_CAST({_RAW_H} AS DOUBLE), 0.0) AS hours FROM responses")

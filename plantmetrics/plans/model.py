@@ -72,3 +72,25 @@ class Model:
     @cached_property
     def production_summary(self) -> DataFrame:
         return oee.production_summary(self.oee_daily)
+
+    # trend / queue ------------------------------------------------------------------------
+    @cached_property
+    def oee_trend(self) -> DataFrame:
+        from plantmetrics.operators import trend
+        return trend.oee_trend_7d(self.oee_daily, self.params)
+
+    @cached_property
+    def latest_health(self) -> DataFrame:
+        from plantmetrics.operators import trend
+        return trend.latest_health(self.machine_health, self.params)
+
+    @cached_property
+    def at_risk_machines(self) -> DataFrame:
+        from plantmetrics.operators import trend
+        return trend.at_risk_machines(self.stg_machines, self.machine_health, self.oee_trend, self.params)
+
+    @cached_property
+    def maintenance_queue(self) -> DataFrame:
+        from plantmetrics.operators import recommend
+        return recommend.maintenance_queue(self.stg_machines, self.machine_health, self.oee_daily,
+                                           self.recommendations_raw, self.params)

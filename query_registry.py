@@ -56,3 +56,71 @@ _attr("quality", doc="JN-3/JN-4: quality per machine-day.")
 _attr("oee_daily", doc="JN-5/PRJ-7: OEE per machine-day.")
 _attr("machine_health", doc="AGG-2/PRJ-11: daily sensor health with anomaly flag.")
 _attr("production_summary", doc="AGG-3: weekly roll-up.")
+
+
+@register("oee_trend_7d")
+def _q_oee_trend(spark, sf):
+    """JN-6/AGG-4: per-machine 7-day OEE trend (own anchor)."""
+    from plantmetrics.operators import trend
+    m = model(spark, sf)
+    return trend.trend_report(m.oee_trend)
+
+
+_attr("latest_health", doc="AGG-5/JN-7: recent health per machine (fleet anchor).")
+_attr("at_risk_machines", doc="REC-5/FLT-2/JN-9/PRJ-12: at-risk machines with anomaly score.")
+_attr("maintenance_queue", doc="REC-11/JN-8/PRJ-9/SRT-1: the maintenance queue.")
+
+
+@register("latest_recommendation")
+def _q_latest_rec(spark, sf):
+    """WIN-1: newest recommendation per machine."""
+    from plantmetrics.operators import recommend
+    return recommend.latest_recommendation(model(spark, sf).recommendations_raw)
+
+
+@register("urgency_tiers")
+def _q_urgency_tiers(spark, sf):
+    """PRJ-9: urgency tier of every stored recommendation."""
+    from plantmetrics.operators import recommend
+    r = model(spark, sf).recommendations_raw
+    return r.select("rec_id", "machine_id", "estimated_hours_to_failure",
+                    recommend.urgency_tier(F.col("estimated_hours_to_failure")).alias("urgency_tier"))
+
+
+@register("urgency_breakdown")
+def _q_urgency_breakdown(spark, sf):
+    """AGG-12: machines per urgency tier in the queue."""
+    from plantmetrics.operators import recommend
+    return recommend.urgency_breakdown(model(spark, sf).maintenance_queue)
+
+
+@register("queue_headline")
+def _q_queue_headline(spark, sf):
+    """REC-12: one-row queue summary."""
+    from plantmetrics.operators import recommend
+    return recommend.queue_headline(model(spark, sf).maintenance_queue)
+
+
+@register("queue_cards")
+def _q_queue_cards(spark, sf):
+    """RPT-7: card labels per queued machine."""
+    from plantmetrics.operators import recommend
+    return recommend.queue_cards(model(spark, sf).maintenance_queue)
+
+
+@register("validate_responses")
+def _q_validate(spark, sf):
+    """FN-J1/REC-8: JSON response validation with clamping and defaults."""
+    from plantmetrics.operators import recommend
+    from plantmetrics.sources.driver import DriverTables
+    return recommend.validate_responses(DriverTables(spark, sf).table("responses"))
+
+
+@register("safe_cast")
+def _q_safe_cast(spark, sf):
+    """FN-M5: Python-style float() with default 0 over the raw estimate field."""
+    from plantmetrics.operators import recommend
+    from plantmetrics.sources.driver import DriverTables
+    r = DriverTables(spark, sf).table("responses")
+    raw = F.get_json_object("response", "$.estimated_hours_to_failure")
+    return r.select("response_id", raw.alias("raw_hours"), recommend.safe_number(raw).alias("hours"))
