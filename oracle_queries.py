@@ -306,6 +306,108 @@ FROM (SELECT *, coalesce(CASE WHEN json_valid(response) THEN
                    AND TRY_CAST(json_extract_string(response, '$.estimated_hours_to_failure') AS DOUBLE) IS NOT NULL END, FALSE) AS ok
       FROM responses)""")
 
+# --- retrieval ------------------------------------------------------------------------------
+
+
+def fixed(x: str, d: int) -> str:
+    return f"CAST(CAST(coalesce({x}, 0) AS DECIMAL(24,{d})) AS VARCHAR)"
+
+
+def pct1(x: str) -> str:
+    return f"{fixed(f'coalesce({x}, 0) * 100', 1)} || '%'"
+
+
+def label(x: str) -> str:
+    return f"upper(trim(coalesce({x}, 'UNKNOWN')))"
+
+
+cte("failure_history", f"""
+SELECT d.event_id, d.started_at, d.machine_id, m.machine_type, CAST(d.started_at AS DATE) AS event_date, d.reason_code,
+       h.avg_temp_c, h.max_temp_c, h.avg_vibration_mm_s, h.max_vibration_mm_s, h.avg_power_kw, h.max_power_kw,
+       coalesce(o.oee, CAST(0.70 AS DECIMAL(5,4))) AS oee,
+       {units(hu("epoch_us(d.ended_at) - epoch_us(d.started_at)", HOURS_US, 3), 3, 8)} AS downtime_hrs
+FROM dt_raw d JOIN stg_machines m ON d.machine_id = m.machine_id
+LEFT JOIN machine_health h ON d.machine_id = h.machine_id AND CAST(d.started_at AS DATE) = h.reading_date
+LEFT JOIN oee_daily o ON d.machine_id = o.machine_id AND CAST(d.started_at AS DATE) = o.shift_date
+WHERE h.avg_temp_c IS NOT NULL""")
+FAILURE_DESCRIPTION = (
+    f"'Machine type: ' || {label('machine_type')} || chr(10) || "
+    f"'Failure type: ' || {label('reason_code')} || chr(10) || "
+    f"'Date: ' || coalesce(substr(CAST(event_date AS VARCHAR), 1, 10), 'unknown') || chr(10) || "
+    f"'Sensor readings on failure day:' || chr(10) || "
+    f"'  Temperature: max ' || {fixed('max_temp_c', 1)} || '°C, average ' || {fixed('avg_temp_c', 1)} || '°C' || chr(10) || "
+    f"'  Vibration: max ' || {fixed('max_vibration_mm_s', 3)} || ' mm/s, average ' || {fixed('avg_vibration_mm_s', 3)} || ' mm/s' || chr(10) || "
+    f"'  Power: max ' || {fixed('max_power_kw', 2)} || ' kW, average ' || {fixed('avg_power_kw', 2)} || ' kW' || chr(10) || "
+    f"'OEE: ' || {pct1('oee')} || chr(10) || "
+    f"'Downtime: ' || {fixed('downtime_hrs', 1)} || ' hours'")
+MACHINE_DESCRIPTION = (
+    f"'Machine type: ' || {label('machine_type')} || chr(10) || "
+    f"'Current anomaly detected' || chr(10) || "
+    f"'Sensor readings (recent 7-day window):' || chr(10) || "
+    f"'  Temperature: max ' || {fixed('max_temp_c', 1)} || '°C, average ' || {fixed('avg_temp_c', 1)} || '°C' || chr(10) || "
+    f"'  Vibration: max ' || {fixed('max_vibration_mm_s', 3)} || ' mm/s, average ' || {fixed('avg_vibration_mm_s', 3)} || ' mm/s' || chr(10) || "
+    f"'  Power: max ' || {fixed('max_power_kw', 2)} || ' kW, average ' || {fixed('avg_power_kw', 2)} || ' kW' || chr(10) || "
+    f"'7-day OEE: ' || {pct1('oee_last_7d')}")
+cte("numbered_history", "SELECT *, row_number() OVER (ORDER BY started_at, machine_id, event_id) AS pattern_id FROM failure_history")
+cte("pattern_store", f"""
+SELECT CAST(h.pattern_id AS BIGINT) AS pattern_id, h.machine_id, {label('h.machine_type')} AS machine_type, h.event_date,
+       {label('h.reason_code')} AS reason_code, coalesce(h.downtime_hrs, CAST(0 AS DECIMAL(8,3))) AS downtime_hrs,
+       {FAILURE_DESCRIPTION.replace('machine_type', 'h.machine_type').replace('reason_code', 'h.reason_code')} AS description,
+       CAST(e.embedding AS DOUBLE[]) AS embedding
+FROM numbered_history h JOIN embeddings e ON e.vec_id = h.pattern_id % (SELECT n FROM n_v)""")
+cte("query_vectors", """
+SELECT a.machine_id, CAST(e.embedding AS DOUBLE[]) AS embedding
+FROM at_risk a JOIN embeddings e ON e.vec_id = a.machine_id % (SELECT n FROM n_v)""")
+cte("similar_top", """
+SELECT machine_id, CAST(row_number() OVER (PARTITION BY machine_id ORDER BY round(sim, 9) DESC, pattern_id) AS INTEGER) AS rank,
+       pattern_id, machine_type, event_date, reason_code, downtime_hrs, sim AS similarity
+FROM (SELECT q.machine_id, p.pattern_id, p.machine_type, p.event_date, p.reason_code, p.downtime_hrs,
+             CASE WHEN list_dot_product(q.embedding, q.embedding) = 0 OR list_dot_product(p.embedding, p.embedding) = 0
+                  THEN 0.0 ELSE list_cosine_similarity(q.embedding, p.embedding) END AS sim
+      FROM query_vectors q CROSS JOIN pattern_store p)
+QUALIFY rank <= 3""")
+cte("fallback", """
+SELECT a.machine_id, a.machine_name,
+       'Pattern matches historical ' || lower(replace(coalesce(s.reason_code, 'UNKNOWN'), '_', ' ')) || ' events.' AS root_cause,
+       'Schedule immediate inspection of mechanical components.' AS recommended_action,
+       least(greatest(CASE WHEN s.downtime_hrs IS NULL THEN 24.0 ELSE CAST(s.downtime_hrs AS DOUBLE) * 2 END, 1.0), 720.0)
+         AS estimated_hours_to_failure,
+       'LOW' AS confidence
+FROM at_risk a LEFT JOIN similar_top s ON a.machine_id = s.machine_id AND s.rank = 1""")
+cte("latest_resp", "SELECT * FROM validated QUALIFY row_number() OVER (PARTITION BY machine_id ORDER BY response_id DESC) = 1")
+cte("pid_list", """
+SELECT machine_id, '[' || string_agg(CAST(pattern_id AS VARCHAR), ',' ORDER BY rank) || ']' AS similar_pattern_ids
+FROM similar_top GROUP BY machine_id""")
+
+
+def new_recs_sql(ts: str) -> str:
+    def pick(c: str) -> str:
+        return f"CASE WHEN coalesce(r.is_valid, FALSE) THEN r.{c} ELSE f.{c} END"
+    return f"""
+SELECT a.machine_id, substr(coalesce(a.machine_name, ''), 1, 100) AS machine_name, TIMESTAMP '{ts}' AS generated_at,
+       CAST(CAST(a.anomaly_score AS DECIMAL(10,4)) AS DECIMAL(6,3)) AS anomaly_score,
+       substr({pick('root_cause')}, 1, 1000) AS root_cause,
+       substr({pick('recommended_action')}, 1, 1000) AS recommended_action,
+       CAST({pick('estimated_hours_to_failure')} AS DECIMAL(6,1)) AS estimated_hours_to_failure,
+       {pick('confidence')} AS confidence,
+       coalesce(p.similar_pattern_ids, '[]') AS similar_pattern_ids
+FROM at_risk a JOIN fallback f ON a.machine_id = f.machine_id
+LEFT JOIN latest_resp r ON a.machine_id = r.machine_id
+LEFT JOIN pid_list p ON a.machine_id = p.machine_id"""
+
+
+cte("new_recs", new_recs_sql("2024-01-31 00:00:00"))
+cte("new_recs_0130", new_recs_sql("2024-01-30 00:00:00"))
+cte("upserted", """
+SELECT * FROM recs_raw r
+WHERE NOT EXISTS (SELECT 1 FROM new_recs_0130 n
+                  WHERE n.machine_id = r.machine_id AND CAST(n.generated_at AS DATE) = CAST(r.generated_at AS DATE))
+UNION ALL
+SELECT (SELECT coalesce(max(rec_id), 0) FROM recs_raw) + row_number() OVER (ORDER BY machine_id) AS rec_id,
+       machine_id, machine_name, generated_at, anomaly_score, root_cause, recommended_action,
+       estimated_hours_to_failure, confidence, similar_pattern_ids
+FROM new_recs_0130""")
+
 def _deps(text: str, seen: list[str]) -> None:
     for name in CTES:
         if name not in seen and re.search(rf"\b{re.escape(name)}\b", text):
@@ -383,3 +485,35 @@ q("queue_headline", f"""SELECT
  (SELECT count(*) FROM queue_ranked) AS machines""")
 q("validate_responses", "SELECT response_id, machine_id, is_valid, root_cause, recommended_action, estimated_hours_to_failure, confidence FROM validated")
 q("safe_cast", f"SELECT response_id, {_RAW_H} AS raw_hours, coalesce(TRY_CAST({_RAW_H} AS DOUBLE), 0.0) AS hours FROM responses")
+
+q("failure_history", f"""SELECT event_id, started_at, machine_id, machine_type, event_date, reason_code,
+ {dbl('avg_temp_c', 'max_temp_c', 'avg_vibration_mm_s', 'max_vibration_mm_s', 'avg_power_kw', 'max_power_kw', 'oee', 'downtime_hrs')}
+FROM failure_history""")
+q("failure_descriptions", f"SELECT event_id, {FAILURE_DESCRIPTION} AS description FROM failure_history")
+q("assign_ids", "SELECT event_id, CAST(pattern_id AS BIGINT) AS pattern_id FROM numbered_history")
+q("failure_patterns", f"""SELECT pattern_id, machine_id, machine_type, event_date, reason_code, {dbl('downtime_hrs')},
+ description, CAST(len(embedding) AS INTEGER) AS embedding_dims FROM pattern_store""")
+q("similar_failures", f"""SELECT machine_id, rank, pattern_id, machine_type, event_date, reason_code, {dbl('downtime_hrs')},
+ round(similarity, 6) AS similarity FROM similar_top""")
+q("pattern_preview", f"""SELECT pattern_id, machine_type, event_date, reason_code, {dbl('downtime_hrs')},
+ substr(description, 1, 120) AS description_preview FROM pattern_store ORDER BY event_date DESC, pattern_id DESC LIMIT 10""")
+q("embedding_dims", """SELECT pattern_id,
+ CAST(length(array_to_string(list_transform(embedding, lambda x: printf('%.8f', x)), ',')) AS INTEGER) AS embedding_chars,
+ CAST(len(embedding) AS INTEGER) AS embedding_dims FROM pattern_store""")
+q("vector_parse", """SELECT vec_id, CAST(len(parsed) AS INTEGER) AS dims,
+ list_max(list_transform(list_zip(parsed, emb), lambda x: abs(x[1] - x[2]))) < 1e-8 AS round_trip_ok,
+ round(CASE WHEN list_dot_product(parsed, parsed) = 0 OR list_dot_product(emb, emb) = 0 THEN 0.0
+            ELSE list_cosine_similarity(parsed, emb) END, 6) AS self_cosine
+FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS emb,
+             list_transform(string_split(array_to_string(list_transform(CAST(embedding AS DOUBLE[]), lambda x: printf('%.8f', x)), ','), ','),
+                            lambda x: CAST(x AS DOUBLE)) AS parsed
+      FROM embeddings)""")
+q("failures_by_reason", f"""SELECT reason_code, count(*) AS occurrences,
+ CAST({units(hu(_avg_units('downtime_hrs', 3), 1000000, 0), 1, 10)} AS DOUBLE) AS avg_downtime_hrs
+FROM pattern_store GROUP BY reason_code""")
+q("machine_descriptions", f"SELECT machine_id, {MACHINE_DESCRIPTION} AS description FROM at_risk")
+q("fallback_recommendations", "SELECT * FROM fallback")
+q("recommendations", f"""SELECT machine_id, machine_name, generated_at, {dbl('anomaly_score')}, root_cause, recommended_action,
+ {dbl('estimated_hours_to_failure')}, confidence, similar_pattern_ids FROM new_recs""")
+q("upsert_recommendations", f"""SELECT rec_id, machine_id, machine_name, generated_at, {dbl('anomaly_score')}, root_cause,
+ recommended_action, {dbl('estimated_hours_to_failure')}, confidence, similar_pattern_ids FROM upserted""")

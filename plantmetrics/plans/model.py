@@ -94,3 +94,50 @@ class Model:
         from plantmetrics.operators import recommend
         return recommend.maintenance_queue(self.stg_machines, self.machine_health, self.oee_daily,
                                            self.recommendations_raw, self.params)
+
+    # retrieval / recommendations -------------------------------------------------------------
+    @cached_property
+    def failure_history(self) -> DataFrame:
+        from plantmetrics.operators import retrieval
+        return retrieval.failure_history(self.source.table("downtime_events"), self.stg_machines,
+                                         self.machine_health, self.oee_daily, self.params)
+
+    @cached_property
+    def numbered_history(self) -> DataFrame:
+        from plantmetrics.operators import retrieval
+        return retrieval.numbered_history(self.failure_history)
+
+    @cached_property
+    def failure_patterns(self) -> DataFrame:
+        from plantmetrics.operators import retrieval
+        return retrieval.failure_patterns(self.numbered_history, self.source.pattern_vectors)
+
+    @cached_property
+    def query_vectors(self) -> DataFrame:
+        return self.source.machine_vectors(self.at_risk_machines.select("machine_id"))
+
+    @cached_property
+    def similar_failures(self) -> DataFrame:
+        from plantmetrics.operators import retrieval
+        return retrieval.similar_failures(self.query_vectors, self.failure_patterns, self.params.top_k)
+
+    @cached_property
+    def validated_responses(self) -> DataFrame:
+        from plantmetrics.operators import recommend
+        return recommend.validate_responses(self.source.table("responses"), self.params)
+
+    @cached_property
+    def fallback_recommendations(self) -> DataFrame:
+        from plantmetrics.operators import recommend
+        return recommend.fallback_recommendations(self.at_risk_machines, self.similar_failures, self.params)
+
+    @cached_property
+    def new_recommendations(self) -> DataFrame:
+        from plantmetrics.operators import recommend
+        return recommend.recommendations(self.at_risk_machines, self.similar_failures,
+                                         self.validated_responses, self.params)
+
+    @cached_property
+    def prompts(self) -> DataFrame:
+        from plantmetrics.operators import recommend
+        return recommend.prompts(self.at_risk_machines, self.similar_failures)

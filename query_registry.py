@@ -124,3 +124,107 @@ def _q_safe_cast(spark, sf):
     r = DriverTables(spark, sf).table("responses")
     raw = F.get_json_object("response", "$.estimated_hours_to_failure")
     return r.select("response_id", raw.alias("raw_hours"), recommend.safe_number(raw).alias("hours"))
+
+
+_attr("failure_history", doc="REC-1/JN-10/FLT-3: stoppages with machine, day health and OEE.")
+
+
+@register("failure_descriptions")
+def _q_failure_descriptions(spark, sf):
+    """REC-2/FN-S6/FN-S7: description text per failure event."""
+    from plantmetrics.operators import retrieval
+    return retrieval.with_descriptions(model(spark, sf).failure_history).select("event_id", "description")
+
+
+@register("assign_ids")
+def _q_assign_ids(spark, sf):
+    """FN-K1: consecutive pattern ids in (started_at, machine_id, event_id) order."""
+    return model(spark, sf).numbered_history.select("event_id", "pattern_id")
+
+
+@register("failure_patterns")
+def _q_failure_patterns(spark, sf):
+    """REC-4: the failure-pattern vector store (embedding shown as its dimension)."""
+    p = model(spark, sf).failure_patterns
+    return p.select("pattern_id", "machine_id", "machine_type", "event_date", "reason_code", "downtime_hrs",
+                    "description", F.size("embedding").alias("embedding_dims"))
+
+
+@register("similar_failures")
+def _q_similar_failures(spark, sf):
+    """REC-6/JN-12/FN-A3/SRT-5: cosine top-3 failures per at-risk machine (similarity to 6 places)."""
+    s = model(spark, sf).similar_failures
+    return s.withColumn("similarity", F.round("similarity", 6))
+
+
+@register("pattern_preview")
+def _q_pattern_preview(spark, sf):
+    """FN-S2/SRT-3: ten newest patterns with a 120-character description preview."""
+    p = model(spark, sf).failure_patterns
+    return (p.select("pattern_id", "machine_type", "event_date", "reason_code", "downtime_hrs",
+                     F.substring("description", 1, 120).alias("description_preview"))
+            .orderBy(F.desc("event_date"), F.desc("pattern_id")).limit(10))
+
+
+@register("embedding_dims")
+def _q_embedding_dims(spark, sf):
+    """FN-S3/FN-A2: stored text form of each embedding: characters and dimensions."""
+    from plantmetrics.functions.vectors import format_vector, vector_dims
+    p = model(spark, sf).failure_patterns.select("pattern_id", format_vector("embedding").alias("text"))
+    return p.select("pattern_id", F.length("text").alias("embedding_chars"), vector_dims("text").alias("embedding_dims"))
+
+
+@register("vector_parse")
+def _q_vector_parse(spark, sf):
+    """FN-A1/FN-A2/FN-A3: text round trip of every embedding and its self-cosine."""
+    from plantmetrics.functions.vectors import cosine_expr, format_vector, parse_vector
+    from plantmetrics.sources.driver import DriverTables
+    e = DriverTables(spark, sf).embeddings()
+    t = e.select("vec_id", "embedding", parse_vector(format_vector("embedding")).alias("parsed"))
+    err = F.aggregate(F.zip_with("parsed", "embedding", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda s, x: F.greatest(s, x))
+    return t.select("vec_id", F.size("parsed").alias("dims"), (err < 1e-8).alias("round_trip_ok"),
+                    F.round(cosine_expr("parsed", "embedding"), 6).alias("self_cosine"))
+
+
+@register("failures_by_reason")
+def _q_failures_by_reason(spark, sf):
+    """AGG-11: patterns per reason with mean downtime."""
+    p = model(spark, sf).failure_patterns
+    return p.groupBy("reason_code").agg(F.count(F.lit(1)).alias("occurrences"),
+                                        F.round(F.avg("downtime_hrs"), 1).alias("avg_downtime_hrs"))
+
+
+@register("machine_descriptions")
+def _q_machine_descriptions(spark, sf):
+    """REC-3: current-state text per at-risk machine."""
+    from plantmetrics.operators import retrieval
+    a = model(spark, sf).at_risk_machines
+    c = F.col
+    return a.select("machine_id", retrieval.machine_description(
+        c("machine_type"), c("max_temp_c"), c("avg_temp_c"), c("max_vibration_mm_s"), c("avg_vibration_mm_s"),
+        c("max_power_kw"), c("avg_power_kw"), c("oee_last_7d")).alias("description"))
+
+
+_attr("prompts", doc="REC-7: LLM prompt per at-risk machine.")
+
+
+@register("fallback_recommendations")
+def _q_fallback(spark, sf):
+    """REC-9/FN-S5: rule-based recommendation from the best match."""
+    return model(spark, sf).fallback_recommendations
+
+
+_attr("new_recommendations", doc="REC-10/FN-A4: recommendation rows for this run.")
+QUERIES["recommendations"] = QUERIES.pop("new_recommendations")
+
+
+@register("upsert_recommendations")
+def _q_upsert(spark, sf):
+    """SNK-8/FN-K1: replace today's row per machine, keep history, new ids after the max.
+    Runs with as_of = 2024-01-30 so same-day rows exist and are replaced."""
+    import datetime as dt
+
+    from plantmetrics.params import DEFAULT
+    from plantmetrics.plans.incremental import upsert_recommendations
+    m = model(spark, sf, DEFAULT.with_(as_of=dt.date(2024, 1, 30)))
+    return upsert_recommendations(m.recommendations_raw, m.new_recommendations)
