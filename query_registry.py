@@ -228,3 +228,303 @@ def _q_upsert(spark, sf):
     from plantmetrics.plans.incremental import upsert_recommendations
     m = model(spark, sf, DEFAULT.with_(as_of=dt.date(2024, 1, 30)))
     return upsert_recommendations(m.recommendations_raw, m.new_recommendations)
+
+
+# --- events & signals ------------------------------------------------------------------------
+@register("cooldown_events")
+def _q_cooldown(spark, sf):
+    """ST-4: stoppages kept by the per-machine greedy 2-hour cooldown."""
+    from plantmetrics.operators.events import greedy_cooldown
+    d = model(spark, sf).source.table("downtime_events")
+    return greedy_cooldown(d, "machine_id", "started_at", "event_id", model(spark, sf).params.cooldown_s)
+
+
+@register("derive_downtime")
+def _q_derive_downtime(spark, sf):
+    """ST-5/FN-S8/FN-K1: stoppages derived from failure flags of the trace rows."""
+    from plantmetrics.operators.events import derive_downtime
+    from plantmetrics.sources.driver import DriverTables
+    dt = DriverTables(spark, sf)
+    return derive_downtime(dt.signal_rows(), dt.table("downtime_events"), model(spark, sf).params.cooldown_s)
+
+
+@register("csv_clean")
+def _q_csv_clean(spark, sf):
+    """SRC-3: CSV trace lines parsed with a fixed schema; malformed lines skipped."""
+    from plantmetrics.operators.signals import parse_signal_csv
+    from plantmetrics.sources.driver import DriverTables
+    return parse_signal_csv(DriverTables(spark, sf).signal_csv_lines())
+
+
+@register("signal_features")
+def _q_signal_features(spark, sf):
+    """FN-M2: °C and shaft power from the parsed trace rows."""
+    from plantmetrics.operators.signals import parse_signal_csv, signal_features
+    from plantmetrics.sources.driver import DriverTables
+    return signal_features(parse_signal_csv(DriverTables(spark, sf).signal_csv_lines()))
+
+
+@register("signal_stats")
+def _q_signal_stats(spark, sf):
+    """AGG-23/AGG-24: signal means, sample std-devs, failure rate."""
+    from plantmetrics.operators.signals import parse_signal_csv, signal_features, signal_stats
+    from plantmetrics.sources.driver import DriverTables
+    return signal_stats(signal_features(parse_signal_csv(DriverTables(spark, sf).signal_csv_lines())))
+
+
+@register("zscale_signals")
+def _q_zscale(spark, sf):
+    """FN-M3: per-machine z-score rescale of every trace row."""
+    from plantmetrics.operators.signals import signal_features, zscale_signals
+    from plantmetrics.sources.driver import DriverTables
+    return zscale_signals(signal_features(DriverTables(spark, sf).signal_rows(), keep=("machine_id",)))
+
+
+@register("failure_reason")
+def _q_failure_reason(spark, sf):
+    """FN-S8: reason code of each failing trace row (first raised flag wins)."""
+    from plantmetrics.operators.events import failure_reason
+    from plantmetrics.sources.driver import DriverTables
+    r = DriverTables(spark, sf).signal_rows()
+    return r.where(F.col("Machine failure") == 1).select("UDI", failure_reason().alias("reason_code"))
+
+
+@register("coverage_gaps")
+def _q_coverage_gaps(spark, sf):
+    """JN-13/FN-D5: machine x day x shift slots without an order."""
+    from plantmetrics.operators.reports import coverage_gaps
+    from plantmetrics.sources.driver import SHIFT_LABELS
+    m = model(spark, sf)
+    return coverage_gaps(m.stg_machines, m.stg_orders, SHIFT_LABELS)
+
+
+# --- reports ------------------------------------------------------------------------------------
+def _rep(name, doc, fn):
+    def q(spark, sf):
+        return fn(model(spark, sf))
+    q.__doc__ = doc
+    register(name)(q)
+
+
+def _summary(m):
+    from plantmetrics.operators.reports import oee_summary_7d
+    return oee_summary_7d(m.oee_daily, m.params)
+
+
+def _named(m):
+    from plantmetrics.operators.reports import health_with_names
+    return health_with_names(m.machine_health, m.oee_daily)
+
+
+def _r(fn_name):
+    from plantmetrics.operators import reports
+    return getattr(reports, fn_name)
+
+
+_rep("oee_summary_7d", "AGG-8/FLT-1: 7-day means per machine.", _summary)
+_rep("oee_bands", "PRJ-10: OEE band per machine (7-day mean).",
+     lambda m: _summary(m).select("machine_name", "avg_oee", _r("oee_band")(F.col("avg_oee")).alias("band")))
+_rep("fleet_kpis", "AGG-13: fleet mean OEE, world-class and at-risk counts.", lambda m: _r("fleet_kpis")(_summary(m)))
+_rep("fleet_trend", "AGG-14: fleet recent vs prior week.", lambda m: _r("fleet_trend")(m.oee_daily, m.params))
+_rep("weakest_component", "AGG-15: weakest OEE component fleet-wide.", lambda m: _r("weakest_component")(_summary(m)))
+_rep("lowest_performer", "RPT-4/AGG-16: lowest 7-day OEE machine and gap.", lambda m: _r("lowest_performer")(_summary(m)))
+_rep("oee_pct_by_machine", "AGG-9: min/avg/max OEE percent per machine.", lambda m: _r("oee_pct_by_machine")(m.oee_daily))
+_rep("anomaly_days_by_machine", "AGG-10: anomaly days per machine.", lambda m: _r("anomaly_days_by_machine")(m.machine_health))
+_rep("health_with_names", "JN-11/AGG-7: health with names from the OEE facts.", _named)
+_rep("latest_health_status", "WIN-2/RPT-6: machines with an active anomaly.", lambda m: _r("latest_health_status")(_named(m)))
+_rep("most_anomalous", "AGG-16/AGG-17: machine with most anomaly days.", lambda m: _r("most_anomalous")(_named(m)))
+_rep("anomaly_driver", "AGG-20: primary anomaly driver per machine.", lambda m: _r("anomaly_driver")(_named(m)))
+_rep("anomaly_days", "RPT-5/FLT-8: anomaly-day listing.", lambda m: _r("anomaly_days")(_named(m)))
+_rep("oee_components_long", "AGG-22: unpivoted 7-day components.", lambda m: _r("oee_components_long")(_summary(m)))
+_rep("downtime_share", "AGG-18: top machine's share of downtime.", lambda m: _r("downtime_share")(m.production_summary))
+_rep("latest_week_kpis", "AGG-19: latest-week totals.", lambda m: _r("latest_week_kpis")(m.production_summary))
+_rep("latest_week_detail", "RPT-1/PRJ-13: latest-week rows with defect rate.", lambda m: _r("latest_week_detail")(m.production_summary))
+_rep("week_over_week", "RPT-3/WIN-3: week-on-week fleet change.", lambda m: _r("week_over_week")(m.production_summary, m.params))
+_rep("weekly_downtime", "RPT-2: weekly downtime per machine.",
+     lambda m: m.production_summary.select("week_start", "machine_name", "total_downtime_hrs"))
+_rep("oee_trend_series", "SRT-6: daily OEE series in date order.",
+     lambda m: m.oee_daily.select("machine_name", "shift_date", "oee", "availability_rate", "performance_rate",
+                                  "quality_rate").orderBy("shift_date", "machine_name"))
+
+
+@register("oee_trend_selected")
+def _q_oee_trend_selected(spark, sf):
+    """FLT-6: daily OEE of the default selection (first four machine names)."""
+    o = model(spark, sf).oee_daily
+    chosen = o.select("machine_name").distinct().orderBy("machine_name").limit(4)
+    return (o.join(chosen, "machine_name", "left_semi")
+            .select("machine_name", "shift_date", "oee").orderBy("shift_date", "machine_name"))
+
+
+@register("anomaly_pivot")
+def _q_anomaly_pivot(spark, sf):
+    """AGG-21: machines x days anomaly matrix."""
+    from plantmetrics.operators.reports import anomaly_pivot
+    m = model(spark, sf)
+    named = _named(m)
+    # pivot values: one per calendar day present (bounded by the calendar)
+    days = [r[0] for r in named.select("reading_date").distinct().orderBy("reading_date").collect()]
+    return anomaly_pivot(named, days)
+
+
+@register("latest_readings")
+def _q_latest_readings(spark, sf):
+    """SRT-3: ten newest sensor readings."""
+    return (model(spark, sf).stg_sensor.select("machine_id", "ts", "temperature_c", "vibration_mm_s", "power_kw")
+            .orderBy(F.desc("ts"), "machine_id").limit(10))
+
+
+@register("latest_downtime")
+def _q_latest_downtime(spark, sf):
+    """SRT-3/FN-D2: ten newest stoppages with their hours."""
+    return (model(spark, sf).stg_downtime.select("machine_id", "reason_code", "started_at", "ended_at",
+                                                  F.col("duration_hrs").alias("downtime_hrs"))
+            .orderBy(F.desc("started_at"), F.desc("machine_id")).limit(10))
+
+
+@register("worst_recent_weeks")
+def _q_worst_recent_weeks(spark, sf):
+    """SRT-4: 20 rows by newest week, then lowest OEE percent."""
+    w = model(spark, sf).production_summary
+    return (w.select("machine_id", "week_start", F.round(F.col("avg_oee") * 100, 1).alias("avg_oee_pct"),
+                     "total_downtime_hrs")
+            .orderBy(F.desc("week_start"), F.asc_nulls_last("avg_oee_pct"), "machine_id").limit(20))
+
+
+# --- data quality -----------------------------------------------------------------------------
+@register("dq_not_null")
+def _q_dq_not_null(spark, sf):
+    """DQ-1: OEE rows with a NULL OEE."""
+    from plantmetrics.operators.dq import not_null
+    return not_null(model(spark, sf).oee_daily, "oee").select("machine_id", "shift_date")
+
+
+@register("dq_unique")
+def _q_dq_unique(spark, sf):
+    """DQ-2: duplicated defect ids."""
+    from plantmetrics.operators.dq import unique
+    return unique(model(spark, sf).stg_defects, "defect_id")
+
+
+@register("dq_accepted_range")
+def _q_dq_range(spark, sf):
+    """DQ-3: stored recommendations whose estimate is outside [1, 720] hours."""
+    from plantmetrics.operators.dq import accepted_range
+    r = model(spark, sf).recommendations_raw
+    return accepted_range(r, "estimated_hours_to_failure", 1, 720).select("rec_id", "estimated_hours_to_failure")
+
+
+@register("dq_accepted_values")
+def _q_dq_values(spark, sf):
+    """DQ-4: responses whose confidence is not HIGH/MEDIUM/LOW."""
+    from plantmetrics.operators.dq import accepted_values
+    from plantmetrics.sources.driver import DriverTables
+    r = DriverTables(spark, sf).table("responses").select(
+        "response_id", F.get_json_object("response", "$.confidence").alias("confidence"))
+    return accepted_values(r, "confidence", ["HIGH", "MEDIUM", "LOW"])
+
+
+@register("dq_unique_combo")
+def _q_dq_combo(spark, sf):
+    """DQ-5: (order_id, defect_type) pairs reported more than once."""
+    from plantmetrics.operators.dq import unique_combination
+    return unique_combination(model(spark, sf).stg_defects, ["order_id", "defect_type"])
+
+
+@register("dq_oee_bounds")
+def _q_dq_bounds(spark, sf):
+    """DQ-6/FLT-5: OEE rows out of [0, 1] or with NULL OEE."""
+    from plantmetrics.operators.dq import oee_bounds
+    return oee_bounds(model(spark, sf).oee_daily)
+
+
+@register("dq_foreign_key")
+def _q_dq_fk(spark, sf):
+    """DQ-7: orders without a machine, defects without an order, non-positive quantities."""
+    from plantmetrics.operators.dq import foreign_key
+    m = model(spark, sf)
+    a = foreign_key(m.stg_orders, m.stg_machines, "machine_id").select(F.lit("orders.machine_id").alias("check_name"), F.col("order_id").alias("key"))
+    b = foreign_key(m.stg_defects, m.stg_orders, "order_id").select(F.lit("defects.order_id").alias("check_name"), F.col("defect_id").alias("key"))
+    c = m.stg_defects.where(F.col("qty_defective") <= 0).select(F.lit("defects.qty_defective>0").alias("check_name"), F.col("defect_id").alias("key"))
+    return a.unionByName(b).unionByName(c)
+
+
+def dq_rules():
+    from plantmetrics.operators.dq import TableRules
+    rate = (0, 1)
+    return [
+        TableRules("oee_daily", not_null=["machine_id", "shift_date", "availability_rate", "performance_rate",
+                                          "quality_rate", "oee"],
+                   ranges={"availability_rate": rate, "performance_rate": rate, "quality_rate": rate, "oee": rate},
+                   unique_combos=[["machine_id", "shift_date"]]),
+        TableRules("machine_health", not_null=["machine_id", "reading_date", "anomaly_flag"],
+                   unique_combos=[["machine_id", "reading_date"]]),
+        TableRules("production_summary", not_null=["machine_id", "week_start", "avg_oee"], ranges={"avg_oee": rate}),
+        TableRules("maintenance_recommendations", not_null=["rec_id", "machine_id", "root_cause",
+                                                            "recommended_action", "confidence",
+                                                            "estimated_hours_to_failure"],
+                   ranges={"estimated_hours_to_failure": (1, 720)},
+                   values={"confidence": ["HIGH", "MEDIUM", "LOW"]}, unique=["rec_id"]),
+        TableRules("defects", not_null=["defect_id", "order_id"], unique=["defect_id"]),
+    ]
+
+
+@register("dq_report")
+def _q_dq_report(spark, sf):
+    """DQ-9: one-pass rule suite over the marts and sources."""
+    from plantmetrics.operators.dq import dq_report
+    m = model(spark, sf)
+    tables = {"oee_daily": m.oee_daily, "machine_health": m.machine_health,
+              "production_summary": m.production_summary, "maintenance_recommendations": m.recommendations_raw,
+              "defects": m.stg_defects}
+    return dq_report(tables, dq_rules())
+
+
+@register("table_counts")
+def _q_table_counts(spark, sf):
+    """DQ-8/SET-1/AGG-6: row counts of the pipeline's tables."""
+    from plantmetrics.operators.dq import table_counts
+    m = model(spark, sf)
+    return table_counts({
+        "sensor_readings": m.source.table("sensor_readings"), "downtime_events": m.source.table("downtime_events"),
+        "machines": m.source.table("machines"), "mart_oee_daily": m.oee_daily, "mart_machine_health": m.machine_health,
+        "mart_production_summary": m.production_summary, "failure_patterns": m.failure_patterns,
+        "maintenance_recommendations": m.recommendations_raw, "mart_maintenance_queue": m.maintenance_queue})
+
+
+# --- sinks ---------------------------------------------------------------------------------------
+@register("incremental_oee")
+def _q_incremental_oee(spark, sf):
+    """SNK-5: OEE table after a delete+insert of the trailing window (as_of - 3 days)."""
+    from plantmetrics.operators import oee
+    from plantmetrics.plans.incremental import merge_window, trailing_start
+    m = model(spark, sf)
+    since = trailing_start(m.params.as_of, m.params.lookback_days)
+    batch = oee.oee_daily(m.stg_machines, m.stg_orders, m.stg_downtime, m.stg_defects, since=since)
+    return merge_window(m.oee_daily, batch, ["machine_id", "shift_date"], "shift_date", since)
+
+
+@register("incremental_health")
+def _q_incremental_health(spark, sf):
+    """SNK-5: health table after a delete+insert of the trailing window."""
+    from plantmetrics.operators import health
+    from plantmetrics.plans.incremental import merge_window, trailing_start
+    m = model(spark, sf)
+    since = trailing_start(m.params.as_of, m.params.lookback_days)
+    batch = health.machine_health(m.stg_sensor, m.params, since=since)
+    return merge_window(m.machine_health, batch, ["machine_id", "reading_date"], "reading_date", since)
+
+
+@register("overwrite_reload")
+def _q_overwrite_reload(spark, sf):
+    """SNK-2/SNK-4: staged readings written twice with overwrite to the shared folder,
+    read back (the second write replaces the first)."""
+    import uuid
+
+    from plantmetrics.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/reload-{uuid.uuid4().hex}/sensor_readings"
+    s = model(spark, sf).stg_sensor
+    s.write.mode("overwrite").partitionBy("reading_date").parquet(path)
+    s.write.mode("overwrite").partitionBy("reading_date").parquet(path)
+    return spark.read.parquet(path).select(*s.columns)
