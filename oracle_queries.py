@@ -50,6 +50,7 @@ def avg_dec(col: str, s: int, out_p: int, out_s: int) -> str:
 HOURS_US = 3_600_000_000
 
 CTES: dict[str, str] = {}
+RECURSIVE: set[str] = set()
 
 
 def cte(name: str, body: str) -> None:
@@ -408,10 +409,140 @@ SELECT (SELECT coalesce(max(rec_id), 0) FROM recs_raw) + row_number() OVER (ORDE
        estimated_hours_to_failure, confidence, similar_pattern_ids
 FROM new_recs_0130""")
 
-def _deps(text: str, seen: list[str]) -> None:
+
+# --- events & signals -----------------------------------------------------------------------
+
+
+def cooldown(name: str, src: str, key: str, ts: str, ident: str, seconds: int) -> None:
+    """ident: comma-separated tie-break columns after ts."""
+    """Greedy cooldown as a recursive walk over each key's events in (ts, id) order."""
+    T = seconds * 1_000_000
+    cte(f"{name}_ordered", f"""
+SELECT *, epoch_us({ts}) AS _t, row_number() OVER (PARTITION BY {key} ORDER BY {ts}, {ident}) AS _rn FROM {src}""")
+    cte(f"{name}_walk", f"""
+SELECT {key} AS _k, _rn, _t AS _last, TRUE AS _kept FROM {name}_ordered WHERE _rn = 1
+UNION ALL
+SELECT o.{key}, o._rn, CASE WHEN o._t > w._last + {T} THEN o._t ELSE w._last END, o._t > w._last + {T}
+FROM {name}_walk w JOIN {name}_ordered o ON o.{key} = w._k AND o._rn = w._rn + 1""")
+    RECURSIVE.add(f"{name}_walk")
+    cte(name, f"""
+SELECT o.* EXCLUDE (_t, _rn) FROM {name}_walk w JOIN {name}_ordered o ON o.{key} = w._k AND o._rn = w._rn
+WHERE w._kept""")
+
+
+cooldown("cooldown_kept", "dt_raw", "machine_id", "started_at", "event_id", 7200)
+cte("sig", """
+SELECT l_orderkey * 10 + l_linenumber AS UDI, 'P' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS "Product ID",
+       CAST(l_suppkey % (SELECT n FROM n_m) AS INTEGER) AS machine_id,
+       l_shipdate + to_minutes(CAST((l_orderkey % 288) * 5 AS INTEGER)) AS ts,
+       300.0 + l_quantity / 10 AS temp_k, 1000.0 + l_extendedprice % 2000 AS rpm, l_quantity AS torque,
+       CAST(l_returnflag = 'R' AS INTEGER) AS failure,
+       CAST(l_returnflag = 'R' AND l_partkey % 7 = 0 AS INTEGER) AS TWF,
+       CAST(l_returnflag = 'R' AND l_partkey % 7 = 1 AS INTEGER) AS HDF,
+       CAST(l_returnflag = 'R' AND l_partkey % 7 = 2 AS INTEGER) AS PWF,
+       CAST(l_returnflag = 'R' AND l_partkey % 7 = 3 AS INTEGER) AS OSF,
+       CAST(l_returnflag = 'R' AND l_partkey % 7 = 4 AS INTEGER) AS RNF,
+       l_linenumber
+FROM lineitem""")
+REASON_CASE = ("CASE WHEN TWF = 1 THEN 'TOOLING_FAILURE' WHEN HDF = 1 THEN 'MATERIAL_JAM' "
+               "WHEN PWF = 1 THEN 'POWER_FLUCTUATION' WHEN OSF = 1 THEN 'OPERATOR_ERROR' "
+               "WHEN RNF = 1 THEN 'UNPLANNED_BREAKDOWN' ELSE 'UNPLANNED_BREAKDOWN' END")
+cte("sig_fail", "SELECT * FROM sig WHERE failure = 1")
+cooldown("sig_kept", "sig_fail", "machine_id", "ts", 'UDI, "Product ID"', 7200)
+cte("derived_downtime", f"""
+SELECT (SELECT coalesce(max(event_id), 0) FROM dt_raw) + row_number() OVER (ORDER BY ts, machine_id, UDI, "Product ID") AS event_id,
+       machine_id, ts AS started_at, ts + to_minutes(CAST(15 + (UDI * 7 + machine_id) % 166 AS INTEGER)) AS ended_at,
+       {REASON_CASE} AS reason_code
+FROM sig_kept""")
+cte("sig_clean", """
+SELECT UDI, temp_k AS "Process temperature [K]", rpm AS "Rotational speed [rpm]", torque AS "Torque [Nm]",
+       failure AS "Machine failure", TWF, HDF, PWF, OSF, RNF
+FROM sig WHERE l_linenumber <> 7""")
+cte("sig_features", f"""
+SELECT UDI, "Process temperature [K]" - 273.15 AS process_temp_c, "Rotational speed [rpm]" AS rpm,
+       "Torque [Nm]" * "Rotational speed [rpm]" * pi() / 30.0 / 1000.0 AS power_kw,
+       coalesce("Machine failure", 0) = 1 AS failure, {REASON_CASE} AS failure_reason
+FROM sig_clean""")
+cte("sig_stats", """
+SELECT count(*) AS rows, avg(process_temp_c) AS temp_mean, stddev_samp(process_temp_c) AS temp_std,
+       avg(rpm) AS rpm_mean, stddev_samp(rpm) AS rpm_std, avg(power_kw) AS pwr_mean, stddev_samp(power_kw) AS pwr_std,
+       count_if(failure) AS failures, avg(CAST(failure AS INTEGER)) AS failure_rate
+FROM sig_features""")
+cte("sig_all_features", """
+SELECT UDI, machine_id, temp_k - 273.15 AS process_temp_c, rpm, torque * rpm * pi() / 30.0 / 1000.0 AS power_kw
+FROM sig""")
+cte("baselines", """
+SELECT * FROM (VALUES (1, 68.0, 1.20, 18.5, 3.0, 0.15, 1.5), (2, 70.5, 1.35, 19.2, 3.0, 0.15, 1.5),
+  (3, 55.0, 0.85, 12.0, 2.5, 0.10, 1.0), (4, 56.5, 0.90, 12.8, 2.5, 0.10, 1.0), (5, 82.0, 2.10, 35.0, 5.0, 0.25, 3.0),
+  (6, 81.5, 2.05, 34.5, 5.0, 0.25, 3.0), (7, 60.0, 1.00, 22.0, 3.0, 0.12, 2.0), (8, 75.0, 0.60, 45.0, 4.0, 0.08, 4.0),
+  (9, 74.5, 0.65, 44.8, 4.0, 0.08, 4.0), (10, 40.0, 0.20, 8.5, 2.0, 0.05, 0.8))
+  AS t(baseline_id, temp, vib, pwr, temp_std, vib_std, pwr_std)""")
+
+
+def zs(raw: str, m: str, sd: str, tm: str, ts: str) -> str:
+    st = "st.{c}"
+    return (f"(CAST({tm} AS DOUBLE) + CASE WHEN {st.format(c=sd)} > 0 THEN ({raw} - {st.format(c=m)}) / {st.format(c=sd)} "
+            f"ELSE 0.0 END * CAST({ts} AS DOUBLE))")
+
+
+cte("zscaled", f"""
+SELECT f.UDI, f.machine_id,
+       greatest(20.0, round({zs('f.process_temp_c', 'temp_mean', 'temp_std', 'b.temp', 'b.temp_std')}, 2)) AS temperature_c,
+       greatest(0.0, round(abs({zs('f.rpm', 'rpm_mean', 'rpm_std', 'b.vib', 'b.vib_std')}), 3)) AS vibration_mm_s,
+       greatest(0.0, round(abs({zs('f.power_kw', 'pwr_mean', 'pwr_std', 'b.pwr', 'b.pwr_std')}), 3)) AS power_kw
+FROM sig_all_features f JOIN baselines b ON (f.machine_id % 10 + 10) % 10 + 1 = b.baseline_id,
+     (SELECT avg(process_temp_c) AS temp_mean, stddev_samp(process_temp_c) AS temp_std, avg(rpm) AS rpm_mean,
+             stddev_samp(rpm) AS rpm_std, avg(power_kw) AS pwr_mean, stddev_samp(power_kw) AS pwr_std
+      FROM sig_all_features) st""")
+cte("coverage", """
+SELECT m.machine_id, d.shift_date, s.shift_label
+FROM stg_machines m
+CROSS JOIN (SELECT CAST(unnest(range(CAST(min(shift_date) AS TIMESTAMP), CAST(max(shift_date) AS TIMESTAMP) + INTERVAL 1 DAY,
+                                     INTERVAL 1 DAY)) AS DATE) AS shift_date FROM stg_orders) d
+CROSS JOIN (SELECT unnest(['MORNING', 'AFTERNOON', 'NIGHT']) AS shift_label) s
+WHERE NOT EXISTS (SELECT 1 FROM stg_orders o
+                  WHERE o.machine_id = m.machine_id AND o.shift_date = d.shift_date AND o.shift_label = s.shift_label)""")
+
+# --- reports -------------------------------------------------------------------------------------
+cte("summary7", f"""
+SELECT machine_name, machine_type, production_line,
+       {_avg_units('oee', 4)} AS o8, {_avg_units('availability_rate', 4)} AS a8,
+       {_avg_units('performance_rate', 4)} AS p8, {_avg_units('quality_rate', 4)} AS q8
+FROM oee_daily WHERE shift_date >= (SELECT max(shift_date) FROM oee_daily) - 7
+GROUP BY machine_name, machine_type, production_line""")
+cte("named", """
+SELECT h.machine_id, o.machine_name, o.machine_type, h.reading_date, h.avg_temp_c, h.max_temp_c,
+       h.avg_vibration_mm_s, h.max_vibration_mm_s, h.avg_power_kw, h.max_power_kw, h.anomaly_flag
+FROM machine_health h JOIN (SELECT DISTINCT machine_id, machine_name, machine_type FROM oee_daily) o
+  ON h.machine_id = o.machine_id""")
+
+
+def u8(x: str) -> str:
+    return f"CAST({units(x, 8, 38)} AS DOUBLE)"
+
+
+def u12(x: str) -> str:
+    return f"CAST({units(x, 12, 38)} AS DOUBLE)"
+
+
+def avg_of_units(col: str) -> str:
+    """Spark AVG over decimal(9,8) values held as integer units: result scale 12."""
+    return f"CASE WHEN count({col}) = 0 THEN NULL ELSE {hu(f'sum({col})', f'count({col})', 4)} END"
+
+
+cte("weekly_fleet", f"""
+SELECT week_start, {_avg_units('avg_oee', 4)} AS w8 FROM production_summary GROUP BY week_start""")
+
+
+
+def _deps(text: str, seen: list[str], visiting: set[str] | None = None) -> None:
+    visiting = set() if visiting is None else visiting
     for name in CTES:
-        if name not in seen and re.search(rf"\b{re.escape(name)}\b", text):
-            _deps(CTES[name], seen)
+        if name in seen or name in visiting:
+            continue
+        if re.search(rf"\b{re.escape(name)}\b", text):
+            visiting.add(name)
+            _deps(CTES[name], seen, visiting)
             if name not in seen:
                 seen.append(name)
 
@@ -422,7 +553,8 @@ def with_ctes(final: str) -> str:
     if not order:
         return final
     body = ",\n".join(f"{n} AS ({CTES[n].strip()})" for n in order)
-    return f"WITH {body}\n{final}"
+    kw = "WITH RECURSIVE" if RECURSIVE & set(order) else "WITH"
+    return f"{kw} {body}\n{final}"
 
 
 QUERIES: dict[str, str] = {}
@@ -517,3 +649,153 @@ q("recommendations", f"""SELECT machine_id, machine_name, generated_at, {dbl('an
  {dbl('estimated_hours_to_failure')}, confidence, similar_pattern_ids FROM new_recs""")
 q("upsert_recommendations", f"""SELECT rec_id, machine_id, machine_name, generated_at, {dbl('anomaly_score')}, root_cause,
  recommended_action, {dbl('estimated_hours_to_failure')}, confidence, similar_pattern_ids FROM upserted""")
+
+q("cooldown_events", "SELECT event_id, machine_id, started_at, ended_at, reason_code FROM cooldown_kept")
+q("derive_downtime", "SELECT * FROM derived_downtime")
+q("csv_clean", "SELECT * FROM sig_clean")
+q("signal_features", "SELECT * FROM sig_features")
+q("signal_stats", "SELECT * FROM sig_stats")
+q("zscale_signals", "SELECT * FROM zscaled")
+q("failure_reason", f"SELECT UDI, {REASON_CASE} AS reason_code FROM sig WHERE failure = 1")
+q("coverage_gaps", "SELECT * FROM coverage")
+q("oee_summary_7d", f"""SELECT machine_name, machine_type, production_line, {u8('o8')} AS avg_oee, {u8('a8')} AS avg_availability,
+ {u8('p8')} AS avg_performance, {u8('q8')} AS avg_quality FROM summary7""")
+q("oee_bands", f"""SELECT machine_name, {u8('o8')} AS avg_oee,
+ CASE WHEN o8 IS NULL THEN 'NONE' WHEN o8 >= 85000000 THEN 'WORLD_CLASS' WHEN o8 >= 60000000 THEN 'ACCEPTABLE' ELSE 'AT_RISK' END AS band
+FROM summary7""")
+q("fleet_kpis", f"""SELECT {u12(avg_of_units('o8'))} AS fleet_avg_oee, count_if(o8 >= 85000000) AS n_world_class,
+ count_if(o8 < 60000000) AS n_at_risk, count(*) AS n_machines FROM summary7""")
+q("fleet_trend", f"""SELECT {u8('r8')} AS recent_oee, {u8('p8')} AS prior_oee,
+ CASE WHEN r8 IS NOT NULL AND p8 IS NOT NULL AND p8 > 0 THEN CASE WHEN r8 >= p8 THEN 'improved' ELSE 'declined' END END AS direction,
+ CASE WHEN r8 IS NOT NULL AND p8 IS NOT NULL AND p8 > 0 THEN {u8('abs(r8 - p8)')} END AS abs_delta
+FROM (SELECT {_avg_units('CASE WHEN shift_date >= (SELECT max(shift_date) FROM oee_daily) - 7 THEN oee END', 4)} AS r8,
+             {_avg_units('CASE WHEN shift_date >= (SELECT max(shift_date) FROM oee_daily) - 14 AND shift_date < (SELECT max(shift_date) FROM oee_daily) - 7 THEN oee END', 4)} AS p8
+      FROM oee_daily)""")
+q("weakest_component", f"""SELECT component, {u12('v')} AS rate FROM (
+   SELECT 'Availability' AS component, 1 AS ord, (SELECT {avg_of_units('a8')} FROM summary7) AS v
+   UNION ALL SELECT 'Performance', 2, (SELECT {avg_of_units('p8')} FROM summary7)
+   UNION ALL SELECT 'Quality', 3, (SELECT {avg_of_units('q8')} FROM summary7))
+ WHERE v IS NOT NULL ORDER BY v, ord LIMIT 1""")
+q("lowest_performer", f"""SELECT
+ (SELECT machine_name FROM summary7 WHERE o8 IS NOT NULL ORDER BY o8, machine_name LIMIT 1) AS machine_name,
+ {u8('min(o8)')} AS avg_oee, {u8('85000000 - min(o8)')} AS gap_to_target,
+ count_if(o8 < 85000000) AS n_below_target, count(*) AS n_machines FROM summary7""")
+q("oee_pct_by_machine", f"""SELECT machine_id,
+ CAST({units(hu(_avg_units('oee', 4), 100000, 0), 1, 10)} AS DOUBLE) AS avg_oee_pct,
+ CAST({units(hu(as_int('min(oee)', 4), 10, 0), 1, 10)} AS DOUBLE) AS min_oee_pct,
+ CAST({units(hu(as_int('max(oee)', 4), 10, 0), 1, 10)} AS DOUBLE) AS max_oee_pct
+FROM oee_daily GROUP BY machine_id""")
+q("anomaly_days_by_machine", """SELECT machine_id, CAST(sum(CASE WHEN anomaly_flag THEN 1 ELSE 0 END) AS BIGINT) AS anomaly_days,
+ count(*) AS total_days FROM machine_health GROUP BY machine_id""")
+q("health_with_names", f"""SELECT machine_id, machine_name, machine_type, reading_date,
+ {dbl('avg_temp_c', 'max_temp_c', 'avg_vibration_mm_s', 'max_vibration_mm_s', 'avg_power_kw', 'max_power_kw')}, anomaly_flag FROM named""")
+q("latest_health_status", """SELECT count_if(last_flag) AS n_active_anomaly, count(*) AS n_machines, max(last_date) AS latest_reading_date
+FROM (SELECT machine_name, max(reading_date) OVER (PARTITION BY machine_name) AS last_date, anomaly_flag AS last_flag
+      FROM named WHERE anomaly_flag IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY machine_name ORDER BY reading_date DESC, machine_id DESC) = 1)""")
+q("most_anomalous", """SELECT machine_name, anomaly_days, (SELECT count(DISTINCT reading_date) FROM named) AS total_days FROM
+ (SELECT machine_name, CAST(sum(CAST(anomaly_flag AS INTEGER)) AS BIGINT) AS anomaly_days FROM named GROUP BY machine_name
+  ORDER BY anomaly_days DESC, machine_name LIMIT 1)""")
+_AT6 = hu(as_int('sum(avg_temp_c)', 2), 'count(avg_temp_c)', 4)
+_AV7 = hu(as_int('sum(avg_vibration_mm_s)', 3), 'count(avg_vibration_mm_s)', 4)
+q("anomaly_driver", f"""SELECT machine_name, anomaly_days, CAST(peak_temp_c AS DOUBLE) AS peak_temp_c,
+ CAST({units('at6', 6, 38)} AS DOUBLE) AS avg_temp_c, CAST(peak_vibration_mm_s AS DOUBLE) AS peak_vibration_mm_s,
+ CAST({units('av7', 7, 38)} AS DOUBLE) AS avg_vibration_mm_s,
+ CASE WHEN {as_int('peak_temp_c', 2)} * av7 > {as_int('peak_vibration_mm_s', 3)} * at6 THEN 'temperature' ELSE 'vibration' END AS primary_driver
+FROM (SELECT machine_name, count_if(anomaly_flag) AS anomaly_days, max(max_temp_c) AS peak_temp_c, {_AT6} AS at6,
+             max(max_vibration_mm_s) AS peak_vibration_mm_s, {_AV7} AS av7
+      FROM named GROUP BY machine_name) WHERE anomaly_days > 0""")
+q("anomaly_days", f"SELECT machine_name, reading_date, {dbl('max_temp_c', 'max_vibration_mm_s', 'max_power_kw')} FROM named WHERE anomaly_flag")
+q("oee_components_long", f"""SELECT machine_name, 'Availability' AS component, {u8('a8')} AS rate FROM summary7
+ UNION ALL SELECT machine_name, 'Performance', {u8('p8')} FROM summary7
+ UNION ALL SELECT machine_name, 'Quality', {u8('q8')} FROM summary7""")
+q("downtime_share", f"""SELECT machine_name, CAST(machine_hrs AS DOUBLE) AS machine_hrs, CAST(total_hrs AS DOUBLE) AS total_hrs,
+ CAST({units(hu(as_int('machine_hrs', 4), as_int('total_hrs', 4), 6), 6, 10)} AS DOUBLE) AS share
+FROM (SELECT (SELECT machine_name FROM (SELECT machine_name, sum(total_downtime_hrs) AS h FROM production_summary GROUP BY machine_name)
+              ORDER BY h DESC, machine_name LIMIT 1) AS machine_name,
+             max(h) AS machine_hrs, sum(h) AS total_hrs
+      FROM (SELECT machine_name, sum(total_downtime_hrs) AS h FROM production_summary GROUP BY machine_name))
+WHERE total_hrs > 0""")
+q("latest_week_kpis", """SELECT max(week_start) AS week_start, CAST(sum(total_units_produced) AS BIGINT) AS units_produced,
+ CAST(sum(total_good_units) AS BIGINT) AS good_units, CAST(sum(total_defects) AS BIGINT) AS defects,
+ CAST(sum(total_downtime_hrs) AS DOUBLE) AS downtime_hrs
+FROM production_summary WHERE week_start = (SELECT max(week_start) FROM production_summary)""")
+q("latest_week_detail", f"""SELECT machine_name, machine_type, total_units_produced, total_good_units, total_defects,
+ {dbl('total_downtime_hrs', 'avg_oee')},
+ CAST(CASE WHEN total_units_produced = 0 THEN 0 ELSE {units(hu('total_defects', 'total_units_produced', 6), 6, 10)} END AS DOUBLE) AS defect_rate
+FROM production_summary WHERE week_start = (SELECT max(week_start) FROM production_summary)""")
+q("week_over_week", f"""SELECT week_start AS latest_week, {u8('w8')} AS latest_oee, {u8('p8')} AS prior_oee, {u8('w8 - p8')} AS delta,
+ CASE WHEN w8 - p8 >= 0 THEN 'up' ELSE 'down' END AS direction,
+ (SELECT count_if(avg_oee < 0.85) FROM production_summary WHERE week_start = (SELECT max(week_start) FROM production_summary)) AS n_below_target
+FROM (SELECT week_start, w8, lag(w8) OVER (ORDER BY week_start) AS p8 FROM weekly_fleet)
+WHERE week_start = (SELECT max(week_start) FROM production_summary) AND p8 IS NOT NULL""")
+q("weekly_downtime", f"SELECT week_start, machine_name, {dbl('total_downtime_hrs')} FROM production_summary")
+q("oee_trend_series", f"SELECT machine_name, shift_date, {dbl('oee', 'availability_rate', 'performance_rate', 'quality_rate')} FROM oee_daily")
+q("oee_trend_selected", f"""SELECT machine_name, shift_date, {dbl('oee')} FROM oee_daily
+WHERE machine_name IN (SELECT machine_name FROM (SELECT DISTINCT machine_name FROM oee_daily) ORDER BY machine_name LIMIT 4)""")
+q("anomaly_pivot", """SELECT * FROM (PIVOT (SELECT machine_name, CAST(reading_date AS VARCHAR) AS d, CAST(anomaly_flag AS INTEGER) AS a FROM named)
+ ON d USING max(a) GROUP BY machine_name)""")
+q("latest_readings", f"""SELECT machine_id, ts, {dbl('temperature_c', 'vibration_mm_s', 'power_kw')} FROM stg_sensor
+ ORDER BY ts DESC, machine_id LIMIT 10""")
+q("latest_downtime", f"""SELECT machine_id, reason_code, started_at, ended_at, CAST(duration_hrs AS DOUBLE) AS downtime_hrs
+ FROM stg_downtime ORDER BY started_at DESC, machine_id DESC LIMIT 10""")
+q("worst_recent_weeks", f"""SELECT machine_id, week_start, CAST({units(hu(as_int('avg_oee', 4), 10, 0), 1, 10)} AS DOUBLE) AS avg_oee_pct,
+ {dbl('total_downtime_hrs')} FROM production_summary
+ ORDER BY week_start DESC, avg_oee_pct ASC NULLS LAST, machine_id LIMIT 20""")
+q("dq_not_null", "SELECT machine_id, shift_date FROM oee_daily WHERE oee IS NULL")
+q("dq_unique", "SELECT defect_id, count(*) AS n FROM stg_defects WHERE defect_id IS NOT NULL GROUP BY defect_id HAVING count(*) > 1")
+q("dq_accepted_range", f"""SELECT rec_id, {dbl('estimated_hours_to_failure')} FROM recs_raw
+ WHERE NOT (estimated_hours_to_failure >= 1 AND estimated_hours_to_failure <= 720)""")
+q("dq_accepted_values", """SELECT response_id, confidence FROM (SELECT response_id,
+   CASE WHEN json_valid(response) THEN json_extract_string(response, '$.confidence') END AS confidence FROM responses)
+ WHERE confidence NOT IN ('HIGH', 'MEDIUM', 'LOW')""")
+q("dq_unique_combo", "SELECT order_id, defect_type, count(*) AS n FROM stg_defects GROUP BY order_id, defect_type HAVING count(*) > 1")
+q("dq_oee_bounds", f"""SELECT machine_id, shift_date, {dbl('availability_rate', 'performance_rate', 'quality_rate', 'oee')} FROM oee_daily
+ WHERE oee < 0 OR oee > 1 OR availability_rate < 0 OR availability_rate > 1 OR performance_rate < 0 OR performance_rate > 1
+    OR quality_rate < 0 OR quality_rate > 1 OR oee IS NULL""")
+q("dq_foreign_key", """SELECT 'orders.machine_id' AS check_name, order_id AS key FROM stg_orders o
+   WHERE NOT EXISTS (SELECT 1 FROM stg_machines m WHERE m.machine_id = o.machine_id)
+ UNION ALL SELECT 'defects.order_id', defect_id FROM stg_defects d
+   WHERE NOT EXISTS (SELECT 1 FROM stg_orders o WHERE o.order_id = d.order_id)
+ UNION ALL SELECT 'defects.qty_defective>0', defect_id FROM stg_defects WHERE qty_defective <= 0""")
+q("table_counts", """SELECT 'sensor_readings' AS table_name, count(*) AS rows FROM stg_sensor
+ UNION ALL SELECT 'downtime_events', count(*) FROM dt_raw
+ UNION ALL SELECT 'machines', count(*) FROM stg_machines
+ UNION ALL SELECT 'mart_oee_daily', count(*) FROM oee_daily
+ UNION ALL SELECT 'mart_machine_health', count(*) FROM machine_health
+ UNION ALL SELECT 'mart_production_summary', count(*) FROM production_summary
+ UNION ALL SELECT 'failure_patterns', count(*) FROM pattern_store
+ UNION ALL SELECT 'maintenance_recommendations', count(*) FROM recs_raw
+ UNION ALL SELECT 'mart_maintenance_queue', count(*) FROM maintenance_queue""")
+QUERIES["incremental_oee"] = QUERIES["oee_daily"]
+QUERIES["incremental_health"] = QUERIES["machine_health"]
+QUERIES["overwrite_reload"] = QUERIES["stg_sensor"]
+
+
+def _dq_report_sql() -> str:
+    from query_registry import dq_rules
+    table_cte = {"oee_daily": "oee_daily", "machine_health": "machine_health",
+                 "production_summary": "production_summary", "maintenance_recommendations": "recs_raw",
+                 "defects": "stg_defects"}
+    parts = []
+    for r in dq_rules():
+        t = table_cte[r.name]
+        for c in r.not_null:
+            parts.append(f"SELECT '{r.name}' AS table_name, 'not_null({c})' AS rule, CAST(count_if({c} IS NULL) AS BIGINT) AS failures FROM {t}")
+        for c, (lo, hi) in r.ranges.items():
+            parts.append(f"SELECT '{r.name}', 'accepted_range({c},{lo},{hi})', CAST(count_if(NOT ({c} >= {lo} AND {c} <= {hi})) AS BIGINT) FROM {t}")
+        for c, vals in r.values.items():
+            lst = ", ".join(f"'{v}'" for v in vals)
+            parts.append(f"SELECT '{r.name}', 'accepted_values({c})', CAST(count_if({c} NOT IN ({lst})) AS BIGINT) FROM {t}")
+        for c in r.unique:
+            parts.append(f"SELECT '{r.name}', 'unique({c})', CAST(count(*) AS BIGINT) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
+        for cols in r.unique_combos:
+            cl = ", ".join(cols)
+            parts.append(f"SELECT '{r.name}', 'unique_combination({','.join(cols)})', CAST(count(*) AS BIGINT) FROM (SELECT {cl} FROM {t} GROUP BY {cl} HAVING count(*) > 1)")
+    return "\nUNION ALL ".join(parts)
+
+
+try:
+    q("dq_report", _dq_report_sql())
+except ImportError:  # pragma: no cover - the registry needs pyspark
+    pass

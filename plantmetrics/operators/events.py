@@ -48,26 +48,30 @@ def epoch_micros(ts: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), ts)
 
 
-def greedy_cooldown(events: DataFrame, key: str, ts: str, event_id: str, cooldown_s: int) -> DataFrame:
+def greedy_cooldown(events: DataFrame, key: str, ts: str, tiebreak: list[str], cooldown_s: int) -> DataFrame:
     """Rows of ``events`` kept by the greedy cooldown (strictly more than ``cooldown_s``
-    seconds after the previous kept row of the same key). ``event_id`` must be unique;
-    ties in time are ordered by it."""
+    seconds after the previous kept row of the same key). Rows are walked in
+    (ts, *tiebreak) order; rows equal on all of those are ordered by an internal row id."""
     spark = events.sparkSession
     ensure_checkpoint_dir(spark)
     T = int(cooldown_s) * 1_000_000
-    ev = events.select(F.col(key).alias("k"), F.col(event_id).alias("id"), epoch_micros(F.col(ts)).alias("t"))
+    tagged = events.withColumn("_rid", F.monotonically_increasing_id()).checkpoint()
+    tb = [F.col(c).alias(f"_tb{i}") for i, c in enumerate(tiebreak)]
+    tbn = [f"_tb{i}" for i in range(len(tiebreak))]
+    ev = tagged.select(F.col(key).alias("k"), F.col("_rid").alias("id"), epoch_micros(F.col(ts)).alias("t"), *tb)
     ev = ev.withColumn("b", F.floor(F.col("t") / F.lit(T)).cast("long"))
+    okey = F.struct("t", *tbn, "id")
 
     # first event of each non-empty bucket
-    first = ev.groupBy("k", "b").agg(F.min(F.struct("t", "id")).alias("f"))
+    first = ev.groupBy("k", "b").agg(F.min(okey).alias("f"))
 
     # succ(e): probes t+T from bucket b-1 against the real events of bucket b
-    reals = ev.select("k", "b", "t", "id", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("src"))
+    reals = ev.select("k", "b", "t", *tbn, "id", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("src"))
     probes = ev.select("k", (F.col("b") + 1).alias("b"), (F.col("t") + F.lit(T)).alias("t"),
-                       F.col("id"), F.lit(1).alias("kind"), F.col("id").alias("src"))
-    w = (Window.partitionBy("k", "b").orderBy(F.desc("t"), F.desc("kind"), F.desc("id"))
+                       *[F.col(c) for c in tbn], F.col("id"), F.lit(1).alias("kind"), F.col("id").alias("src"))
+    w = (Window.partitionBy("k", "b").orderBy(F.desc("t"), F.desc("kind"), *[F.desc(c) for c in tbn], F.desc("id"))
          .rowsBetween(Window.unboundedPreceding, -1))
-    nxt_real = F.min(F.when(F.col("kind") == 0, F.struct("t", "id"))).over(w)
+    nxt_real = F.min(F.when(F.col("kind") == 0, okey)).over(w)
     succ = (reals.unionByName(probes).withColumn("nr", nxt_real)
             .where(F.col("kind") == 1).select(F.col("src").alias("id"), F.col("nr.id").alias("succ")))
 
@@ -75,7 +79,7 @@ def greedy_cooldown(events: DataFrame, key: str, ts: str, event_id: str, cooldow
     jump = (ev.join(succ, "id", "left").join(fallback, ["k", "b"], "left")
             .select("id", F.coalesce("succ", "fb").alias("nxt")).where(F.col("nxt").isNotNull()))
 
-    # run roots and the longest run
+    # run roots and the longest run (a run: consecutive non-empty buckets of one key)
     g = first.withColumn("grp", F.col("b") - F.row_number().over(Window.partitionBy("k").orderBy("b")))
     runs = g.groupBy("k", "grp").agg(F.min("b").alias("start"), F.count(F.lit(1)).alias("len"))
     roots = runs.join(first.withColumnRenamed("b", "start"), ["k", "start"]).select(F.col("f.id").alias("id"))
@@ -90,7 +94,7 @@ def greedy_cooldown(events: DataFrame, key: str, ts: str, event_id: str, cooldow
     kept = roots.checkpoint()
     for j in reversed(jumps[:levels]):
         kept = kept.unionByName(kept.join(j, "id").select(F.col("nxt").alias("id"))).distinct().checkpoint()
-    return events.join(kept.withColumnRenamed("id", event_id), event_id, "left_semi")
+    return tagged.join(kept.withColumnRenamed("id", "_rid"), "_rid", "left_semi").drop("_rid")
 
 
 def failure_reason(flags: dict[str, Column] | None = None) -> Column:
@@ -111,12 +115,12 @@ def derive_downtime(signal_rows: DataFrame, existing_ids: DataFrame, cooldown_s:
     """Failure rows -> stoppage events: per machine greedy cooldown, reason from the
     flags, deterministic length, and event ids continuing after the existing maximum."""
     fails = signal_rows.where(F.col("Machine failure") == 1)
-    kept = greedy_cooldown(fails, "machine_id", "ts", "UDI", cooldown_s)
+    kept = greedy_cooldown(fails, "machine_id", "ts", ["UDI", "Product ID"], cooldown_s)
     ev = kept.select(
-        "UDI", "machine_id", F.col("ts").alias("started_at"),
+        "UDI", "Product ID", "machine_id", F.col("ts").alias("started_at"),
         (F.col("ts") + F.make_dt_interval(mins=stoppage_minutes(F.col("UDI"), F.col("machine_id")).cast("int")))
         .alias("ended_at"),
         failure_reason().alias("reason_code"))
     start = existing_ids.select(F.coalesce(F.max("event_id"), F.lit(0)) + 1).scalar()
-    return assign_ids(ev, ["started_at", "machine_id", "UDI"], "event_id", start).select(
+    return assign_ids(ev, ["started_at", "machine_id", "UDI", "Product ID"], "event_id", start).select(
         "event_id", "machine_id", "started_at", "ended_at", "reason_code")

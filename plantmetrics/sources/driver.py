@@ -203,6 +203,8 @@ class DriverTables(Source):
         flags = [(fail & (sel == i)).cast("int").alias(n) for i, n in enumerate(["TWF", "HDF", "PWF", "OSF", "RNF"])]
         return [
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("UDI"),
+            F.concat(F.lit("P"), F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_suppkey").cast("string"))
+            .alias("Product ID"),
             (F.col("l_suppkey") % self.n_machines).cast(IntegerType()).alias("machine_id"),
             (F.col("l_shipdate") + F.make_dt_interval(mins=((F.col("l_orderkey") % 288) * 5).cast("int")))
             .alias("ts"),

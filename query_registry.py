@@ -236,7 +236,7 @@ def _q_cooldown(spark, sf):
     """ST-4: stoppages kept by the per-machine greedy 2-hour cooldown."""
     from plantmetrics.operators.events import greedy_cooldown
     d = model(spark, sf).source.table("downtime_events")
-    return greedy_cooldown(d, "machine_id", "started_at", "event_id", model(spark, sf).params.cooldown_s)
+    return greedy_cooldown(d, "machine_id", "started_at", ["event_id"], model(spark, sf).params.cooldown_s)
 
 
 @register("derive_downtime")
