@@ -35,7 +35,8 @@ def check_schema(stored: DataFrame, new: DataFrame) -> None:
 def delete_insert(stored: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """stored minus rows whose key is in batch, plus batch (keyed delete+insert)."""
     check_schema(stored, batch)
-    return stored.join(batch.select(*keys).distinct(), keys, "left_anti").unionByName(batch)
+    kept = stored.join(batch.select(*keys).distinct(), keys, "left_anti").select(*stored.columns)
+    return kept.unionByName(batch)
 
 
 def trailing_start(as_of: dt.date, days: int) -> dt.date:
@@ -90,7 +91,7 @@ def upsert_recommendations(existing: DataFrame, new: DataFrame) -> DataFrame:
     rec_id continuing after the current maximum; every other day is kept."""
     new_keys = new.select("machine_id", F.to_date("generated_at").alias("_d")).distinct()
     kept = (existing.withColumn("_d", F.to_date("generated_at"))
-            .join(new_keys, ["machine_id", "_d"], "left_anti").drop("_d"))
+            .join(new_keys, ["machine_id", "_d"], "left_anti").select(*existing.columns))
     start = existing.select(F.coalesce(F.max("rec_id"), F.lit(0)) + 1).scalar()
     ided = assign_ids(new, ["machine_id"], "rec_id", start)
     return kept.unionByName(ided.select(*existing.columns))

@@ -19,27 +19,38 @@ from plantmetrics.params import DEFAULT, Params
 
 
 def health_parts_stream(readings: DataFrame, late_days: int = 3) -> DataFrame:
-    s = stg_sensor(readings).withWatermark("ts", f"{late_days} days")
-    g = s.groupBy("machine_id", F.window("ts", "1 day").alias("w"))
+    # watermarks need a zoned timestamp: the event time is ts read in the session zone
+    # (UTC in this engine), so the 1-day windows are the same days as reading_date
+    s = (stg_sensor(readings).withColumn("_event_ts", F.col("ts").cast("timestamp"))
+         .withWatermark("_event_ts", f"{late_days} days"))
+    g = s.groupBy("machine_id", F.window("_event_ts", "1 day").alias("w"))
     aggs = [F.count(F.lit(1)).alias("reading_count")]
     for c, n in [("temperature_c", "t"), ("vibration_mm_s", "v"), ("power_kw", "p")]:
         aggs += [F.sum(c).alias(f"_sum_{n}"), F.count(c).alias(f"_n_{n}"), F.max(c).alias(f"_max_{n}")]
     return g.agg(*aggs).withColumn("reading_date", F.to_date(F.col("w.start"))).drop("w")
 
 
-def upsert_batch(table: dict, batch: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """Merge one micro-batch of updated parts into the in-memory/stored health table.
+def upsert_batch(table: dict, finished: DataFrame, late_days: int = 3) -> DataFrame:
+    """Merge one micro-batch of finished health rows into the table, keyed by
+    (machine_id, reading_date).
 
-    ``table`` holds the current DataFrame under "df" (a written table in production).
+    Spark only promises to keep data that is less late than the watermark; it may still
+    aggregate older rows. The sink therefore ignores updates to days more than
+    ``late_days`` before the newest day already stored, which is exactly the batch
+    model's trailing-window rule. ``table["df"]`` holds the current table (a written
+    table in production); the merge is checkpointed to cut lineage.
     """
-    finished = health_finish(batch, params).select(*HEALTH_COLUMNS)
     cur = table.get("df")
-    merged = finished if cur is None else (
-        cur.join(finished.select("machine_id", "reading_date"), ["machine_id", "reading_date"], "left_anti")
-        .unionByName(finished))
-    merged = merged.checkpoint()
-    table["df"] = merged
-    return merged
+    if cur is not None:
+        newest = cur.select(F.max("reading_date")).first()[0]
+        if newest is not None:
+            finished = finished.where(F.col("reading_date") >= F.date_sub(F.lit(newest), late_days))
+        merged = (cur.join(finished.select("machine_id", "reading_date"), ["machine_id", "reading_date"], "left_anti")
+                  .unionByName(finished.select(*cur.columns)))
+    else:
+        merged = finished
+    table["df"] = merged.checkpoint()
+    return table["df"]
 
 
 def start_health_stream(readings: DataFrame, sink, checkpoint: str, params: Params = DEFAULT,
