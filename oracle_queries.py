@@ -799,3 +799,11 @@ try:
     q("dq_report", _dq_report_sql())
 except ImportError:  # pragma: no cover - the registry needs pyspark
     pass
+
+q("scan_sensor_readings", f"SELECT machine_id, ts, {dbl('temperature_c', 'vibration_mm_s', 'power_kw')} FROM stg_sensor")
+q("scan_machines", "SELECT * FROM stg_machines")
+q("sku_format", "SELECT product_sku, count(*) AS orders FROM stg_orders GROUP BY product_sku")
+q("clamp_null_safe", """SELECT count_if(planned_time_hrs > 0 AND downtime_hrs > planned_time_hrs) AS availability_clamped_at_0,
+ count_if(availability_rate IS NULL) AS availability_null, count_if(performance_rate IS NULL) AS performance_null,
+ count_if(performance_rate = 1) AS performance_at_1, count_if(quality_rate < 0) AS quality_negative, count(*) AS rows
+FROM oee_daily""")

@@ -528,3 +528,36 @@ def _q_overwrite_reload(spark, sf):
     s.write.mode("overwrite").partitionBy("reading_date").parquet(path)
     s.write.mode("overwrite").partitionBy("reading_date").parquet(path)
     return spark.read.parquet(path).select(*s.columns)
+
+
+# --- sources & small projections ------------------------------------------------------------------
+@register("scan_sensor_readings")
+def _q_scan_sensor(spark, sf):
+    """SRC-1: the raw readings table with its fixed schema."""
+    return model(spark, sf).source.table("sensor_readings")
+
+
+@register("scan_machines")
+def _q_scan_machines(spark, sf):
+    """SRC-2: the machine master through the source interface."""
+    return model(spark, sf).source.table("machines")
+
+
+@register("sku_format")
+def _q_sku_format(spark, sf):
+    """FN-S4: product codes 'SKU-' + 4-digit zero-padded number, orders per code."""
+    return model(spark, sf).stg_orders.groupBy("product_sku").agg(F.count(F.lit(1)).alias("orders"))
+
+
+@register("clamp_null_safe")
+def _q_clamp(spark, sf):
+    """PRJ-8/§1.4-1: how often each clamp or zero-denominator guard decided a rate."""
+    o = model(spark, sf).oee_daily
+    return o.agg(
+        F.count_if((F.col("planned_time_hrs") > 0) & (F.col("downtime_hrs") > F.col("planned_time_hrs")))
+        .alias("availability_clamped_at_0"),
+        F.count_if(F.col("availability_rate").isNull()).alias("availability_null"),
+        F.count_if(F.col("performance_rate").isNull()).alias("performance_null"),
+        F.count_if(F.col("performance_rate") == 1).alias("performance_at_1"),
+        F.count_if(F.col("quality_rate") < 0).alias("quality_negative"),
+        F.count(F.lit(1)).alias("rows"))
