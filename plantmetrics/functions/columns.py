@@ -18,15 +18,24 @@ def dec(value: str | int | float, p: int = 10, s: int = 4) -> Column:
     return F.lit(str(value)).cast(DecimalType(p, s))
 
 
+def ntz_micros(ts: Column | str) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ, computed from its calendar
+    fields. ``timestampdiff`` would route NTZ values through the session zone (and a DST
+    change would shift a duration by an hour); this never looks at a zone."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    days = F.unix_date(F.to_date(ts)).cast("long")
+    hm = (F.hour(ts) * 60 + F.minute(ts)).cast("long")
+    sec_us = (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("long")
+    return days * 86_400_000_000 + hm * 60_000_000 + sec_us
+
+
 def hours_between(start: Column | str, end: Column | str, p: int, s: int) -> Column:
     """Fractional hours from start to end, as DECIMAL(p,s), rounded half-up.
 
     Microsecond difference divided exactly in decimal; ``timestampdiff(SECOND)`` would
     drop fractional seconds.
     """
-    start = F.col(start) if isinstance(start, str) else start
-    end = F.col(end) if isinstance(end, str) else end
-    us = F.timestamp_diff("MICROSECOND", start, end).cast(DecimalType(20, 0))
+    us = (ntz_micros(end) - ntz_micros(start)).cast(DecimalType(20, 0))
     return (us / F.lit(_US_PER_HOUR).cast(DecimalType(11, 0))).cast(DecimalType(p, s))
 
 

@@ -45,7 +45,8 @@ _EPOCH = "1970-01-01 00:00:00"
 
 def epoch_micros(ts: Column) -> Column:
     """Microseconds since 1970 for a TIMESTAMP_NTZ (no time-zone dependence)."""
-    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), ts)
+    from plantmetrics.functions.columns import ntz_micros
+    return ntz_micros(ts)
 
 
 def greedy_cooldown(events: DataFrame, key: str, ts: str, tiebreak: list[str], cooldown_s: int) -> DataFrame:
