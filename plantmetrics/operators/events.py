@@ -11,8 +11,10 @@ machine's history:
   bucket keeps at most one event; and an event in bucket b is always > T after anything
   in bucket b-2 or earlier. So the kept event of bucket b is the first event of b if
   nothing was kept in b-1, else the first event of b later than (kept of b-1) + T.
-* ``succ(e)``: first event of bucket b+1 later than t(e) + T. Found with one window per
-  (machine, bucket) over the bucket's events plus the probes t(e)+T from bucket b-1.
+* ``succ(e)``: first event of bucket b+1 later than t(e) + T. Found by a range-sorted
+  scan over the bucket's events plus the probes t(e)+T from bucket b-1
+  (``operators.scan.next_target``), so even a bucket holding a burst of copies is split
+  across tasks.
 * ``next(e)`` = succ(e), or the first event of bucket b+2 when there is no succ.
 * Kept events are exactly the ``next``-paths from each run's first event (a run is a
   maximal stretch of consecutive non-empty buckets). Paths are marked by pointer
@@ -27,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantmetrics.operators.ids import assign_ids
+from plantmetrics.operators.scan import next_target
 from plantmetrics.session import ensure_checkpoint_dir
 
 # --- Fixed values: failure flag -> reason code, first match wins ------------------------
@@ -66,15 +69,15 @@ def greedy_cooldown(events: DataFrame, key: str, ts: str, tiebreak: list[str], c
     # first event of each non-empty bucket
     first = ev.groupBy("k", "b").agg(F.min(okey).alias("f"))
 
-    # succ(e): probes t+T from bucket b-1 against the real events of bucket b
+    # succ(e): probes t+T from bucket b-1 against the real events of bucket b; the first
+    # real after each probe in (t, kind, tiebreak, id) order, found by a range-sorted
+    # scan (a hot bucket is split across tasks, see operators.scan)
     reals = ev.select("k", "b", "t", *tbn, "id", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("src"))
     probes = ev.select("k", (F.col("b") + 1).alias("b"), (F.col("t") + F.lit(T)).alias("t"),
                        *[F.col(c) for c in tbn], F.col("id"), F.lit(1).alias("kind"), F.col("id").alias("src"))
-    w = (Window.partitionBy("k", "b").orderBy(F.desc("t"), F.desc("kind"), *[F.desc(c) for c in tbn], F.desc("id"))
-         .rowsBetween(Window.unboundedPreceding, -1))
-    nxt_real = F.min(F.when(F.col("kind") == 0, okey)).over(w)
-    succ = (reals.unionByName(probes).withColumn("nr", nxt_real)
-            .where(F.col("kind") == 1).select(F.col("src").alias("id"), F.col("nr.id").alias("succ")))
+    u = reals.unionByName(probes).withColumn("is_real", F.col("kind") == 0)
+    scanned = next_target(u, ["k", "b"], ["t", "kind", *tbn, "id"], "is_real", "id")
+    succ = scanned.where(F.col("kind") == 1).select(F.col("src").alias("id"), F.col("next_id").alias("succ"))
 
     fallback = first.select("k", (F.col("b") - 2).alias("b"), F.col("f.id").alias("fb"))
     jump = (ev.join(succ, "id", "left").join(fallback, ["k", "b"], "left")

@@ -1,0 +1,96 @@
+"""Next-match scan in sorted order, without one task per group.
+
+For every row, find the first later row of the same group that is a *target* (in a
+total sort order). A window ``partitionBy(group)`` would put a whole group (say, a burst
+of copies at one timestamp) into one task. Instead:
+
+1. range-partition and sort by (group, order, unique id): a hot group is split across
+   tasks because the unique id is part of the range key;
+2. inside each partition, fill each row's next target by a vectorised backward fill per
+   group;
+3. rows at a partition's end whose group continues into later partitions take the first
+   target of that group in a later partition. Each partition contributes one summary row
+   (its first group and first target, its last group); a window over these summaries
+   (one row per partition, so bounded by the partition count) yields the carry, which is
+   broadcast back by partition id.
+
+The sorted data is checkpointed once so both passes see the same partitions.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from plantmetrics.session import ensure_checkpoint_dir
+
+
+def next_target(df: DataFrame, group: list[str], order: list[str], is_target: str, value: str,
+                partitions: int | None = None) -> DataFrame:
+    """Add ``next_<value>``: the ``value`` (a long) of the first row after this one, in
+    (group, order) order, within the same group, whose ``is_target`` is true.
+
+    ``order`` must make the sort total (end it with a unique column).
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keys = group + order
+    srt = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    srt = srt.withColumn("_pid", F.spark_partition_id()).checkpoint()
+
+    gschema = ", ".join(f"`{g}` {srt.schema[g].dataType.simpleString()}" for g in group)
+    summary_schema = f"_pid int, _pos int, {gschema}, _first long"
+    g_fields = [srt.schema[g] for g in group]
+
+    def summarize(batches):
+        pdf = pd.concat(list(batches), ignore_index=True)
+        if pdf.empty:
+            return
+        pid = int(pdf["_pid"].iloc[0])
+        first_g = pdf[group].iloc[0]
+        in_first = np.ones(len(pdf), dtype=bool)
+        for g in group:
+            in_first &= (pdf[g] == first_g[g]).to_numpy()
+        tgt = pdf[is_target].to_numpy(dtype=bool) & in_first
+        first_val = int(pdf[value].to_numpy()[tgt][0]) if tgt.any() else None
+        last_g = pdf[group].iloc[-1]
+        out = pd.DataFrame({"_pid": np.array([pid, pid], dtype="int32"), "_pos": np.array([0, 1], dtype="int32")})
+        for g in group:
+            out[g] = [first_g[g], last_g[g]]
+        out["_first"] = pd.array([first_val, None], dtype="Int64")
+        yield out
+
+    summ = srt.mapInPandas(summarize, summary_schema)
+    # for each tail row: first head target of the same group in a later partition
+    w = (Window.partitionBy(*group).orderBy(F.desc("_pid"), F.desc("_pos"))
+         .rowsBetween(Window.unboundedPreceding, -1))
+    carry = (summ.withColumn("_carry", F.last(F.when(F.col("_pos") == 0, F.col("_first")), ignorenulls=True).over(w))
+             .where(F.col("_pos") == 1).select("_pid", "_carry"))
+    # NB: with descending pid order, the last non-null among preceding rows is the nearest later partition
+
+    joined = srt.join(F.broadcast(carry), "_pid", "left")
+    out_name = f"next_{value}"
+    out_schema = StructType(srt.schema.fields + [StructField("_carry", LongType()), StructField(out_name, LongType())])
+
+    def fill(batches):
+        pdf = pd.concat(list(batches), ignore_index=True)
+        if pdf.empty:
+            return
+        pdf = pdf.sort_values(keys, kind="mergesort").reset_index(drop=True)
+        tv = pdf[value].astype("Int64").where(pdf[is_target].astype(bool))
+        gid = pdf.groupby(group, sort=False, dropna=False).ngroup()
+        nxt = tv.groupby(gid).shift(-1)
+        nxt = nxt.groupby(gid).bfill()
+        last = gid == gid.iloc[-1]
+        carry_v = pdf["_carry"].iloc[0]
+        if pd.notna(carry_v):
+            nxt = nxt.mask(last & nxt.isna(), int(carry_v))
+        pdf[out_name] = nxt.astype("Int64")
+        yield pdf
+
+    res = joined.mapInPandas(fill, out_schema)
+    return res.drop("_pid", "_carry")

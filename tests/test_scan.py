@@ -1,0 +1,43 @@
+"""next_target: a hot group split over many partitions still finds the right next row."""
+
+import datetime as dt
+
+import numpy as np
+
+from plantmetrics.operators.events import greedy_cooldown
+from plantmetrics.operators.scan import next_target
+
+
+def brute(rows):
+    out = {}
+    by_g = {}
+    for r in rows:
+        by_g.setdefault(r[0], []).append(r)
+    for g, rs in by_g.items():
+        rs.sort(key=lambda r: (r[1], r[2]))
+        for i, r in enumerate(rs):
+            nxt = next((x[2] for x in rs[i + 1:] if x[3]), None)
+            out[r[2]] = nxt
+    return out
+
+
+def test_hot_group_over_many_partitions(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+    rid = 0
+    for g, n in [(1, 1200), (2, 30), (3, 5)]:
+        for _ in range(n):
+            t = 0 if g == 1 and rng.random() < 0.7 else int(rng.integers(0, 50))   # many copies at t=0
+            rows.append((g, t, rid, bool(rng.random() < 0.3)))
+            rid += 1
+    df = spark.createDataFrame(rows, "g int, t long, id long, tgt boolean")
+    got = {r.id: r.next_id for r in next_target(df, ["g"], ["t", "id"], "tgt", "id", partitions=16).collect()}
+    assert got == brute(rows)
+
+
+def test_cooldown_burst_of_copies(spark):
+    base = dt.datetime(2024, 1, 1)
+    rows = [(1, i, base) for i in range(500)] + [(1, 500 + i, base + dt.timedelta(minutes=30 * i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "machine_id int, event_id long, ts timestamp_ntz")
+    kept = sorted(r.event_id for r in greedy_cooldown(df, "machine_id", "ts", ["event_id"], 7200).collect())
+    assert kept == [0, 505, 510, 515]
