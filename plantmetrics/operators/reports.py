@@ -211,5 +211,6 @@ def coverage_gaps(machines: DataFrame, orders: DataFrame, shift_labels: list[str
     hi = orders.select(F.max("shift_date")).scalar()
     grid = machines.select("machine_id", F.explode(F.sequence(lo, hi)).alias("shift_date")).select(
         "machine_id", "shift_date", F.explode(F.array(*[F.lit(s) for s in shift_labels])).alias("shift_label"))
-    have = orders.select("machine_id", "shift_date", "shift_label")
+    # distinct slots first: the partial aggregate collapses many orders of one slot map-side
+    have = orders.select("machine_id", "shift_date", "shift_label").distinct()
     return grid.join(have, ["machine_id", "shift_date", "shift_label"], "left_anti")

@@ -207,6 +207,11 @@ def similar_failures(queries: DataFrame, patterns: DataFrame, k: int = 3,
                      max_query_bytes: int = MAX_QUERY_BYTES) -> DataFrame:
     """Top-k patterns per query vector by cosine similarity (zero vectors score 0),
     ranked by similarity (to 9 decimals) then pattern_id."""
+    # the query set is bounded by the machine dimension; materialise it once (shared
+    # checkpoint folder) so the size check and the broadcast read the same rows
+    from plantmetrics.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(queries.sparkSession)
+    queries = queries.select("machine_id", "embedding").checkpoint()
     stats = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("d")).first()
     n, d = int(stats["n"] or 0), int(stats["d"] or 0)
     if n == 0:

@@ -49,18 +49,23 @@ class DriverTables(Source):
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """The driver table (one file listing per adapter instance)."""
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._raw[name]
 
-    # scalar subqueries: one tiny aggregate each, planned once per query
+    # Data-dependent constants of the mapping: one row count each, taken once per adapter
+    # (Parquet answers a bare count from file metadata) and used as literals.
     @cached_property
     def n_machines(self) -> Column:
-        return self.raw("supplier").select(F.count(F.lit(1))).scalar()
+        return F.lit(self.raw("supplier").count())
 
     @cached_property
     def n_vectors(self) -> Column:
-        return self.raw("embeddings").select(F.count(F.lit(1))).scalar()
+        return F.lit(self.raw("embeddings").count())
 
     def table(self, name: str) -> DataFrame:
         builder = getattr(self, f"_{name}", None)
