@@ -807,3 +807,5 @@ q("clamp_null_safe", """SELECT count_if(planned_time_hrs > 0 AND downtime_hrs >
  count_if(availability_rate IS NULL) AS availability_null, count_if(performance_rate IS NULL) AS performance_null,
  count_if(performance_rate = 1) AS performance_at_1, count_if(quality_rate < 0) AS quality_negative, count(*) AS rows
 FROM oee_daily""")
+QUERIES["stream_health"] = QUERIES["machine_health"]
+QUERIES["stream_cooldown"] = QUERIES["cooldown_events"]

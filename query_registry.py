@@ -561,3 +561,58 @@ def _q_clamp(spark, sf):
         F.count_if(F.col("performance_rate") == 1).alias("performance_at_1"),
         F.count_if(F.col("quality_rate") < 0).alias("quality_negative"),
         F.count(F.lit(1)).alias("rows"))
+
+
+# --- streaming (fed from the test tables in time order) ----------------------------------------------
+def _feed(spark, df, ts_col: str, chunks: int = 3) -> str:
+    """Write ``df`` into ``chunks`` time-ordered file batches under the shared checkpoint
+    folder, as a live feed would deliver them; returns the folder."""
+    import uuid
+
+    from plantmetrics.session import ensure_checkpoint_dir
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/feed-{uuid.uuid4().hex}"
+    bounds = df.select(F.percentile_approx(F.col(ts_col).cast("timestamp").cast("double"),
+                                           [i / chunks for i in range(1, chunks)], 10000)).first()[0]
+    edges = [None] + [float(b) for b in bounds] + [None]
+    secs = F.col(ts_col).cast("timestamp").cast("double")
+    for i in range(chunks):
+        cond = F.lit(True)
+        if edges[i] is not None:
+            cond = cond & (secs > F.lit(edges[i]))
+        if edges[i + 1] is not None:
+            cond = cond & (secs <= F.lit(edges[i + 1]))
+        df.where(cond).write.mode("overwrite").parquet(f"{root}/in/b{i:03d}")
+    return root
+
+
+@register("stream_health")
+def _q_stream_health(spark, sf):
+    """ST-1/ST-3: readings streamed in three time-ordered micro-batches; event-time daily
+    health with a 3-day watermark, update mode, keyed upsert per micro-batch."""
+    from plantmetrics.sources.schemas import SENSOR_READINGS
+    from plantmetrics.streaming import health_stream
+    src = model(spark, sf).source.table("sensor_readings")
+    root = _feed(spark, src, "ts")
+    table = {}
+    stream = (spark.readStream.schema(SENSOR_READINGS).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(f"{root}/in"))
+    q = health_stream.start_health_stream(stream, lambda rows, e: health_stream.upsert_batch(table, rows),
+                                          f"{root}/ckpt")
+    q.awaitTermination()
+    return table["df"]
+
+
+@register("stream_cooldown")
+def _q_stream_cooldown(spark, sf):
+    """ST-4 (streaming): stoppages streamed in time order through the stateful per-machine
+    cooldown (one timestamp of state per machine)."""
+    from plantmetrics.streaming.cooldown_stream import cooldown_stream
+    src = model(spark, sf).source.table("downtime_events")
+    root = _feed(spark, src, "started_at")
+    stream = (spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(f"{root}/in"))
+    out = cooldown_stream(stream, "machine_id", "started_at", ["event_id"], model(spark, sf).params.cooldown_s)
+    q = (out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(src.schema).parquet(f"{root}/out")
