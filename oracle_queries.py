@@ -466,7 +466,7 @@ FROM sig_clean""")
 cte("sig_stats", """
 SELECT count(*) AS rows, avg(process_temp_c) AS temp_mean, stddev_samp(process_temp_c) AS temp_std,
        avg(rpm) AS rpm_mean, stddev_samp(rpm) AS rpm_std, avg(power_kw) AS pwr_mean, stddev_samp(power_kw) AS pwr_std,
-       count_if(failure) AS failures, avg(CAST(failure AS INTEGER)) AS failure_rate
+       CAST(count_if(failure) AS BIGINT) AS failures, avg(CAST(failure AS INTEGER)) AS failure_rate
 FROM sig_features""")
 cte("sig_all_features", """
 SELECT UDI, machine_id, temp_k - 273.15 AS process_temp_c, rpm, torque * rpm * pi() / 30.0 / 1000.0 AS power_kw
@@ -663,8 +663,8 @@ q("oee_summary_7d", f"""SELECT machine_name, machine_type, production_line, {u8(
 q("oee_bands", f"""SELECT machine_name, {u8('o8')} AS avg_oee,
  CASE WHEN o8 IS NULL THEN 'NONE' WHEN o8 >= 85000000 THEN 'WORLD_CLASS' WHEN o8 >= 60000000 THEN 'ACCEPTABLE' ELSE 'AT_RISK' END AS band
 FROM summary7""")
-q("fleet_kpis", f"""SELECT {u12(avg_of_units('o8'))} AS fleet_avg_oee, count_if(o8 >= 85000000) AS n_world_class,
- count_if(o8 < 60000000) AS n_at_risk, count(*) AS n_machines FROM summary7""")
+q("fleet_kpis", f"""SELECT {u12(avg_of_units('o8'))} AS fleet_avg_oee, CAST(count_if(o8 >= 85000000) AS BIGINT) AS n_world_class,
+ CAST(count_if(o8 < 60000000) AS BIGINT) AS n_at_risk, count(*) AS n_machines FROM summary7""")
 q("fleet_trend", f"""SELECT {u8('r8')} AS recent_oee, {u8('p8')} AS prior_oee,
  CASE WHEN r8 IS NOT NULL AND p8 IS NOT NULL AND p8 > 0 THEN CASE WHEN r8 >= p8 THEN 'improved' ELSE 'declined' END END AS direction,
  CASE WHEN r8 IS NOT NULL AND p8 IS NOT NULL AND p8 > 0 THEN {u8('abs(r8 - p8)')} END AS abs_delta
@@ -679,7 +679,7 @@ q("weakest_component", f"""SELECT component, {u12('v')} AS rate FROM (
 q("lowest_performer", f"""SELECT
  (SELECT machine_name FROM summary7 WHERE o8 IS NOT NULL ORDER BY o8, machine_name LIMIT 1) AS machine_name,
  {u8('min(o8)')} AS avg_oee, {u8('85000000 - min(o8)')} AS gap_to_target,
- count_if(o8 < 85000000) AS n_below_target, count(*) AS n_machines FROM summary7""")
+ CAST(count_if(o8 < 85000000) AS BIGINT) AS n_below_target, count(*) AS n_machines FROM summary7""")
 q("oee_pct_by_machine", f"""SELECT machine_id,
  CAST({units(hu(_avg_units('oee', 4), 100000, 0), 1, 10)} AS DOUBLE) AS avg_oee_pct,
  CAST({units(hu(as_int('min(oee)', 4), 10, 0), 1, 10)} AS DOUBLE) AS min_oee_pct,
@@ -689,7 +689,7 @@ q("anomaly_days_by_machine", """SELECT machine_id, CAST(sum(CASE WHEN anomaly_fl
  count(*) AS total_days FROM machine_health GROUP BY machine_id""")
 q("health_with_names", f"""SELECT machine_id, machine_name, machine_type, reading_date,
  {dbl('avg_temp_c', 'max_temp_c', 'avg_vibration_mm_s', 'max_vibration_mm_s', 'avg_power_kw', 'max_power_kw')}, anomaly_flag FROM named""")
-q("latest_health_status", """SELECT count_if(last_flag) AS n_active_anomaly, count(*) AS n_machines, max(last_date) AS latest_reading_date
+q("latest_health_status", """SELECT CAST(count_if(last_flag) AS BIGINT) AS n_active_anomaly, count(*) AS n_machines, max(last_date) AS latest_reading_date
 FROM (SELECT machine_name, max(reading_date) OVER (PARTITION BY machine_name) AS last_date, anomaly_flag AS last_flag
       FROM named WHERE anomaly_flag IS NOT NULL
       QUALIFY row_number() OVER (PARTITION BY machine_name ORDER BY reading_date DESC, machine_id DESC) = 1)""")
@@ -702,7 +702,7 @@ q("anomaly_driver", f"""SELECT machine_name, anomaly_days, CAST(peak_temp_c AS D
  CAST({units('at6', 6, 38)} AS DOUBLE) AS avg_temp_c, CAST(peak_vibration_mm_s AS DOUBLE) AS peak_vibration_mm_s,
  CAST({units('av7', 7, 38)} AS DOUBLE) AS avg_vibration_mm_s,
  CASE WHEN {as_int('peak_temp_c', 2)} * av7 > {as_int('peak_vibration_mm_s', 3)} * at6 THEN 'temperature' ELSE 'vibration' END AS primary_driver
-FROM (SELECT machine_name, count_if(anomaly_flag) AS anomaly_days, max(max_temp_c) AS peak_temp_c, {_AT6} AS at6,
+FROM (SELECT machine_name, CAST(count_if(anomaly_flag) AS BIGINT) AS anomaly_days, max(max_temp_c) AS peak_temp_c, {_AT6} AS at6,
              max(max_vibration_mm_s) AS peak_vibration_mm_s, {_AV7} AS av7
       FROM named GROUP BY machine_name) WHERE anomaly_days > 0""")
 q("anomaly_days", f"SELECT machine_name, reading_date, {dbl('max_temp_c', 'max_vibration_mm_s', 'max_power_kw')} FROM named WHERE anomaly_flag")
@@ -726,7 +726,7 @@ q("latest_week_detail", f"""SELECT machine_name, machine_type, total_units_produ
 FROM production_summary WHERE week_start = (SELECT max(week_start) FROM production_summary)""")
 q("week_over_week", f"""SELECT week_start AS latest_week, {u8('w8')} AS latest_oee, {u8('p8')} AS prior_oee, {u8('w8 - p8')} AS delta,
  CASE WHEN w8 - p8 >= 0 THEN 'up' ELSE 'down' END AS direction,
- (SELECT count_if(avg_oee < 0.85) FROM production_summary WHERE week_start = (SELECT max(week_start) FROM production_summary)) AS n_below_target
+ (SELECT CAST(count_if(avg_oee < 0.85) AS BIGINT) FROM production_summary WHERE week_start = (SELECT max(week_start) FROM production_summary)) AS n_below_target
 FROM (SELECT week_start, w8, lag(w8) OVER (ORDER BY week_start) AS p8 FROM weekly_fleet)
 WHERE week_start = (SELECT max(week_start) FROM production_summary) AND p8 IS NOT NULL""")
 q("weekly_downtime", f"SELECT week_start, machine_name, {dbl('total_downtime_hrs')} FROM production_summary")
@@ -803,9 +803,9 @@ except ImportError:  # pragma: no cover - the registry needs pyspark
 q("scan_sensor_readings", f"SELECT machine_id, ts, {dbl('temperature_c', 'vibration_mm_s', 'power_kw')} FROM stg_sensor")
 q("scan_machines", "SELECT * FROM stg_machines")
 q("sku_format", "SELECT product_sku, count(*) AS orders FROM stg_orders GROUP BY product_sku")
-q("clamp_null_safe", """SELECT count_if(planned_time_hrs > 0 AND downtime_hrs > planned_time_hrs) AS availability_clamped_at_0,
- count_if(availability_rate IS NULL) AS availability_null, count_if(performance_rate IS NULL) AS performance_null,
- count_if(performance_rate = 1) AS performance_at_1, count_if(quality_rate < 0) AS quality_negative, count(*) AS rows
+q("clamp_null_safe", """SELECT CAST(count_if(planned_time_hrs > 0 AND downtime_hrs > planned_time_hrs) AS BIGINT) AS availability_clamped_at_0,
+ CAST(count_if(availability_rate IS NULL) AS BIGINT) AS availability_null, CAST(count_if(performance_rate IS NULL) AS BIGINT) AS performance_null,
+ CAST(count_if(performance_rate = 1) AS BIGINT) AS performance_at_1, CAST(count_if(quality_rate < 0) AS BIGINT) AS quality_negative, count(*) AS rows
 FROM oee_daily""")
 QUERIES["stream_health"] = QUERIES["machine_health"]
 QUERIES["stream_cooldown"] = QUERIES["cooldown_events"]

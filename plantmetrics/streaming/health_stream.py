@@ -13,21 +13,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plantmetrics.functions.columns import ntz_micros
 from plantmetrics.operators.health import HEALTH_COLUMNS, health_finish
 from plantmetrics.operators.staging import stg_sensor
 from plantmetrics.params import DEFAULT, Params
 
 
 def health_parts_stream(readings: DataFrame, late_days: int = 3) -> DataFrame:
-    # watermarks need a zoned timestamp: the event time is ts read in the session zone
-    # (UTC in this engine), so the 1-day windows are the same days as reading_date
-    s = (stg_sensor(readings).withColumn("_event_ts", F.col("ts").cast("timestamp"))
+    # Watermarks need a zoned timestamp. The event time is the instant whose UTC wall
+    # clock equals ts; window() aligns to the epoch, so its 1-day windows are exactly the
+    # calendar days of ts, whatever the session zone.
+    s = (stg_sensor(readings).withColumn("_event_ts", F.timestamp_micros(ntz_micros(F.col("ts"))))
          .withWatermark("_event_ts", f"{late_days} days"))
     g = s.groupBy("machine_id", F.window("_event_ts", "1 day").alias("w"))
     aggs = [F.count(F.lit(1)).alias("reading_count")]
     for c, n in [("temperature_c", "t"), ("vibration_mm_s", "v"), ("power_kw", "p")]:
         aggs += [F.sum(c).alias(f"_sum_{n}"), F.count(c).alias(f"_n_{n}"), F.max(c).alias(f"_max_{n}")]
-    return g.agg(*aggs).withColumn("reading_date", F.to_date(F.col("w.start"))).drop("w")
+    day = F.date_from_unix_date((F.unix_micros(F.col("w.start")) / F.lit(86_400_000_000)).cast("int"))
+    return g.agg(*aggs).withColumn("reading_date", day).drop("w")
 
 
 def upsert_batch(table: dict, finished: DataFrame, late_days: int = 3) -> DataFrame:

@@ -571,10 +571,10 @@ def _feed(spark, df, ts_col: str, chunks: int = 3) -> str:
 
     from plantmetrics.session import ensure_checkpoint_dir
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/feed-{uuid.uuid4().hex}"
-    bounds = df.select(F.percentile_approx(F.col(ts_col).cast("timestamp").cast("double"),
-                                           [i / chunks for i in range(1, chunks)], 10000)).first()[0]
+    from plantmetrics.functions.columns import ntz_micros
+    secs = ntz_micros(F.col(ts_col)).cast("double")
+    bounds = df.select(F.percentile_approx(secs, [i / chunks for i in range(1, chunks)], 10000)).first()[0]
     edges = [None] + [float(b) for b in bounds] + [None]
-    secs = F.col(ts_col).cast("timestamp").cast("double")
     for i in range(chunks):
         cond = F.lit(True)
         if edges[i] is not None:
