@@ -58,5 +58,8 @@ def machine_health(sensor: DataFrame, params: Params = DEFAULT, since=None) -> D
     """COUNT, AVG/MAX of temperature, vibration and power, and the anomaly flag, per
     machine and reading day. ``since`` restricts to days >= since (pushed to the scan)."""
     if since is not None:
-        sensor = sensor.where(F.col("reading_date") >= F.lit(since))
+        # the raw-timestamp twin of the date filter pushes down to the scan (row-group
+        # skipping); for TIMESTAMP_NTZ, ts >= since 00:00 exactly when to_date(ts) >= since
+        sensor = sensor.where((F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+                              & (F.col("reading_date") >= F.lit(since)))
     return health_finish(health_parts(sensor, "machine_id", "reading_date"), params)

@@ -120,8 +120,10 @@ def oee_daily(machines: DataFrame, orders: DataFrame, downtime: DataFrame, defec
     downtime and defect scans' date columns before any shuffle.
     """
     if since is not None:
-        orders = orders.where(F.col("shift_date") >= F.lit(since))
-        downtime = downtime.where(F.col("event_date") >= F.lit(since))
+        # raw-timestamp twins of the date filters reach the scans (row-group skipping)
+        start = F.lit(since).cast("timestamp_ntz")
+        orders = orders.where((F.col("shift_start") >= start) & (F.col("shift_date") >= F.lit(since)))
+        downtime = downtime.where((F.col("started_at") >= start) & (F.col("event_date") >= F.lit(since)))
     od = daily_orders(orders)
     j = (od.join(daily_downtime(downtime), _KEYS, "left")
          .join(daily_defects(defects, orders), _KEYS, "left")
