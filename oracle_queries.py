@@ -807,5 +807,11 @@ q("clamp_null_safe", """SELECT CAST(count_if(planned_time_hrs > 0 AND downtime_h
  CAST(count_if(availability_rate IS NULL) AS BIGINT) AS availability_null, CAST(count_if(performance_rate IS NULL) AS BIGINT) AS performance_null,
  CAST(count_if(performance_rate = 1) AS BIGINT) AS performance_at_1, CAST(count_if(quality_rate < 0) AS BIGINT) AS quality_negative, count(*) AS rows
 FROM oee_daily""")
+q("worst_machine", """SELECT machine_name, CAST(h AS DOUBLE) AS downtime_hrs FROM
+ (SELECT machine_name, sum(total_downtime_hrs) AS h FROM production_summary GROUP BY machine_name)
+ ORDER BY h DESC, machine_name LIMIT 1""")
 QUERIES["stream_health"] = QUERIES["machine_health"]
 QUERIES["stream_cooldown"] = QUERIES["cooldown_events"]
+QUERIES["maintenance_queue_strict"] = (QUERIES["maintenance_queue"]
+                                       .replace("* 1.15 THEN TRUE", "* 1.8 THEN TRUE")
+                                       .replace("* 1.50 THEN TRUE", "* 2.2 THEN TRUE"))

@@ -152,6 +152,15 @@ def oee_components_long(summary: DataFrame) -> DataFrame:
                        "rate")
 
 
+def worst_machine(weekly: DataFrame) -> DataFrame:
+    """Machine with the most downtime over all weeks (arg-max; ties: first name)."""
+    per = weekly.groupBy("machine_name").agg(F.sum("total_downtime_hrs").alias("downtime_hrs"))
+    return per.agg(
+        F.min_by("machine_name", F.struct((-F.col("downtime_hrs")).alias("nh"), F.col("machine_name")))
+        .alias("machine_name"),
+        F.max("downtime_hrs").alias("downtime_hrs"))
+
+
 def downtime_share(weekly: DataFrame) -> DataFrame:
     """Machine with the most downtime over all weeks and its share of the fleet total."""
     per = weekly.groupBy("machine_name").agg(F.sum("total_downtime_hrs").alias("hrs"))

@@ -336,6 +336,7 @@ _rep("most_anomalous", "AGG-16/AGG-17: machine with most anomaly days.", lambda
 _rep("anomaly_driver", "AGG-20: primary anomaly driver per machine.", lambda m: _r("anomaly_driver")(_named(m)))
 _rep("anomaly_days", "RPT-5/FLT-8: anomaly-day listing.", lambda m: _r("anomaly_days")(_named(m)))
 _rep("oee_components_long", "AGG-22: unpivoted 7-day components.", lambda m: _r("oee_components_long")(_summary(m)))
+_rep("worst_machine", "AGG-16: machine with the most downtime (arg-max).", lambda m: _r("worst_machine")(m.production_summary))
 _rep("downtime_share", "AGG-18: top machine's share of downtime.", lambda m: _r("downtime_share")(m.production_summary))
 _rep("latest_week_kpis", "AGG-19: latest-week totals.", lambda m: _r("latest_week_kpis")(m.production_summary))
 _rep("latest_week_detail", "RPT-1/PRJ-13: latest-week rows with defect rate.", lambda m: _r("latest_week_detail")(m.production_summary))
@@ -616,3 +617,10 @@ def _q_stream_cooldown(spark, sf):
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.schema(src.schema).parquet(f"{root}/out")
+
+
+@register("maintenance_queue_strict")
+def _q_queue_strict(spark, sf):
+    """REC-11 with anomaly ratios 1.8 / 2.2: the OEE-decline branch decides alone."""
+    from plantmetrics.params import DEFAULT
+    return model(spark, sf, DEFAULT.with_(temp_ratio="1.8", vib_ratio="2.2")).maintenance_queue
