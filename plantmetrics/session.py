@@ -51,3 +51,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
     return path
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Settings to size a large run (apply when building the cluster session).
+
+    Scan splits and shuffle partitions are sized so each task handles about
+    ``target_partition_bytes``; AQE starts from that many shuffle partitions and coalesces
+    small ones, splits skewed ones, and re-decides broadcasts from measured sizes.
+    """
+    slots = max(1, executors * cores_per_executor)
+    shuffle_parts = max(slots * 2, int(input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle_parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        # dimension-sized sides only; AQE checks the measured size before broadcasting
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    }
