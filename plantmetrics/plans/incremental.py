@@ -50,6 +50,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def append_rows(df: DataFrame, path: str, date_col: str | None = None) -> None:
+    """Bulk insert: append the rows (Spark batches the write per task)."""
+    w = df.write.mode("append")
+    (w.partitionBy(date_col) if date_col else w).parquet(path)
+
+
 def full_refresh(df: DataFrame, path: str, date_col: str) -> None:
     """Rebuild the whole table."""
     df.write.mode("overwrite").partitionBy(date_col).parquet(path)

@@ -97,4 +97,14 @@ class CsvSource(Source):
         reader = self.spark.read.option("header", True).option("mode", "DROPMALFORMED")
         if schema is not None:
             reader = reader.schema(schema)
-        return _conform(reader.csv(f"{self.root}/{name}"), name)
+        df = _conform(reader.csv(f"{self.root}/{name}"), name)
+        if schema is not None:
+            # CSV column pruning skips parsing of unread columns (a bare count would keep a
+            # broken line); requiring the non-nullable fields makes the skip explicit
+            required = [f.name for f in schema.fields if not f.nullable]
+            if required:
+                cond = F.col(required[0]).isNotNull()
+                for c in required[1:]:
+                    cond = cond & F.col(c).isNotNull()
+                df = df.where(cond)
+        return df
