@@ -41,15 +41,15 @@ def main() -> None:
                      "maintenance_queue"]:
             _run(getattr(m, name))
 
-    def refresh_pipeline():
+    def refresh_all_tables():
         import tempfile
 
-        from plantmetrics.plans import pipeline
+        from plantmetrics.plans import ordered_run
         from plantmetrics.sources.driver import DriverTables
         out = tempfile.mkdtemp(prefix="plantmetrics-bench-")   # a new folder per run
-        pipeline.run(spark, DriverTables(spark, sf_dir), out, full=True)
+        ordered_run.run(spark, DriverTables(spark, sf_dir), out, full=True)
 
-    jobs = {"build_all_models": build_all, "refresh_pipeline_full": refresh_pipeline}
+    jobs = {"build_all_models": build_all, "refresh_all_tables": refresh_all_tables}
     for q in HEADLINE:
         jobs[q] = (lambda name: (lambda: _run(QUERIES[name](spark, sf_dir))))(q)
 

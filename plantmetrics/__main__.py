@@ -41,8 +41,8 @@ def main(argv=None) -> None:
     params = DEFAULT.with_(as_of=a.as_of) if a.as_of else DEFAULT
     src = _source(spark, a)
     if a.command == "run":
-        from plantmetrics.plans import pipeline
-        print(json.dumps(pipeline.run(spark, src, a.out, params, full=a.full)))
+        from plantmetrics.plans import ordered_run
+        print(json.dumps(ordered_run.run(spark, src, a.out, params, full=a.full)))
     elif a.command == "dq":
         from plantmetrics.operators.dq import dq_report
         from plantmetrics.plans.model import Model
@@ -53,10 +53,10 @@ def main(argv=None) -> None:
                   "defects": m.stg_defects}
         dq_report(tables, dq_rules()).show(100, truncate=False)
     else:
-        from plantmetrics.plans import pipeline
+        from plantmetrics.plans import ordered_run
         from plantmetrics.streaming.refresh import start_refresh_trigger
         q = start_refresh_trigger(spark, a.readings, a.checkpoint,
-                                  [lambda batch, epoch: pipeline.run(spark, src, a.out, params)])
+                                  [lambda batch, epoch: ordered_run.run(spark, src, a.out, params)])
         q.awaitTermination()
 
 

@@ -483,7 +483,7 @@ def _q_dq_report(spark, sf):
 
 @register("table_counts")
 def _q_table_counts(spark, sf):
-    """DQ-8/SET-1/AGG-6: row counts of the pipeline's tables."""
+    """DQ-8/SET-1/AGG-6: row counts of the model's tables."""
     from plantmetrics.operators.dq import table_counts
     m = model(spark, sf)
     return table_counts({

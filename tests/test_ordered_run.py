@@ -4,7 +4,7 @@ import tempfile
 
 from conftest import SF
 
-from plantmetrics.plans import catalog, pipeline
+from plantmetrics.plans import catalog, ordered_run
 from plantmetrics.sources.driver import DriverTables
 from plantmetrics.sources.schemas import MACHINES
 
@@ -12,9 +12,9 @@ from plantmetrics.sources.schemas import MACHINES
 def test_full_then_incremental_refresh_is_stable(spark):
     out = tempfile.mkdtemp(prefix="pm-pipe-")
     src = DriverTables(spark, SF)
-    first = pipeline.run(spark, src, out, full=True)
+    first = ordered_run.run(spark, src, out, full=True)
     oee1 = sorted(map(tuple, spark.read.parquet(f"{out}/mart_oee_daily").collect()))
-    second = pipeline.run(spark, src, out)
+    second = ordered_run.run(spark, src, out)
     oee2 = sorted(map(tuple, spark.read.parquet(f"{out}/mart_oee_daily").collect()))
     assert oee1 == oee2
     assert first["mart_oee_daily"] == second["mart_oee_daily"] > 0

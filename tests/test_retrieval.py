@@ -68,7 +68,7 @@ def test_no_queries_gives_empty(spark):
     assert retrieval.similar_failures(q, p).count() == 0
 
 
-def test_driver_pipeline_similarity_in_range(spark):
+def test_driver_tables_similarity_in_range(spark):
     from query_registry import model
     s = model(spark, SF).similar_failures
     r = s.agg(F.min("similarity"), F.max("similarity"), F.max("rank")).first()
