@@ -11,10 +11,11 @@ machine's history:
   bucket keeps at most one event; and an event in bucket b is always > T after anything
   in bucket b-2 or earlier. So the kept event of bucket b is the first event of b if
   nothing was kept in b-1, else the first event of b later than (kept of b-1) + T.
-* ``succ(e)``: first event of bucket b+1 later than t(e) + T. Found by a range-sorted
-  scan over the bucket's events plus the probes t(e)+T from bucket b-1
-  (``operators.scan.next_target``), so even a bucket holding a burst of copies is split
-  across tasks.
+* ``succ(e)``: first event of bucket b+1 later than t(e) + T, over the bucket's events
+  plus the probes t(e)+T from bucket b-1. The bucket sizes are counted first: when the
+  largest (key, bucket) group is within ``max_window_rows`` a running window per group
+  does it (bounded per task); beyond that a range-sorted scan
+  (``operators.scan.next_target``) splits even a burst of copies across tasks.
 * ``next(e)`` = succ(e), or the first event of bucket b+2 when there is no succ.
 * Kept events are exactly the ``next``-paths from each run's first event (a run is a
   maximal stretch of consecutive non-empty buckets). Paths are marked by pointer
@@ -52,7 +53,11 @@ def epoch_micros(ts: Column) -> Column:
     return ntz_micros(ts)
 
 
-def greedy_cooldown(events: DataFrame, key: str, ts: str, tiebreak: list[str], cooldown_s: int) -> DataFrame:
+MAX_WINDOW_ROWS = 1_000_000
+
+
+def greedy_cooldown(events: DataFrame, key: str, ts: str, tiebreak: list[str], cooldown_s: int,
+                    max_window_rows: int = MAX_WINDOW_ROWS) -> DataFrame:
     """Rows of ``events`` kept by the greedy cooldown (strictly more than ``cooldown_s``
     seconds after the previous kept row of the same key). Rows are walked in
     (ts, *tiebreak) order; rows equal on all of those are ordered by an internal row id."""
@@ -66,8 +71,10 @@ def greedy_cooldown(events: DataFrame, key: str, ts: str, tiebreak: list[str], c
     ev = ev.withColumn("b", F.floor(F.col("t") / F.lit(T)).cast("long"))
     okey = F.struct("t", *tbn, "id")
 
-    # first event of each non-empty bucket
-    first = ev.groupBy("k", "b").agg(F.min(okey).alias("f"))
+    # first event and size of each non-empty bucket (partial aggregate)
+    # (checkpointed: four consumers below would each re-run this aggregate)
+    first = ev.groupBy("k", "b").agg(F.min(okey).alias("f"), F.count(F.lit(1)).alias("n")).checkpoint()
+    largest = first.agg(F.max("n")).first()[0] or 0
 
     # succ(e): probes t+T from bucket b-1 against the real events of bucket b; the first
     # real after each probe in (t, kind, tiebreak, id) order, found by a range-sorted
@@ -76,8 +83,16 @@ def greedy_cooldown(events: DataFrame, key: str, ts: str, tiebreak: list[str], c
     probes = ev.select("k", (F.col("b") + 1).alias("b"), (F.col("t") + F.lit(T)).alias("t"),
                        *[F.col(c) for c in tbn], F.col("id"), F.lit(1).alias("kind"), F.col("id").alias("src"))
     u = reals.unionByName(probes).withColumn("is_real", F.col("kind") == 0)
-    scanned = next_target(u, ["k", "b"], ["t", "kind", *tbn, "id"], "is_real", "id")
-    succ = scanned.where(F.col("kind") == 1).select(F.col("src").alias("id"), F.col("next_id").alias("succ"))
+    if largest <= max_window_rows:
+        # every (key, bucket) group is small enough for one task: a running window
+        w = (Window.partitionBy("k", "b").orderBy(F.desc("t"), F.desc("kind"), *[F.desc(c) for c in tbn],
+                                                  F.desc("id"))
+             .rowsBetween(Window.unboundedPreceding, -1))
+        u = u.withColumn("next_id", F.min(F.when(F.col("is_real"), okey)).over(w)["id"])
+    else:
+        # a hot bucket (e.g. a burst of copies): range-sorted scan splits it across tasks
+        u = next_target(u, ["k", "b"], ["t", "kind", *tbn, "id"], "is_real", "id")
+    succ = u.where(F.col("kind") == 1).select(F.col("src").alias("id"), F.col("next_id").alias("succ"))
 
     fallback = first.select("k", (F.col("b") - 2).alias("b"), F.col("f.id").alias("fb"))
     jump = (ev.join(succ, "id", "left").join(fallback, ["k", "b"], "left")
@@ -90,12 +105,14 @@ def greedy_cooldown(events: DataFrame, key: str, ts: str, tiebreak: list[str], c
     longest = runs.agg(F.max("len")).first()[0] or 0
     levels = max(0, math.ceil(math.log2(longest))) if longest > 1 else 0
 
+    if levels == 0:   # every run is one bucket: its first event is the only one kept
+        return tagged.join(roots.withColumnRenamed("id", "_rid"), "_rid", "left_semi").drop("_rid")
     jumps = [jump.checkpoint()]
     for _ in range(1, levels):
         j = jumps[-1]
         jumps.append(j.alias("a").join(j.alias("c"), F.col("a.nxt") == F.col("c.id"))
                      .select(F.col("a.id"), F.col("c.nxt")).checkpoint())
-    kept = roots.checkpoint()
+    kept = roots
     for j in reversed(jumps[:levels]):
         kept = kept.unionByName(kept.join(j, "id").select(F.col("nxt").alias("id"))).distinct().checkpoint()
     return tagged.join(kept.withColumnRenamed("id", "_rid"), "_rid", "left_semi").drop("_rid")

@@ -14,9 +14,9 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, "machine_id int, event_id long, ts timestamp_ntz")
 
 
-def kept(spark, rows, cooldown=7200):
+def kept(spark, rows, cooldown=7200, max_window_rows=10**6):
     return sorted(r.event_id for r in greedy_cooldown(frame(spark, rows), "machine_id", "ts", ["event_id"],
-                                                     cooldown).collect())
+                                                     cooldown, max_window_rows).collect())
 
 
 def walk(rows, cooldown):
@@ -52,6 +52,7 @@ def test_lag_filter_would_differ(spark):
 def test_matches_python_walk(spark, data):
     rows = [(m, i, BASE + dt.timedelta(seconds=s)) for i, (m, s) in enumerate(data)]
     assert kept(spark, rows) == walk(rows, 7200)
+    assert kept(spark, rows, max_window_rows=1) == walk(rows, 7200)   # forced scan path
 
 
 def test_dense_long_run_matches_walk(spark):

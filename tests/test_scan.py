@@ -39,5 +39,7 @@ def test_cooldown_burst_of_copies(spark):
     base = dt.datetime(2024, 1, 1)
     rows = [(1, i, base) for i in range(500)] + [(1, 500 + i, base + dt.timedelta(minutes=30 * i)) for i in range(20)]
     df = spark.createDataFrame(rows, "machine_id int, event_id long, ts timestamp_ntz")
-    kept = sorted(r.event_id for r in greedy_cooldown(df, "machine_id", "ts", ["event_id"], 7200).collect())
-    assert kept == [0, 505, 510, 515]
+    for limit in (10, 10**6):   # scan path (hot bucket) and window path
+        kept = sorted(r.event_id for r in greedy_cooldown(df, "machine_id", "ts", ["event_id"], 7200,
+                                                          max_window_rows=limit).collect())
+        assert kept == [0, 505, 510, 515]
