@@ -45,14 +45,16 @@ def declining(trend: DataFrame | None = None, params: Params = DEFAULT):
     return (n1 > 0) & (n0 > 0) & (s1 * n0 < s0 * n1 - drop * n0 * n1)
 
 
+def trend_columns() -> list:
+    """The rounded trend columns shown in the queue (from the raw means)."""
+    return [F.col("oee_last_7d").cast(RATE).alias("oee_last_7d"),
+            F.col("oee_prior_7d").cast(RATE).alias("oee_prior_7d"),
+            (F.col("oee_last_7d") - F.col("oee_prior_7d")).cast(DecimalType(6, 4)).alias("oee_trend_delta")]
+
+
 def trend_report(trend: DataFrame) -> DataFrame:
     """Rounded trend columns as shown in the queue."""
-    return trend.select(
-        "machine_id", "max_date",
-        F.col("oee_last_7d").cast(RATE).alias("oee_last_7d"),
-        F.col("oee_prior_7d").cast(RATE).alias("oee_prior_7d"),
-        (F.col("oee_last_7d") - F.col("oee_prior_7d")).cast(DecimalType(6, 4)).alias("oee_trend_delta"),
-    )
+    return trend.select("machine_id", "max_date", *trend_columns())
 
 
 def recent_health(health: DataFrame, params: Params = DEFAULT) -> DataFrame:
