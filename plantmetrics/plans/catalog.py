@@ -24,3 +24,28 @@ def create_table(spark: SparkSession, name: str, schema: StructType, path: str,
 def drop_tables(spark: SparkSession, names: list[str] | None = None) -> None:
     for n in names or DERIVED_TABLES:
         spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
+VIEW_NAMES = {
+    # raw sources
+    "machines": "stg_machines", "sensor_readings": "stg_sensor", "downtime_events": "stg_downtime",
+    # staging
+    "stg_erp_machines": "stg_machines", "stg_erp_production_orders": "stg_orders", "stg_erp_defects": "stg_defects",
+    "stg_iot_sensor_readings": "stg_sensor", "stg_iot_downtime_events": "stg_downtime",
+    # intermediate
+    "int_availability": "availability", "int_performance": "performance", "int_quality": "quality",
+    # marts and the AI tables
+    "mart_oee_daily": "oee_daily", "mart_machine_health": "machine_health",
+    "mart_production_summary": "production_summary", "mart_ai_maintenance_queue": "maintenance_queue",
+    "failure_patterns": "failure_patterns", "maintenance_recommendations": "recommendations_raw",
+}
+
+
+def register_views(model, names: dict | None = None) -> list[str]:
+    """Expose the model's tables as temp views so existing SQL runs unchanged in
+    ``spark.sql`` (views are lazy: nothing runs until a query reads them)."""
+    made = []
+    for view, attr in (names or VIEW_NAMES).items():
+        getattr(model, attr).createOrReplaceTempView(view)
+        made.append(view)
+    return made
