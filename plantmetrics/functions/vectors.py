@@ -1,8 +1,8 @@
 """Vector helpers: text form <-> array<double>, and cosine similarity as an expression.
 
 The expression form is exact and needs no Python, but higher-order functions run
-outside whole-stage codegen; the retrieval operator uses a numpy block scorer instead
-and keeps this form for small inputs and tests.
+outside whole-stage codegen; the retrieval operator scores with a numpy block scorer
+instead, and this form serves row-level checks (``vector_parse``) and the tests.
 """
 
 from __future__ import annotations

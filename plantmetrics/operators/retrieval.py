@@ -6,7 +6,8 @@ patterns stay where they are and each task scores its patterns block-wise with n
 keeping only the k best per query. A final ``row_number() <= k`` per machine picks the
 global top-k from (k x tasks) candidates per machine. No cross join is planned and no
 pair is materialised beyond the per-task top-k. If the query matrix exceeds the
-broadcast budget, queries are scored in hash chunks that each fit, and unioned.
+broadcast budget, queries are scored in hash chunks of about the budget each, and the
+results are unioned.
 """
 
 from __future__ import annotations

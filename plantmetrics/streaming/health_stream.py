@@ -5,7 +5,8 @@ The batch model recomputes the trailing 3 days on every run, so late readings up
 (count, sum, max) as state with a 3-day watermark, emits changed groups in update
 mode, and each micro-batch upserts the finished rows into the health table keyed by
 (machine_id, reading_date). Append mode would hold back every still-open day, so it is
-not used; readings older than the watermark are dropped, like the batch window.
+not used. Days more than 3 days older than the newest stored day are not updated
+(``upsert_batch`` enforces it; the watermark bounds the state), like the batch window.
 """
 
 from __future__ import annotations
