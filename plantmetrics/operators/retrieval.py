@@ -6,8 +6,8 @@ patterns stay where they are and each task scores its patterns block-wise with n
 keeping only the k best per query. A final ``row_number() <= k`` per machine picks the
 global top-k from (k x tasks) candidates per machine. No cross join is planned and no
 pair is materialised beyond the per-task top-k. If the query matrix exceeds the
-broadcast budget, queries are scored in hash chunks of about the budget each, and the
-results are unioned.
+broadcast budget, queries get consecutive numbers and are scored in chunks of exactly
+the rows that fit, and the results are unioned.
 """
 
 from __future__ import annotations
@@ -219,11 +219,14 @@ def similar_failures(queries: DataFrame, patterns: DataFrame, k: int = 3,
         return patterns.sparkSession.createDataFrame([], _OUT).select(
             "machine_id", F.lit(0).alias("rank"), "pattern_id", "machine_type", "event_date", "reason_code",
             "downtime_hrs", F.col("sim").alias("similarity"))
-    chunks = max(1, math.ceil(n * max(d, 1) * 8 / max_query_bytes))
-    parts = []
-    for c in range(chunks):
-        qc = queries if chunks == 1 else queries.where(F.pmod(F.xxhash64("machine_id"), F.lit(chunks)) == c)
-        parts.append(_score_chunk(qc, patterns, k))
+    per_chunk = max(1, max_query_bytes // (max(d, 1) * 8))     # query rows that fit the budget
+    if n <= per_chunk:
+        parts = [_score_chunk(queries, patterns, k)]
+    else:
+        # consecutive query numbers, so every chunk holds exactly per_chunk rows (fits)
+        numbered = assign_ids(queries, ["machine_id"], "_qn", 0)
+        parts = [_score_chunk(numbered.where(F.floor(F.col("_qn") / per_chunk) == c).drop("_qn"), patterns, k)
+                 for c in range(math.ceil(n / per_chunk))]
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)
