@@ -65,6 +65,10 @@ def clean_label(x: Column) -> Column:
     return F.upper(F.trim(F.coalesce(x, F.lit("UNKNOWN"))))
 
 
+# --- Fixed values: the text layouts of the failure and machine descriptions below -------------
+# (labels, units and decimals per field are the stored format; numbers render half-up)
+
+
 def failure_description(machine_type: Column, reason: Column, event_date: Column, max_t, avg_t, max_v, avg_v,
                         max_p, avg_p, oee: Column, downtime: Column) -> Column:
     """The stored natural-language description of a failure event (fixed layout)."""
