@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType, LongType
 
-from plantmetrics.sources.readers import Source, _conform
+from plantmetrics.sources.readers import Source
 
 # --- Fixed values (value domains of the reference's seed data) -----------------------
 MACHINE_TYPES = ["CNC_MILL", "LATHE", "WELDING_ROBOT", "ASSEMBLY_BOT", "INJECTION_MOLD", "QUALITY_SCANNER"]
@@ -68,10 +68,12 @@ class DriverTables(Source):
         return F.lit(self.raw("embeddings").count())
 
     def table(self, name: str) -> DataFrame:
+        """A raw domain table. Every mapping below casts each column to the declared
+        schema itself (``tests/test_sources.py`` pins this), so no extra projection."""
         builder = getattr(self, f"_{name}", None)
         if builder is None:
             raise KeyError(name)
-        return _conform(builder(), name)
+        return builder()
 
     # --- ERP side ---------------------------------------------------------------------
     def _machines(self) -> DataFrame:

@@ -37,3 +37,11 @@ def test_csv_source_matches_adapter_and_drops_malformed(spark):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     m = CsvSource(spark, root).table("machines")
     assert m.count() == d.table("machines").count()
+
+
+def test_adapter_tables_have_the_declared_schemas(spark):
+    from plantmetrics.sources.readers import SCHEMAS
+    d = DriverTables(spark, SF)
+    for name in RAW + ["responses"]:
+        got = [(f.name, f.dataType.simpleString()) for f in d.table(name).schema.fields]
+        assert got == [(f.name, f.dataType.simpleString()) for f in SCHEMAS[name].fields], name
