@@ -654,7 +654,9 @@ q("cooldown_events", "SELECT event_id, machine_id, started_at, ended_at, reason_
 q("derive_downtime", "SELECT * FROM derived_downtime")
 q("csv_clean", "SELECT * FROM sig_clean")
 q("signal_features", "SELECT * FROM sig_features")
-q("signal_stats", "SELECT * FROM sig_stats")
+q("signal_stats", """SELECT rows, round(temp_mean, 9) AS temp_mean, round(temp_std, 9) AS temp_std,
+ round(rpm_mean, 9) AS rpm_mean, round(rpm_std, 9) AS rpm_std, round(pwr_mean, 9) AS pwr_mean,
+ round(pwr_std, 9) AS pwr_std, failures, round(failure_rate, 9) AS failure_rate FROM sig_stats""")
 q("zscale_signals", "SELECT * FROM zscaled")
 q("failure_reason", f"SELECT UDI, {REASON_CASE} AS reason_code FROM sig WHERE failure = 1")
 q("coverage_gaps", "SELECT * FROM coverage")

@@ -269,7 +269,9 @@ def _q_signal_stats(spark, sf):
     """AGG-23/AGG-24: signal means, sample std-devs, failure rate."""
     from plantmetrics.operators.signals import parse_signal_csv, signal_features, signal_stats
     from plantmetrics.sources.driver import DriverTables
-    return signal_stats(signal_features(parse_signal_csv(DriverTables(spark, sf).signal_csv_lines())))
+    st = signal_stats(signal_features(parse_signal_csv(DriverTables(spark, sf).signal_csv_lines())))
+    # floating sums depend on summation order: report the statistics to 9 decimals
+    return st.select(*[F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in st.dtypes])
 
 
 @register("zscale_signals")
