@@ -1,13 +1,17 @@
 """Ordered refresh: facts -> failure patterns -> recommendations -> queue.
 
 One Python call per run; each step writes a table under ``out_root`` and the next step
-reads what Spark derives from the previous ones. Run it from ``foreachBatch`` (see
-``streaming.refresh``) for the new-data trigger: micro-batches run one after another,
-so two refreshes never overlap.
+reads what Spark derives from the previous ones. Independent steps are submitted as
+concurrent Spark jobs (up to ``threads``, like running several models at once); the
+shared lazy inputs are built before they fan out. Run it from ``foreachBatch`` (see
+``streaming.refresh``) for the new-data trigger: micro-batches run one after another, so
+two refreshes never overlap.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
 from plantmetrics.params import DEFAULT, Params
@@ -15,8 +19,19 @@ from plantmetrics.plans import incremental as inc
 from plantmetrics.plans.model import Model
 from plantmetrics.sources.readers import Source
 
+TABLES = ["mart_oee_daily", "mart_machine_health", "mart_production_summary", "failure_patterns",
+          "maintenance_recommendations", "mart_maintenance_queue"]
+
+
+def _together(threads: int, *steps) -> None:
+    """Run independent steps as concurrent Spark jobs; re-raise the first failure."""
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        for f in [pool.submit(s) for s in steps]:
+            f.result()
 
-def run(spark: SparkSession, source: Source, out_root: str, params: Params = DEFAULT, full: bool = False) -> dict:
+
+def run(spark: SparkSession, source: Source, out_root: str, params: Params = DEFAULT, full: bool = False,
+        threads: int = 4) -> dict:
     """Build or incrementally refresh the marts, then patterns, recommendations, queue.
 
     Returns the row counts written per table.
@@ -24,31 +39,40 @@ def run(spark: SparkSession, source: Source, out_root: str, params: Params = DEF
     from plantmetrics.operators import health, oee
 
     m = Model(spark, source, params)
-    counts = {}
     keys_oee, keys_h = ["machine_id", "shift_date"], ["machine_id", "reading_date"]
-    inc.refresh_incremental(
-        spark, f"{out_root}/mart_oee_daily",
-        lambda since: oee.oee_daily(m.stg_machines, m.stg_orders, m.stg_downtime, m.stg_defects, since=since),
-        keys_oee, "shift_date", params.as_of, params.lookback_days, full=full)
-    inc.refresh_incremental(
-        spark, f"{out_root}/mart_machine_health",
-        lambda since: health.machine_health(m.stg_sensor, params, since=since),
-        keys_h, "reading_date", params.as_of, params.lookback_days, full=full)
+    staged = [m.stg_machines, m.stg_orders, m.stg_downtime, m.stg_defects, m.stg_sensor]  # build once  # noqa: F841
+    _together(
+        threads,
+        lambda: inc.refresh_incremental(
+            spark, f"{out_root}/mart_oee_daily",
+            lambda since: oee.oee_daily(m.stg_machines, m.stg_orders, m.stg_downtime, m.stg_defects, since=since),
+            keys_oee, "shift_date", params.as_of, params.lookback_days, full=full),
+        lambda: inc.refresh_incremental(
+            spark, f"{out_root}/mart_machine_health",
+            lambda since: health.machine_health(m.stg_sensor, params, since=since),
+            keys_h, "reading_date", params.as_of, params.lookback_days, full=full),
+    )
     # downstream steps read the stored facts
     stored = Model(spark, source, params)
     stored.__dict__["oee_daily"] = spark.read.parquet(f"{out_root}/mart_oee_daily").select(*oee.OEE_COLUMNS)
     stored.__dict__["machine_health"] = spark.read.parquet(f"{out_root}/mart_machine_health").select(
         *health.HEALTH_COLUMNS)
-    stored.production_summary.write.mode("overwrite").parquet(f"{out_root}/mart_production_summary")
-    stored.failure_patterns.write.mode("overwrite").parquet(f"{out_root}/failure_patterns")
     recs_path = f"{out_root}/maintenance_recommendations"
     existing = (spark.read.parquet(recs_path).select(*stored.recommendations_raw.columns)
                 if inc._exists(spark, recs_path) else stored.recommendations_raw)
-    merged = inc.upsert_recommendations(existing, stored.new_recommendations)
-    merged.checkpoint().write.mode("overwrite").parquet(recs_path)
+    # shared inputs of the next three steps, built once before they fan out
+    patterns, new_recs = stored.failure_patterns, stored.new_recommendations
+
+    def write_recs():
+        merged = inc.upsert_recommendations(existing, new_recs)
+        merged.checkpoint().write.mode("overwrite").parquet(recs_path)
+
+    _together(
+        threads,
+        lambda: stored.production_summary.write.mode("overwrite").parquet(f"{out_root}/mart_production_summary"),
+        lambda: patterns.write.mode("overwrite").parquet(f"{out_root}/failure_patterns"),
+        write_recs,
+    )
     stored.__dict__["recommendations_raw"] = spark.read.parquet(recs_path)
     stored.maintenance_queue.write.mode("overwrite").parquet(f"{out_root}/mart_maintenance_queue")
-    for t in ["mart_oee_daily", "mart_machine_health", "mart_production_summary", "failure_patterns",
-              "maintenance_recommendations", "mart_maintenance_queue"]:
-        counts[t] = spark.read.parquet(f"{out_root}/{t}").count()
-    return counts
+    return {t: spark.read.parquet(f"{out_root}/{t}").count() for t in TABLES}
