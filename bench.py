@@ -51,8 +51,8 @@ def main() -> None:
         o, h = m.oee_daily, m.machine_health
         together(4, lambda: o.write.mode("overwrite").parquet(f"{out}/mart_oee_daily"),
                  lambda: h.write.mode("overwrite").parquet(f"{out}/mart_machine_health"))
-        m.__dict__["oee_daily"] = spark.read.parquet(f"{out}/mart_oee_daily").select(*oee.OEE_COLUMNS)
-        m.__dict__["machine_health"] = spark.read.parquet(f"{out}/mart_machine_health").select(*health.HEALTH_COLUMNS)
+        m.using(oee_daily=spark.read.parquet(f"{out}/mart_oee_daily").select(*oee.OEE_COLUMNS),
+                machine_health=spark.read.parquet(f"{out}/mart_machine_health").select(*health.HEALTH_COLUMNS))
         weekly, queue = m.production_summary, m.maintenance_queue
         together(4, lambda: weekly.write.mode("overwrite").parquet(f"{out}/mart_production_summary"),
                  lambda: queue.write.mode("overwrite").parquet(f"{out}/mart_maintenance_queue"))

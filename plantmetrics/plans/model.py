@@ -22,6 +22,15 @@ class Model:
         self.source = source
         self.params = params
 
+    def using(self, **tables: DataFrame) -> "Model":
+        """Use stored tables for some models (e.g. ``oee_daily=spark.read.parquet(...)``);
+        everything downstream is then built on top of them."""
+        for name, df in tables.items():
+            if not isinstance(getattr(type(self), name, None), cached_property):
+                raise AttributeError(f"no model named {name}")
+            self.__dict__[name] = df
+        return self
+
     # staging ---------------------------------------------------------------------------
     @cached_property
     def stg_machines(self) -> DataFrame:

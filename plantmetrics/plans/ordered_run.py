@@ -53,10 +53,9 @@ def run(spark: SparkSession, source: Source, out_root: str, params: Params = DEF
             keys_h, "reading_date", params.as_of, params.lookback_days, full=full),
     )
     # downstream steps read the stored facts
-    stored = Model(spark, source, params)
-    stored.__dict__["oee_daily"] = spark.read.parquet(f"{out_root}/mart_oee_daily").select(*oee.OEE_COLUMNS)
-    stored.__dict__["machine_health"] = spark.read.parquet(f"{out_root}/mart_machine_health").select(
-        *health.HEALTH_COLUMNS)
+    stored = Model(spark, source, params).using(
+        oee_daily=spark.read.parquet(f"{out_root}/mart_oee_daily").select(*oee.OEE_COLUMNS),
+        machine_health=spark.read.parquet(f"{out_root}/mart_machine_health").select(*health.HEALTH_COLUMNS))
     recs_path = f"{out_root}/maintenance_recommendations"
     existing = (spark.read.parquet(recs_path).select(*stored.recommendations_raw.columns)
                 if inc._exists(spark, recs_path) else stored.recommendations_raw)
@@ -73,6 +72,6 @@ def run(spark: SparkSession, source: Source, out_root: str, params: Params = DEF
         lambda: patterns.write.mode("overwrite").parquet(f"{out_root}/failure_patterns"),
         write_recs,
     )
-    stored.__dict__["recommendations_raw"] = spark.read.parquet(recs_path)
+    stored.using(recommendations_raw=spark.read.parquet(recs_path))
     stored.maintenance_queue.write.mode("overwrite").parquet(f"{out_root}/mart_maintenance_queue")
     return {t: spark.read.parquet(f"{out_root}/{t}").count() for t in TABLES}
