@@ -49,12 +49,11 @@ class ParquetSource(Source):
     paths: dict = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
+        """Read with the files' own schema, then cast to the declared one: files written by
+        other tools (zoned timestamps, narrower ints) load too, and column pruning still
+        reaches the scan through the projection."""
         path = self.paths.get(name, f"{self.root}/{name}")
-        schema = SCHEMAS.get(name)
-        reader = self.spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
-        return _conform(reader.parquet(path), name)
+        return _conform(self.spark.read.parquet(path), name)
 
 
 @dataclass

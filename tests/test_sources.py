@@ -45,3 +45,13 @@ def test_adapter_tables_have_the_declared_schemas(spark):
     for name in RAW + ["responses"]:
         got = [(f.name, f.dataType.simpleString()) for f in d.table(name).schema.fields]
         assert got == [(f.name, f.dataType.simpleString()) for f in SCHEMAS[name].fields], name
+
+
+def test_parquet_source_reads_zoned_timestamps(spark):
+    import datetime as dt
+    root = tempfile.mkdtemp(prefix="pm-src-ltz-")
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 2, 3, 4, 5), 20.5, 1.25, 3.5)],
+                               "machine_id long, ts timestamp, temperature_c double, vibration_mm_s double, power_kw double")
+    df.write.parquet(f"{root}/sensor_readings")
+    r = ParquetSource(spark, root).table("sensor_readings").first()
+    assert r.ts == dt.datetime(2024, 1, 2, 3, 4, 5) and str(r.temperature_c) == "20.50"
