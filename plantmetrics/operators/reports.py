@@ -110,11 +110,14 @@ def latest_health_status(named: DataFrame) -> DataFrame:
                    F.count(F.lit(1)).alias("n_machines"), F.max("last_date").alias("latest_reading_date"))
 
 
-def anomaly_pivot(named: DataFrame, dates: list) -> DataFrame:
-    """Machines x days matrix of the anomaly flag (1/0); ``dates`` are the pivot values."""
-    return (named.select("machine_name", F.col("reading_date").cast("string").alias("d"),
-                         F.col("anomaly_flag").cast("int").alias("a"))
-            .groupBy("machine_name").pivot("d", [str(x) for x in dates]).agg(F.max("a")))
+def anomaly_pivot(named: DataFrame, dates: list | None = None) -> DataFrame:
+    """Machines x days matrix of the anomaly flag (1/0). Without ``dates`` Spark finds the
+    day columns itself (one per calendar day, capped by ``spark.sql.pivotMaxValues``)."""
+    g = (named.select("machine_name", F.col("reading_date").cast("string").alias("d"),
+                      F.col("anomaly_flag").cast("int").alias("a"))
+         .groupBy("machine_name"))
+    p = g.pivot("d") if dates is None else g.pivot("d", [str(x) for x in dates])
+    return p.agg(F.max("a"))
 
 
 def most_anomalous(named: DataFrame) -> DataFrame:

@@ -363,11 +363,7 @@ def _q_oee_trend_selected(spark, sf):
 def _q_anomaly_pivot(spark, sf):
     """AGG-21: machines x days anomaly matrix."""
     from plantmetrics.operators.reports import anomaly_pivot
-    m = model(spark, sf)
-    named = _named(m)
-    # pivot values: one per calendar day present (bounded by the calendar)
-    days = [r[0] for r in named.select("reading_date").distinct().orderBy("reading_date").collect()]
-    return anomaly_pivot(named, days)
+    return anomaly_pivot(_named(model(spark, sf)))
 
 
 @register("latest_readings")
