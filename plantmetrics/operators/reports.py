@@ -195,22 +195,25 @@ def latest_week_detail(weekly: DataFrame) -> DataFrame:
 
 
 def week_over_week(weekly: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """Fleet mean of weekly OEE: latest vs previous week, and machines under target
-    (empty with fewer than two weeks).
-
-    The lag runs over the per-week aggregate (one row per calendar week), so the
-    unpartitioned window is bounded by the number of weeks, not by the data.
-    """
-    per_week = weekly.groupBy("week_start").agg(F.avg("avg_oee").alias("fleet_oee"))
-    lagged = per_week.withColumn("prior_oee", F.lag("fleet_oee").over(Window.orderBy("week_start")))
+    """Fleet mean of weekly OEE: latest week vs the week before it (the previous week
+    present), and machines under target in the latest week; empty with fewer than two
+    weeks or no prior mean. Two scalar anchors and conditional aggregates: no window,
+    all partial."""
     last = weekly.select(F.max("week_start")).scalar()
-    n_below = latest_week(weekly).select(F.count_if(F.col("avg_oee") < dec(params.world_class_oee, 3, 2))).scalar()
-    delta = F.col("fleet_oee") - F.col("prior_oee")
-    return (lagged.where((F.col("week_start") == last) & F.col("prior_oee").isNotNull())
-            .select(F.col("week_start").alias("latest_week"), F.col("fleet_oee").alias("latest_oee"),
-                    "prior_oee", delta.alias("delta"),
-                    F.when(delta >= 0, "up").otherwise("down").alias("direction"),
-                    n_below.alias("n_below_target")))
+    prev = weekly.where(F.col("week_start") < last).select(F.max("week_start")).scalar()
+    per_week = (weekly.where(F.col("week_start") >= prev)
+                .groupBy("week_start").agg(F.avg("avg_oee").alias("fleet_oee"),
+                                           F.count_if(F.col("avg_oee") < dec(params.world_class_oee, 3, 2))
+                                           .alias("below")))
+    r = per_week.agg(F.max(F.when(F.col("week_start") == last, F.col("week_start"))).alias("latest_week"),
+                     F.max(F.when(F.col("week_start") == last, F.col("fleet_oee"))).alias("latest_oee"),
+                     F.max(F.when(F.col("week_start") == prev, F.col("fleet_oee"))).alias("prior_oee"),
+                     F.max(F.when(F.col("week_start") == last, F.col("below"))).alias("n_below_target"),
+                     F.count(F.lit(1)).alias("weeks"))
+    delta = F.col("latest_oee") - F.col("prior_oee")
+    return (r.where((F.col("weeks") == 2) & F.col("prior_oee").isNotNull())
+            .select("latest_week", "latest_oee", "prior_oee", delta.alias("delta"),
+                    F.when(delta >= 0, "up").otherwise("down").alias("direction"), "n_below_target"))
 
 
 def coverage_gaps(machines: DataFrame, orders: DataFrame, shift_labels: list[str]) -> DataFrame:
