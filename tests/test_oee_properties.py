@@ -3,7 +3,8 @@
 import datetime as dt
 from decimal import ROUND_HALF_UP, Decimal
 
-from hypothesis import HealthCheck, given, settings
+import pytest
+from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 
 from plantmetrics.operators import oee, staging
@@ -56,6 +57,7 @@ order_st = st.tuples(st.integers(0, 2), st.sampled_from([6, 14, 22]), st.integer
 @given(st.lists(order_st, min_size=1, max_size=12),
        st.lists(st.tuples(st.integers(0, 2), st.integers(0, 23), st.integers(0, 40_000_000)), max_size=8),
        st.lists(st.tuples(st.integers(0, 11), st.integers(1, 500)), max_size=8))
+@example(orders_raw=[(0, 6, 0, 1)], downs=[], defs_raw=[(0, 11)])   # quality -10: overflow
 def test_rates_match_exact_decimal(spark, orders_raw, downs, defs_raw):
     rate = 150
     orders = [(i, day, h, dur, act) for i, (day, h, dur, act) in enumerate(orders_raw)]
@@ -71,6 +73,13 @@ def test_rates_match_exact_decimal(spark, orders_raw, downs, defs_raw):
          for j, (day, h, ms) in enumerate(downs)], schemas.DOWNTIME_EVENTS))
     f = staging.stg_defects(spark.createDataFrame([(k, oid, "t", qty) for k, (oid, qty) in enumerate(defs)],
                                                   schemas.DEFECTS))
-    got = {r.shift_date: (r.availability_rate, r.performance_rate, r.quality_rate, r.oee)
-           for r in oee.oee_daily(machines, o, d, f).collect()}
-    assert got == expected(orders, [(day, h, ms) for day, h, ms in downs], defs, Decimal(rate))
+    exp = expected(orders, [(day, h, ms) for day, h, ms in downs], defs, Decimal(rate))
+    res = oee.oee_daily(machines, o, d, f)
+    if any(v[2] is not None and abs(v[2]) >= 10 for v in exp.values()):
+        # DECIMAL(5,4) holds |x| < 10: defects above ten times the output overflow and raise
+        # (ANSI decimal semantics, as decided in SURVEY §1.4-2), never a silent NULL
+        with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+            res.collect()
+        return
+    got = {r.shift_date: (r.availability_rate, r.performance_rate, r.quality_rate, r.oee) for r in res.collect()}
+    assert got == exp
