@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from plantmetrics.llm.words import U, Words, mix, slices
 
-CHUNK_CHARS = 24_000_000
+CHUNK_CHARS = 10_000_000
 PRIOR = 1000.0
 #: Stand-ins for the end of a text and for the history at its start.
 END, START = mix(U(0xE0D)), mix(U(0x57A27))
