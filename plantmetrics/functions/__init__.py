@@ -1,7 +1,7 @@
 """Column-expression helpers. Everything here returns a ``Column``; nothing collects."""
 
 from plantmetrics.functions.columns import (  # noqa: F401
-    bounded_hours, dec, hours_between, monday_of, rate_or_null, trunc_hour, week_start,
+    dec, hours_between, monday_of, trunc_hour, week_start,
 )
 from plantmetrics.functions.vectors import (  # noqa: F401
     cosine_expr, format_vector, parse_vector, vector_dims,

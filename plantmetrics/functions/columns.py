@@ -52,14 +52,3 @@ def monday_of(d: Column | str) -> Column:
 
 
 week_start = monday_of
-
-
-def rate_or_null(num: Column, den: Column) -> Column:
-    """num / den, NULL when den is 0 (NULLIF guard). Spark and DuckDB both skip NULL
-    inside GREATEST/LEAST, so the guard has to sit outside any clamp."""
-    return F.when(den == 0, F.lit(None)).otherwise(F.try_divide(num, den))
-
-
-def bounded_hours(h: Column, lo: str, hi: str) -> Column:
-    """Clamp an hour estimate into [lo, hi]."""
-    return F.least(F.greatest(h, F.lit(float(lo))), F.lit(float(hi)))

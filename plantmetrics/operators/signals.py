@@ -40,11 +40,11 @@ CSV_SCHEMA = StructType([
     StructField("Machine failure", IntegerType()),
     *[StructField(f, IntegerType()) for f in ["TWF", "HDF", "PWF", "OSF", "RNF"]],
 ])
-_REQUIRED = ["UDI", "Process temperature [K]", "Rotational speed [rpm]", "Torque [Nm]"]
+_REQUIRED = [f.name for f in CSV_SCHEMA.fields if f.name != "UDI"]
 
 
 def parse_signal_csv(lines: DataFrame, col: str = "line") -> DataFrame:
-    """CSV text lines -> typed rows; lines whose numbers do not parse are skipped
+    """CSV text lines -> typed rows; lines with a number or a flag that does not parse are skipped
     (the loader's DROPMALFORMED behaviour, expressed on a string column)."""
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CSV_SCHEMA.fields)
     parsed = lines.select(F.from_csv(F.col(col), ddl, {"mode": "PERMISSIVE"}).alias("r"))

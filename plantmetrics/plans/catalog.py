@@ -11,9 +11,12 @@ DERIVED_TABLES = ["mart_oee_daily", "mart_machine_health", "mart_production_summ
 
 def create_table(spark: SparkSession, name: str, schema: StructType, path: str, replace: bool = False,
                  partition_by: list[str] | None = None) -> None:
-    """CREATE [OR REPLACE] TABLE name (schema) USING parquet LOCATION path."""
+    """CREATE [OR REPLACE] TABLE name (schema) USING parquet LOCATION path. Replacing empties the
+    location too: dropping a table with a location keeps its files."""
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+        empty = spark.createDataFrame([], schema).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (empty.partitionBy(*partition_by) if partition_by else empty).parquet(path)
     if spark.catalog.tableExists(name):
         return
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

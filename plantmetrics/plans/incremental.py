@@ -57,8 +57,8 @@ def append_rows(df: DataFrame, path: str, date_col: str | None = None) -> None:
 
 
 def full_refresh(df: DataFrame, path: str, date_col: str) -> None:
-    """Rebuild the whole table."""
-    df.write.mode("overwrite").partitionBy(date_col).parquet(path)
+    """Rebuild the whole table: dates that the new rows lack go, whatever the session's overwrite mode."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(date_col).parquet(path)
 
 
 def refresh_incremental(spark: SparkSession, path: str, build, keys: list[str], date_col: str,

@@ -27,7 +27,3 @@ def start_ingest(readings: DataFrame, sink_path: str, checkpoint: str, trigger:
          .option("path", sink_path).option("checkpointLocation", checkpoint).partitionBy("reading_date"))
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
-
-
-def with_event_date(df: DataFrame) -> DataFrame:
-    return df.withColumn("reading_date", F.to_date("ts"))

@@ -516,16 +516,17 @@ def _q_incremental_health(spark, sf):
 
 @register("overwrite_reload")
 def _q_overwrite_reload(spark, sf):
-    """SNK-2/SNK-4: staged readings written twice with overwrite to the shared folder,
-    read back (the second write replaces the first)."""
+    """SNK-2/SNK-4: readings under other dates, then the staged readings, both written with
+    overwrite to the shared folder and read back: nothing of the first write is left."""
     import uuid
 
+    from plantmetrics.plans.incremental import full_refresh
     from plantmetrics.session import ensure_checkpoint_dir
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/reload-{uuid.uuid4().hex}/sensor_readings"
     s = model(spark, sf).stg_sensor
-    s.write.mode("overwrite").partitionBy("reading_date").parquet(path)
-    s.write.mode("overwrite").partitionBy("reading_date").parquet(path)
+    full_refresh(s.withColumn("reading_date", F.date_add("reading_date", 400)), path, "reading_date")
+    full_refresh(s, path, "reading_date")
     return spark.read.parquet(path).select(*s.columns)
 
 

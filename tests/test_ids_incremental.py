@@ -84,3 +84,25 @@ def test_refresh_incremental_writes_only_window(spark):
     again = spark.read.parquet(path)
     assert first == again.count() == 11
     assert sorted(r.reading_date for r in again.select("reading_date").collect())[0] == dt.date(2024, 1, 20)
+
+
+def test_full_refresh_drops_dates_that_are_gone(spark, tmp_path):
+    from plantmetrics.plans.incremental import full_refresh
+    path = str(tmp_path / "shrinking")
+    two = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 2))], "v int, d date")
+    full_refresh(two, path, "d")
+    full_refresh(two.where("v = 2"), path, "d")
+    assert [r.v for r in spark.read.parquet(path).collect()] == [2]
+
+
+def test_replaced_table_is_empty(spark, tmp_path):
+    from plantmetrics.plans.catalog import create_table
+    rows = spark.createDataFrame([(1, "a")], "v int, p string")
+    for name, parts in (("replaced_plain", None), ("replaced_parts", ["p"])):
+        path = str(tmp_path / name)
+        create_table(spark, name, rows.schema, path, replace=True, partition_by=parts)
+        rows.write.mode("append").insertInto(name)
+        assert spark.table(name).count() == 1
+        create_table(spark, name, rows.schema, path, replace=True, partition_by=parts)
+        assert spark.table(name).count() == 0
+        spark.sql(f"DROP TABLE {name}")
