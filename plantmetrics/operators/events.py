@@ -4,33 +4,30 @@ Greedy cooldown: walk a machine's events in time order and keep an event only if
 than ``cooldown`` has passed since the last *kept* event. A ``lag`` filter is wrong
 (it compares with the previous event, kept or not), and folding each machine's event
 list in one task does not survive a machine holding a third of all events. The batch
-form here is exact and keeps every task's input bounded by event density, not by a
-machine's history:
+form here is exact, has one path, and bounds every task by the cooldown's length:
 
+* Of rows at one (key, instant) only the first can be kept, so rows are first reduced to
+  one node per (key, instant), with map-side combine: a burst of copies is one node.
 * Cut time into buckets of width T (the cooldown). Two kept events are > T apart, so a
   bucket keeps at most one event; and an event in bucket b is always > T after anything
   in bucket b-2 or earlier. So the kept event of bucket b is the first event of b if
   nothing was kept in b-1, else the first event of b later than (kept of b-1) + T.
-* ``succ(e)``: first event of bucket b+1 later than t(e) + T, over the bucket's events
-  plus the probes t(e)+T from bucket b-1. The bucket sizes are counted first: when the
-  largest (key, bucket) group is within ``max_window_rows`` a running window per group
-  does it (bounded per task); beyond that a range-sorted scan
-  (``operators.scan.next_target``) splits even a burst of copies across tasks.
-* ``next(e)`` = succ(e), or the first event of bucket b+2 when there is no succ.
-* Kept events are exactly the ``next``-paths from each run's first event (a run is a
-  maximal stretch of consecutive non-empty buckets). Paths are marked by pointer
-  doubling: log2(longest run) self-joins on event id, each checkpointed.
+* ``next(e)``: the first event of bucket b+1 at a later offset than e's, else the first
+  event of bucket b+2. Every bucket is cut into CELLS cells. The later offset is looked for
+  in e's own cell (a window over one cell: at most T / CELLS instants), then among the first
+  events of the later cells of that bucket (a window over at most 2 * CELLS rows).
+* Kept events are exactly the ``next``-paths from the roots (the first event of a bucket
+  whose predecessor is empty). Paths are marked by pointer doubling. Before each level the
+  pointers are pruned to the nodes that a path of that length can still use: those known
+  as kept and those some pointer leads to. It ends when no pointer is left.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantmetrics.operators.ids import assign_ids
-from plantmetrics.operators.scan import next_target
 from plantmetrics.session import ensure_checkpoint_dir
 
 # --- Fixed values: failure flag -> reason code, first match wins ------------------------
@@ -53,69 +50,66 @@ def epoch_micros(ts: Column) -> Column:
     return ntz_micros(ts)
 
 
-MAX_WINDOW_ROWS = 1_000_000
+#: Cells per bucket of one cooldown's width.
+CELLS = 4096
 
 
-def greedy_cooldown(events: DataFrame, key: str, ts: str, tiebreak: list[str], cooldown_s: int,
-                    max_window_rows: int = MAX_WINDOW_ROWS) -> DataFrame:
+def greedy_cooldown(events: DataFrame, key: str, ts: str, tiebreak: list[str], cooldown_s: int) -> DataFrame:
     """Rows of ``events`` kept by the greedy cooldown (strictly more than ``cooldown_s``
     seconds after the previous kept row of the same key). Rows are walked in
-    (ts, *tiebreak) order; rows equal on all of those are ordered by an internal row id."""
-    spark = events.sparkSession
-    ensure_checkpoint_dir(spark)
+    (ts, *tiebreak) order; rows equal on all of those are ordered by an internal row id.
+
+    Rows with a NULL key form a key of their own; rows with a NULL time are all kept, as
+    nothing shows them to fall into a cooldown."""
+    ensure_checkpoint_dir(events.sparkSession)
     T = int(cooldown_s) * 1_000_000
     tagged = events.withColumn("_rid", F.monotonically_increasing_id()).checkpoint()
-    tb = [F.col(c).alias(f"_tb{i}") for i, c in enumerate(tiebreak)]
-    tbn = [f"_tb{i}" for i in range(len(tiebreak))]
-    ev = tagged.select(F.col(key).alias("k"), F.col("_rid").alias("id"), epoch_micros(F.col(ts)).alias("t"), *tb)
-    ev = ev.withColumn("b", F.floor(F.col("t") / F.lit(T)).cast("long"))
-    okey = F.struct("t", *tbn, "id")
-
-    # first event and size of each non-empty bucket (partial aggregate)
-    # (checkpointed: four consumers below would each re-run this aggregate)
-    first = ev.groupBy("k", "b").agg(F.min(okey).alias("f"), F.count(F.lit(1)).alias("n")).checkpoint()
-    largest = first.agg(F.max("n")).first()[0] or 0
-
-    # succ(e): probes t+T from bucket b-1 against the real events of bucket b; the first
-    # real after each probe in (t, kind, tiebreak, id) order, found by a range-sorted
-    # scan (a hot bucket is split across tasks, see operators.scan)
-    reals = ev.select("k", "b", "t", *tbn, "id", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("src"))
-    probes = ev.select("k", (F.col("b") + 1).alias("b"), (F.col("t") + F.lit(T)).alias("t"),
-                       *[F.col(c) for c in tbn], F.col("id"), F.lit(1).alias("kind"), F.col("id").alias("src"))
-    u = reals.unionByName(probes).withColumn("is_real", F.col("kind") == 0)
-    if largest <= max_window_rows:
-        # every (key, bucket) group is small enough for one task: a running window
-        w = (Window.partitionBy("k", "b").orderBy(F.desc("t"), F.desc("kind"), *[F.desc(c) for c in tbn],
-                                                  F.desc("id"))
-             .rowsBetween(Window.unboundedPreceding, -1))
-        u = u.withColumn("next_id", F.min(F.when(F.col("is_real"), okey)).over(w)["id"])
-    else:
-        # a hot bucket (e.g. a burst of copies): range-sorted scan splits it across tasks
-        u = next_target(u, ["k", "b"], ["t", "kind", *tbn, "id"], "is_real", "id")
-    succ = u.where(F.col("kind") == 1).select(F.col("src").alias("id"), F.col("next_id").alias("succ"))
-
-    fallback = first.select("k", (F.col("b") - 2).alias("b"), F.col("f.id").alias("fb"))
-    jump = (ev.join(succ, "id", "left").join(fallback, ["k", "b"], "left")
-            .select("id", F.coalesce("succ", "fb").alias("nxt")).where(F.col("nxt").isNotNull()))
-
-    # run roots and the longest run (a run: consecutive non-empty buckets of one key)
-    g = first.withColumn("grp", F.col("b") - F.row_number().over(Window.partitionBy("k").orderBy("b")))
-    runs = g.groupBy("k", "grp").agg(F.min("b").alias("start"), F.count(F.lit(1)).alias("len"))
-    roots = runs.join(first.withColumnRenamed("b", "start"), ["k", "start"]).select(F.col("f.id").alias("id"))
-    longest = runs.agg(F.max("len")).first()[0] or 0
-    levels = max(0, math.ceil(math.log2(longest))) if longest > 1 else 0
-
-    if levels == 0:   # every run is one bucket: its first event is the only one kept
-        return tagged.join(roots.withColumnRenamed("id", "_rid"), "_rid", "left_semi").drop("_rid")
-    jumps = [jump.checkpoint()]
-    for _ in range(1, levels):
-        j = jumps[-1]
-        jumps.append(j.alias("a").join(j.alias("c"), F.col("a.nxt") == F.col("c.id"))
-                     .select(F.col("a.id"), F.col("c.nxt")).checkpoint())
-    kept = roots
-    for j in reversed(jumps[:levels]):
-        kept = kept.unionByName(kept.join(j, "id").select(F.col("nxt").alias("id"))).distinct().checkpoint()
-    return tagged.join(kept.withColumnRenamed("id", "_rid"), "_rid", "left_semi").drop("_rid")
+    nodes = (tagged.where(F.col(ts).isNotNull()).groupBy(F.col(key).alias("k"), epoch_micros(F.col(ts)).alias("t"))
+             .agg(F.min(F.struct(*tiebreak, "_rid"))["_rid"].alias("id")))
+    kept = _kept_ids(nodes, T).select(F.col("id").alias("_rid")) if T > 0 else nodes.select(F.col("id").alias("_rid"))
+    untimed = tagged.where(F.col(ts).isNull()).select("_rid")
+    return tagged.join(kept.unionByName(untimed), "_rid", "left_semi").drop("_rid")
+
+
+def _kept_ids(nodes: DataFrame, T: int) -> DataFrame:
+    """``id`` of the kept ones of ``nodes(k, t, id)``, one node per (k, t)."""
+    offset = F.pmod("t", F.lit(T))
+    ev = nodes.select("k", "id", F.expr(f"(t - pmod(t, {T})) div {T}").alias("b"), offset.alias("off"),
+                      F.expr(f"cast(pmod(t, {T}) div {-(-T // CELLS)} as int)").alias("c")).checkpoint()
+
+    # own cell: each event's offset, looked up among the events of the next bucket's same cell
+    later = Window.partitionBy("k", "b", "c").orderBy(F.desc("off"), F.desc("probe")).rowsBetween(
+        Window.unboundedPreceding, -1)
+    met = ev.withColumn("probe", F.lit(0)).unionByName(ev.withColumn("b", F.col("b") + 1).withColumn("probe", F.lit(1)))
+    met = met.withColumn("nxt", F.last(F.when(F.col("probe") == 0, F.col("id")), ignorenulls=True).over(later))
+    met = met.where("probe = 1").select("id", "k", "b", "c", "nxt")
+
+    # later cells of that bucket, else the first event of the bucket after it: per probed cell
+    first = F.min_by("id", "off").alias("f")
+    cells = ev.groupBy("k", "b", "c").agg(first)
+    buckets = ev.groupBy("k", "b").agg(first)
+    asked = met.where("nxt is null").select("k", "b", "c").distinct()
+    both = cells.withColumn("probe", F.lit(0)).unionByName(
+        asked.withColumn("f", F.lit(None).cast("long")).withColumn("probe", F.lit(1)))
+    beyond = Window.partitionBy("k", "b").orderBy(F.desc("c"), F.desc("probe")).rowsBetween(Window.unboundedPreceding, -1)
+    far = both.withColumn("f", F.last(F.when(F.col("probe") == 0, F.col("f")), ignorenulls=True).over(beyond)).where("probe = 1")
+    after = buckets.select(F.col("k").alias("ak"), (F.col("b") - 1).alias("ab"), F.col("f").alias("af"))
+    far = far.join(after, F.col("k").eqNullSafe(F.col("ak")) & (F.col("b") == F.col("ab")), "left").select(
+        F.col("k").alias("fk"), F.col("b").alias("fb"), F.col("c").alias("fc"), F.coalesce("f", "af").alias("far"))
+    jump = met.join(far, F.col("k").eqNullSafe(F.col("fk")) & (F.col("b") == F.col("fb")) & (F.col("c") == F.col("fc")), "left")
+    jump = jump.select("id", F.coalesce("nxt", "far").alias("nxt")).where("nxt is not null").checkpoint()
+
+    before = buckets.select(F.col("k").alias("pk"), (F.col("b") + 1).alias("pb"))
+    kept = buckets.join(before, F.col("k").eqNullSafe(F.col("pk")) & (F.col("b") == F.col("pb")), "left_anti").select(
+        F.col("f").alias("id")).checkpoint()
+    while not jump.isEmpty():
+        # kept: all at fewer than 2 ** level steps from a root; jump: 2 ** level steps
+        useful = kept.unionByName(jump.select(F.col("nxt").alias("id")))
+        jump = jump.join(useful, "id", "left_semi").checkpoint()
+        kept = kept.unionByName(jump.join(kept, "id", "left_semi").select(F.col("nxt").alias("id"))).distinct().checkpoint()
+        jump = jump.join(jump.select(F.col("id").alias("nxt"), F.col("nxt").alias("then")), "nxt").select(
+            "id", F.col("then").alias("nxt")).checkpoint()
+    return kept
 
 
 def failure_reason(flags: dict[str, Column] | None = None) -> Column:

@@ -14,9 +14,9 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, "machine_id int, event_id long, ts timestamp_ntz")
 
 
-def kept(spark, rows, cooldown=7200, max_window_rows=10**6):
+def kept(spark, rows, cooldown=7200):
     return sorted(r.event_id for r in greedy_cooldown(frame(spark, rows), "machine_id", "ts", ["event_id"],
-                                                     cooldown, max_window_rows).collect())
+                                                     cooldown).collect())
 
 
 def walk(rows, cooldown):
@@ -52,7 +52,32 @@ def test_lag_filter_would_differ(spark):
 def test_matches_python_walk(spark, data):
     rows = [(m, i, BASE + dt.timedelta(seconds=s)) for i, (m, s) in enumerate(data)]
     assert kept(spark, rows) == walk(rows, 7200)
-    assert kept(spark, rows, max_window_rows=1) == walk(rows, 7200)   # forced scan path
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(1, 2), st.integers(-30, 60)), min_size=1, max_size=60), st.sampled_from([0, 1, 7]))
+def test_short_cooldowns_match_python_walk(spark, data, cooldown):
+    # also across 1970, where bucket numbers change sign
+    rows = [(m, i, dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=500 * s)) for i, (m, s) in enumerate(data)]
+    assert kept(spark, rows, cooldown) == walk(rows, cooldown)
+
+
+def test_burst_of_copies(spark):
+    rows = [(1, i, BASE) for i in range(500)] + [(1, 500 + i, BASE + dt.timedelta(minutes=30 * i)) for i in range(20)]
+    assert kept(spark, rows) == [0, 505, 510, 515]
+
+
+def test_hot_machine_matches_walk(spark):
+    # one machine with 20,000 events a second or less apart, beside a quiet one
+    rows = [(1, i, BASE + dt.timedelta(seconds=(i * 7919) % 15000)) for i in range(20000)]
+    rows += [(2, 50000 + i, BASE + dt.timedelta(hours=5 * i)) for i in range(5)]
+    assert kept(spark, rows, 60) == walk(rows, 60)
+
+
+def test_null_key_is_a_key_and_null_times_stay(spark):
+    rows = [(None, 1, BASE), (None, 2, BASE + dt.timedelta(hours=1)), (None, 3, BASE + dt.timedelta(hours=3)),
+            (1, 4, None), (1, 5, BASE), (None, 6, None)]
+    assert kept(spark, rows) == [1, 3, 4, 5, 6]
 
 
 def test_dense_long_run_matches_walk(spark):

@@ -1,4 +1,4 @@
-"""Property tests against brute force: ids, next-match scan, cosine top-k with ties."""
+"""Property tests against brute force: ids, cosine top-k with ties."""
 
 import numpy as np
 from hypothesis import HealthCheck, given, settings
@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from plantmetrics.operators.ids import assign_ids
 from plantmetrics.operators.retrieval import similar_failures
-from plantmetrics.operators.scan import next_target
 
 FAST = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -22,20 +21,6 @@ def test_assign_ids_matches_sorted_enumeration(spark, rows, parts):
     assert got == exp
 
 
-@FAST
-@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 20), st.booleans()), min_size=1, max_size=150),
-       st.integers(1, 12))
-def test_next_target_matches_brute_force(spark, rows, parts):
-    data = [(g, t, i, tgt) for i, (g, t, tgt) in enumerate(rows)]
-    df = spark.createDataFrame(data, "g int, t long, id long, tgt boolean")
-    got = {r.id: r.next_id for r in next_target(df, ["g"], ["t", "id"], "tgt", "id", partitions=parts).collect()}
-    exp = {}
-    for g, t, i, _ in data:
-        later = sorted((x for x in data if x[0] == g and (x[1], x[2]) > (t, i) and x[3]), key=lambda x: (x[1], x[2]))
-        exp[i] = later[0][2] if later else None
-    assert got == exp
-
-
 @FAST
 @given(st.integers(1, 6), st.integers(1, 40), st.integers(1, 4), st.integers(0, 10_000))
 def test_topk_with_heavy_ties_matches_brute_force(spark, nq, n_distinct, k, seed):
