@@ -1,2 +1 @@
-"""Structured Streaming jobs: ingest, event-time daily health, stateful cooldown,
-and the new-data refresh trigger."""
+"""Structured Streaming jobs: ingest, daily health, cooldown, and the new-data refresh trigger."""

@@ -1,45 +1,61 @@
-"""Greedy per-machine cooldown on a live event stream.
-
-State per machine is one timestamp (the last kept event), so state size is bounded by
-the number of machines; each micro-batch's events of a machine are walked in time order
-inside ``applyInPandasWithState``. Events must arrive in time order per machine (as a
-live feed does); the batch operator handles arbitrary history.
+"""Greedy per-machine cooldown kept up to date from a stream of events.
+
+Every micro-batch is stored. What is kept before the first date it touches cannot change, so
+the cooldown is run again from that date on: the last kept event of each key before it (only
+those within one cooldown matter) stands first, followed by all stored events since. The dates
+from there on are overwritten. The table is equal to the batch operator's result for any
+order or lateness of arrival; a live feed recomputes its last day or two, and a row that is a
+month late costs a month. A repeated micro-batch and a restart change nothing.
 """
 
 from __future__ import annotations
 
-from typing import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-STATE_SCHEMA = "last_kept_us long"
-
-
-def _walker(key_col: str, ts_col: str, tiebreak: list[str], cooldown_s: int):
-    T = cooldown_s * 1_000_000
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        if pdf.empty:
-            return
-        pdf = pdf.sort_values([ts_col, *tiebreak], kind="mergesort").reset_index(drop=True)
-        us = pdf[ts_col].astype("datetime64[us]").astype("int64").to_numpy()
-        last = state.get[0] if state.exists else None
-        keep = []
-        for i, t in enumerate(us):
-            if last is None or t - last > T:
-                keep.append(i)
-                last = int(t)
-        state.update((last,))
-        yield pdf.iloc[keep]
-
-    return fn
-
-
-def cooldown_stream(events: DataFrame, key: str, ts: str, tiebreak: list[str], cooldown_s: int) -> DataFrame:
-    """Streaming DataFrame of kept events (append mode)."""
-    return events.groupBy(key).applyInPandasWithState(
-        _walker(key, ts, tiebreak, cooldown_s), outputStructType=events.schema, stateStructType=STATE_SCHEMA,
-        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from plantmetrics.operators.events import greedy_cooldown
+from plantmetrics.plans.incremental import _exists
+from plantmetrics.streaming.store import land, landed, replace_days
+
+
+def update_cooldown(batch: DataFrame, epoch_id: int, root: str, key: str, ts: str, tiebreak: list[str],
+                    cooldown_s: int) -> None:
+    """Store a micro-batch of events under ``root`` and redo the cooldown from its first date on.
+
+    A date that holds events always gets a row in the table (``is_kept`` false if it is only
+    there to say so), so that a date whose last kept event goes is overwritten too."""
+    if batch.isEmpty():
+        return
+    spark, columns = batch.sparkSession, batch.columns
+    dated = batch.withColumn("event_date", F.to_date(ts))
+    new = land(dated, f"{root}/events", epoch_id, "event_date")
+    low = new.agg(F.min("event_date")).first()[0]
+    day = F.col("event_date")
+    events = landed(spark, f"{root}/events", dated.schema).where((day >= F.lit(low).cast("date")) | day.isNull())
+    everything = events.withColumn("is_kept", F.lit(True))
+    if low is not None and _exists(spark, f"{root}/kept_events"):
+        reach = cooldown_s // 86400 + 1
+        before = _table(spark, root, dated).where((day < F.lit(low)) & (day >= F.date_sub(F.lit(low), reach)) & F.col("is_kept"))
+        seeds = before.groupBy(key).agg(F.max(ts).alias(ts)).withColumn("is_kept", F.lit(False))
+        everything = everything.unionByName(seeds, allowMissingColumns=True)
+    kept = greedy_cooldown(everything, key, ts, tiebreak, cooldown_s).where("is_kept")
+    dates = events.select("event_date").distinct().withColumn("is_kept", F.lit(False))
+    out = kept.unionByName(dates, allowMissingColumns=True).select(*columns, "event_date", "is_kept")
+    replace_days(out, f"{root}/kept_events", "event_date")
+
+
+def _table(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
+    return spark.read.schema(like.withColumn("is_kept", F.lit(True)).schema).parquet(f"{root}/kept_events")
+
+
+def kept_events(spark: SparkSession, root: str) -> DataFrame:
+    """The kept events, with ``event_date``."""
+    return spark.read.parquet(f"{root}/kept_events").where("is_kept").drop("is_kept")
+
+
+def start_cooldown_stream(events: DataFrame, root: str, checkpoint: str, key: str, ts: str, tiebreak: list[str],
+                          cooldown_s: int, trigger: dict | None = None):
+    """Keep ``{root}/kept_events`` up to date; ``root`` and ``checkpoint`` are shared folders."""
+    return (events.writeStream.option("checkpointLocation", checkpoint)
+            .foreachBatch(lambda batch, epoch: update_cooldown(batch, epoch, root, key, ts, tiebreak, cooldown_s))
+            .trigger(**(trigger or {"availableNow": True})).start())

@@ -1,70 +1,45 @@
-"""Event-time daily health as a stream.
-
-The batch model recomputes the trailing 3 days on every run, so late readings up to
-3 days old still change a day's profile. The stream keeps the per-(machine, day) parts
-(count, sum, max) as state with a 3-day watermark, emits changed groups in update
-mode, and each micro-batch upserts the finished rows into the health table keyed by
-(machine_id, reading_date). Append mode would hold back every still-open day, so it is
-not used. Days more than 3 days older than the newest stored day are not updated
-(``upsert_batch`` enforces it; the watermark bounds the state), like the batch window.
+"""Daily health kept up to date from a stream of readings.
+
+Every micro-batch is stored, and the days it touches are recomputed from all stored readings
+of those days and overwritten in a date-partitioned table. The table is therefore equal to
+the batch model for any file layout, order or lateness of arrival; a repeated micro-batch and
+a restart change nothing. A micro-batch reads the touched days only (partition pruning), so a
+feed that is about in time order costs about its own days. No reading is dropped, and no
+state is held beside the two tables.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantmetrics.functions.columns import ntz_micros
-from plantmetrics.operators.health import HEALTH_COLUMNS, health_finish
+from plantmetrics.operators.health import HEALTH_COLUMNS, machine_health
 from plantmetrics.operators.staging import stg_sensor
 from plantmetrics.params import DEFAULT, Params
+from plantmetrics.streaming.store import land, landed, replace_days
 
 
-def health_parts_stream(readings: DataFrame, late_days: int = 3) -> DataFrame:
-    # Watermarks need a zoned timestamp. The event time is the instant whose UTC wall
-    # clock equals ts; window() aligns to the epoch, so its 1-day windows are exactly the
-    # calendar days of ts, whatever the session zone.
-    s = (stg_sensor(readings).withColumn("_event_ts", F.timestamp_micros(ntz_micros(F.col("ts"))))
-         .withWatermark("_event_ts", f"{late_days} days"))
-    g = s.groupBy("machine_id", F.window("_event_ts", "1 day").alias("w"))
-    aggs = [F.count(F.lit(1)).alias("reading_count")]
-    for c, n in [("temperature_c", "t"), ("vibration_mm_s", "v"), ("power_kw", "p")]:
-        aggs += [F.sum(c).alias(f"_sum_{n}"), F.count(c).alias(f"_n_{n}"), F.max(c).alias(f"_max_{n}")]
-    day = F.date_from_unix_date((F.unix_micros(F.col("w.start")) / F.lit(86_400_000_000)).cast("int"))
-    return g.agg(*aggs).withColumn("reading_date", day).drop("w")
-
-
-def upsert_batch(table: dict, finished: DataFrame, late_days: int = 3) -> DataFrame:
-    """Merge one micro-batch of finished health rows into the table, keyed by
-    (machine_id, reading_date).
-
-    Spark only promises to keep data that is less late than the watermark; it may still
-    aggregate older rows. The sink therefore ignores updates to days more than
-    ``late_days`` before the newest day already stored, which is exactly the batch
-    model's trailing-window rule. ``table["df"]`` holds the current table (a written
-    table in production); the merge is checkpointed to cut lineage.
-    """
-    cur = table.get("df")
-    if cur is not None:
-        newest = cur.select(F.max("reading_date")).first()[0]
-        if newest is not None:
-            finished = finished.where(F.col("reading_date") >= F.date_sub(F.lit(newest), late_days))
-        merged = (cur.join(finished.select("machine_id", "reading_date"), ["machine_id", "reading_date"], "left_anti")
-                  .unionByName(finished.select(*cur.columns)))
-    else:
-        merged = finished
-    table["df"] = merged.checkpoint()
-    return table["df"]
+def update_health(batch: DataFrame, epoch_id: int, root: str, params: Params = DEFAULT) -> None:
+    """Store a micro-batch of raw readings under ``root`` and recompute the days it touches."""
+    if batch.isEmpty():
+        return
+    staged = stg_sensor(batch)
+    new = land(staged, f"{root}/sensor_readings", epoch_id, "reading_date")
+    touched = new.select(F.col("reading_date").alias("touched")).distinct()
+    low, high = new.agg(F.min("reading_date"), F.max("reading_date")).first()
+    day = F.col("reading_date")
+    rows = landed(batch.sparkSession, f"{root}/sensor_readings", staged.schema).where(day.between(low, high) | day.isNull())
+    rows = rows.join(touched, day.eqNullSafe(F.col("touched")), "left_semi")
+    replace_days(machine_health(rows, params).select(*HEALTH_COLUMNS), f"{root}/mart_machine_health", "reading_date")
 
 
-def start_health_stream(readings: DataFrame, sink, checkpoint: str, params: Params = DEFAULT,
-                        late_days: int = 3, trigger: dict | None = None):
-    """``sink(finished_rows, epoch_id)`` receives each micro-batch's finished health rows
-    (already keyed; the sink upserts them)."""
-    parts = health_parts_stream(readings, late_days)
+def health_table(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/mart_machine_health").select(*HEALTH_COLUMNS)
 
-    def each(batch: DataFrame, epoch_id: int) -> None:
-        sink(health_finish(batch, params).select(*HEALTH_COLUMNS), epoch_id)
 
-    return (parts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-            .foreachBatch(each).trigger(**(trigger or {"availableNow": True})).start())
+def start_health_stream(readings: DataFrame, root: str, checkpoint: str, params: Params = DEFAULT,
+                        trigger: dict | None = None):
+    """Keep ``{root}/mart_machine_health`` up to date; ``root`` and ``checkpoint`` are shared folders."""
+    return (readings.writeStream.option("checkpointLocation", checkpoint)
+            .foreachBatch(lambda batch, epoch: update_health(batch, epoch, root, params))
+            .trigger(**(trigger or {"availableNow": True})).start())

@@ -563,59 +563,41 @@ def _q_clamp(spark, sf):
         F.count(F.lit(1)).alias("rows"))
 
 
-# --- streaming (fed from the test tables in time order) ----------------------------------------------
-def _feed(spark, df, ts_col: str, chunks: int = 3) -> str:
-    """Write ``df`` into ``chunks`` time-ordered file batches under the shared checkpoint
-    folder, as a live feed would deliver them; returns the folder."""
+# --- streaming (fed from the test tables) --------------------------------------------------------
+def _streamed(spark, df, start, chunks: int = 3) -> str:
+    """Deliver ``df`` in ``chunks`` parts, in no order of time, to a folder that ``start(stream,
+    root)`` reads; the stream is started anew for each part. Returns the shared folder used."""
     import uuid
 
     from plantmetrics.session import ensure_checkpoint_dir
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/feed-{uuid.uuid4().hex}"
-    from plantmetrics.functions.columns import ntz_micros
-    secs = ntz_micros(F.col(ts_col)).cast("double")
-    bounds = df.select(F.percentile_approx(secs, [i / chunks for i in range(1, chunks)], 10000)).first()[0]
-    edges = [None] + [float(b) for b in bounds] + [None]
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(chunks))
     for i in range(chunks):
-        cond = F.lit(True)
-        if edges[i] is not None:
-            cond = cond & (secs > F.lit(edges[i]))
-        if edges[i + 1] is not None:
-            cond = cond & (secs <= F.lit(edges[i + 1]))
-        df.where(cond).write.mode("overwrite").parquet(f"{root}/in/b{i:03d}")
+        df.where(part == i).write.parquet(f"{root}/in/b{i:03d}")
+        stream = spark.readStream.schema(df.schema).option("recursiveFileLookup", "true").parquet(f"{root}/in")
+        start(stream, root).awaitTermination()
     return root
 
 
 @register("stream_health")
 def _q_stream_health(spark, sf):
-    """ST-1/ST-3: readings streamed in three time-ordered micro-batches; event-time daily
-    health with a 3-day watermark, update mode, keyed upsert per micro-batch."""
-    from plantmetrics.sources.schemas import SENSOR_READINGS
-    from plantmetrics.streaming import health_stream
-    src = model(spark, sf).source.table("sensor_readings")
-    root = _feed(spark, src, "ts")
-    table = {}
-    stream = (spark.readStream.schema(SENSOR_READINGS).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", "true").parquet(f"{root}/in"))
-    q = health_stream.start_health_stream(stream, lambda rows, e: health_stream.upsert_batch(table, rows),
-                                          f"{root}/ckpt")
-    q.awaitTermination()
-    return table["df"]
+    """ST-1/ST-3: readings streamed in three parts in no order of time, with a restart after
+    each; the touched days of the written health table are recomputed per micro-batch."""
+    from plantmetrics.streaming.health_stream import health_table, start_health_stream
+    root = _streamed(spark, model(spark, sf).source.table("sensor_readings"),
+                     lambda stream, r: start_health_stream(stream, r, f"{r}/ckpt"))
+    return health_table(spark, root)
 
 
 @register("stream_cooldown")
 def _q_stream_cooldown(spark, sf):
-    """ST-4 (streaming): stoppages streamed in time order through the stateful per-machine
-    cooldown (one timestamp of state per machine)."""
-    from plantmetrics.streaming.cooldown_stream import cooldown_stream
-    src = model(spark, sf).source.table("downtime_events")
-    root = _feed(spark, src, "started_at")
-    stream = (spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", "true").parquet(f"{root}/in"))
-    out = cooldown_stream(stream, "machine_id", "started_at", ["event_id"], model(spark, sf).params.cooldown_s)
-    q = (out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.schema(src.schema).parquet(f"{root}/out")
+    """ST-4 (streaming): stoppages streamed in three parts in no order of time, with a restart
+    after each; the written table of kept events is recomputed from the first touched date."""
+    from plantmetrics.streaming.cooldown_stream import kept_events, start_cooldown_stream
+    src, cooldown = model(spark, sf).source.table("downtime_events"), model(spark, sf).params.cooldown_s
+    root = _streamed(spark, src, lambda stream, r: start_cooldown_stream(
+        stream, r, f"{r}/ckpt", "machine_id", "started_at", ["event_id"], cooldown))
+    return kept_events(spark, root).select(*src.columns)
 
 
 @register("maintenance_queue_strict")

@@ -1,7 +1,6 @@
-"""Stream = batch: event-time health with upserts, stateful cooldown, refresh trigger."""
+"""Stream = batch: daily health, cooldown (files in any order, restarts, repeats), refresh trigger."""
 
 import datetime as dt
-import os
 import tempfile
 
 from conftest import SF
@@ -14,73 +13,81 @@ from plantmetrics.sources.schemas import SENSOR_READINGS
 from plantmetrics.streaming import cooldown_stream, health_stream, ingest, refresh
 
 
-def _time_chunks(df, root, n):
-    """Split a frame by time into n files: a feed that arrives in time order."""
-    pdf = df.orderBy("ts").toPandas()
-    step = max(1, -(-len(pdf) // n))
-    spark = df.sparkSession
-    for i, lo in enumerate(range(0, len(pdf), step)):
-        spark.createDataFrame(pdf.iloc[lo:lo + step], df.schema).coalesce(1).write.parquet(f"{root}/b{i:03d}")
-        __import__("time").sleep(1.1)
+def _feed(df, files):
+    """The rows in files that each span the whole time: the feed arrives in no order."""
+    root = tempfile.mkdtemp(prefix="pm-stream-")
+    df.repartition(files).write.parquet(f"{root}/in")
+    return root
+
+
+def _stream(spark, root, schema):
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
+            .parquet(f"{root}/in"))
+
 
+def _run_health(spark, root):
+    health_stream.start_health_stream(_stream(spark, root, SENSOR_READINGS), root, f"{root}/ckpt").awaitTermination(300)
+    return sorted(map(tuple, health_stream.health_table(spark, root).collect()))
 
-def test_health_stream_equals_batch(spark):
+
+def _batch_health(readings):
+    return sorted(map(tuple, health.machine_health(staging.stg_sensor(readings)).select(*health.HEALTH_COLUMNS).collect()))
+
+
+def test_health_stream_equals_batch_for_files_in_any_order_and_after_a_restart(spark):
     src = DriverTables(spark, SF).table("sensor_readings")
-    root = tempfile.mkdtemp(prefix="pm-stream-")
-    _time_chunks(src, f"{root}/in", 3)
-    table = {}
-    stream = spark.readStream.schema(SENSOR_READINGS).option("maxFilesPerTrigger", 1) \
-        .option("recursiveFileLookup", "true").parquet(f"{root}/in")
-    q = health_stream.start_health_stream(stream, lambda rows, e: health_stream.upsert_batch(table, rows),
-                                          f"{root}/ckpt")
-    q.awaitTermination(180)
-    batch = health.machine_health(staging.stg_sensor(src))
-    got = sorted(map(tuple, table["df"].collect()))
-    exp = sorted(map(tuple, batch.select(*table["df"].columns).collect()))
-    assert got == exp
-
-
-def test_late_reading_beyond_watermark_is_dropped(spark):
+    early, rest = src.where("machine_id % 2 = 0"), src.where("machine_id % 2 = 1")
+    root = _feed(early, 2)
+    assert _run_health(spark, root) == _batch_health(early)
+    rest.repartition(2).write.mode("append").parquet(f"{root}/in")
+    assert _run_health(spark, root) == _batch_health(src)      # a new query on the same checkpoint
+    assert _run_health(spark, root) == _batch_health(src)      # nothing new: nothing changes
+
+
+def test_repeated_micro_batch_and_late_reading(spark):
+    rows1 = [(1, dt.datetime(2024, 1, 10, 10), "50.0"), (1, dt.datetime(2024, 1, 20, 10), "50.0")]
+    rows2 = [(1, dt.datetime(2024, 1, 10, 11), "90.0"), (1, dt.datetime(2024, 1, 19, 11), "60.0")]
     root = tempfile.mkdtemp(prefix="pm-late-")
-    rows1 = [(1, dt.datetime(2024, 1, 10, 10), 50.0, 1.0, 1.0), (1, dt.datetime(2024, 1, 20, 10), 50.0, 1.0, 1.0)]
-    rows2 = [(1, dt.datetime(2024, 1, 10, 11), 90.0, 1.0, 1.0),   # 10 days late: dropped
-             (1, dt.datetime(2024, 1, 19, 11), 60.0, 1.0, 1.0)]   # 1 day late: kept
-    schema = "machine_id int, ts timestamp_ntz, temperature_c double, vibration_mm_s double, power_kw double"
-    for i, rows in enumerate([rows1, rows2]):
-        df = spark.createDataFrame(rows, schema).select(
-            "machine_id", "ts", *[F.col(c).cast(t) for c, t in [("temperature_c", "decimal(5,2)"),
-                                                                 ("vibration_mm_s", "decimal(6,3)"),
-                                                                 ("power_kw", "decimal(7,3)")]])
-        df.coalesce(1).write.parquet(f"{root}/in/b{i}")
-        __import__("time").sleep(1.1)   # distinct file times keep the feed order
-    table = {}
-    stream = spark.readStream.schema(SENSOR_READINGS).option("maxFilesPerTrigger", 1) \
-        .option("recursiveFileLookup", "true").parquet(f"{root}/in")
-    q = health_stream.start_health_stream(stream, lambda rows, e: health_stream.upsert_batch(table, rows),
-                                          f"{root}/ckpt")
-    q.awaitTermination(120)
-    got = {r.reading_date: r.reading_count for r in table["df"].collect()}
-    assert got[dt.date(2024, 1, 10)] == 1 and got[dt.date(2024, 1, 19)] == 1
+    frames = [spark.createDataFrame(r, "machine_id int, ts timestamp_ntz, t string").select(
+        "machine_id", "ts", F.col("t").cast("decimal(5,2)").alias("temperature_c"),
+        F.lit(1).cast("decimal(6,3)").alias("vibration_mm_s"), F.lit(1).cast("decimal(7,3)").alias("power_kw"))
+        for r in (rows1, rows2)]
+    for epoch, df in [(0, frames[0]), (0, frames[0]), (1, frames[1]), (1, frames[1])]:
+        health_stream.update_health(df, epoch, root)
+    got = {r.reading_date: (r.reading_count, float(r.max_temp_c)) for r in health_stream.health_table(spark, root).collect()}
+    assert got == {dt.date(2024, 1, 10): (2, 90.0), dt.date(2024, 1, 19): (1, 60.0), dt.date(2024, 1, 20): (1, 50.0)}
 
 
-def test_stateful_cooldown_stream_equals_batch(spark):
+def test_cooldown_stream_equals_batch_for_files_in_any_order_and_after_a_restart(spark):
     d = DriverTables(spark, SF).table("downtime_events")
-    root = tempfile.mkdtemp(prefix="pm-cool-")
-    ordered = d.orderBy("started_at")
-    n = ordered.count()
-    pdf = ordered.toPandas()
-    for i, lo in enumerate(range(0, n, max(1, n // 3))):
-        spark.createDataFrame(pdf.iloc[lo:lo + max(1, n // 3)], d.schema).coalesce(1).write.parquet(f"{root}/in/b{i:03d}")
-        __import__("time").sleep(1.1)
-    stream = spark.readStream.schema(d.schema).option("maxFilesPerTrigger", 1) \
-        .option("recursiveFileLookup", "true").parquet(f"{root}/in")
-    out = cooldown_stream.cooldown_stream(stream, "machine_id", "started_at", ["event_id"], 7200)
-    q = out.writeStream.format("memory").queryName("cool_out").outputMode("append") \
-        .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
-    q.awaitTermination(180)
-    got = sorted(r.event_id for r in spark.table("cool_out").collect())
-    exp = sorted(r.event_id for r in greedy_cooldown(d, "machine_id", "started_at", ["event_id"], 7200).collect())
-    assert got == exp
+    late, rest = d.where("event_id % 3 = 0"), d.where("event_id % 3 > 0")
+    root = _feed(rest, 2)
+
+    def run():
+        cooldown_stream.start_cooldown_stream(_stream(spark, root, d.schema), root, f"{root}/ckpt", "machine_id", "started_at",
+                                              ["event_id"], 7200).awaitTermination(300)
+        return sorted(r.event_id for r in cooldown_stream.kept_events(spark, root).collect())
+
+    def batch(df):
+        return sorted(r.event_id for r in greedy_cooldown(df, "machine_id", "started_at", ["event_id"], 7200).collect())
+
+    assert run() == batch(rest)
+    late.repartition(1).write.mode("append").parquet(f"{root}/in")
+    assert run() == batch(d)
+
+
+def test_cooldown_stream_clears_a_date_that_loses_its_kept_event(spark):
+    def day(n, h):
+        return dt.datetime(2024, 1, n, h)
+    schema = "machine_id int, event_id long, started_at timestamp_ntz"
+    root = tempfile.mkdtemp(prefix="pm-clear-")
+    frames = [spark.createDataFrame(r, schema) for r in (
+        [(1, 1, day(2, 1)), (1, 2, day(5, 0)), (2, 3, None)], [(1, 4, day(1, 23))], [(1, 5, day(3, 0))])]
+    got = []
+    for epoch, df in enumerate(frames):
+        cooldown_stream.update_cooldown(df, epoch, root, "machine_id", "started_at", ["event_id"], 6 * 3600)
+        got.append(sorted(r.event_id for r in cooldown_stream.kept_events(spark, root).collect()))
+    assert got == [[1, 2, 3], [2, 3, 4], [2, 3, 4, 5]]
 
 
 def test_refresh_trigger_runs_steps_once_per_new_batch(spark):
