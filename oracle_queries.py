@@ -643,6 +643,37 @@ FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS emb,
 q("failures_by_reason", f"""SELECT reason_code, count(*) AS occurrences,
  CAST({units(hu(_avg_units('downtime_hrs', 3), 1000000, 0), 1, 10)} AS DOUBLE) AS avg_downtime_hrs
 FROM pattern_store GROUP BY reason_code""")
+def _card(value: str, shown: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '—' ELSE {shown} END"
+
+
+q("queue_cards", f"""SELECT machine_id, machine_name, coalesce(urgency_tier, 'LOW') AS tier,
+ {_card('estimated_hours_to_failure', fixed('estimated_hours_to_failure', 0) + " || ' h'")} AS hours_label,
+ {_card('oee_trend_delta', "CASE WHEN oee_trend_delta < 0 THEN '▼ ' ELSE '▲ ' END || " + pct1('abs(oee_trend_delta)'))} AS trend_label,
+ coalesce(machine_type, '—') AS type_label, {_card('oee_last_7d', pct1('oee_last_7d'))} AS oee_label,
+ {_card('avg_temp_c', fixed('avg_temp_c', 1) + " || ' °C'")} AS temp_label,
+ {_card('avg_vibration_mm_s', fixed('avg_vibration_mm_s', 3) + " || ' mm/s'")} AS vibration_label,
+ coalesce(root_cause, '—') AS root_cause, coalesce(recommended_action, '—') AS recommended_action
+FROM maintenance_queue""")
+cte("matches", f"""SELECT machine_id, string_agg(
+   format('  {{}}. {{}} on {{}} ({{}}, {{}}h downtime, {{}}% alike)', rank, reason_code, event_date, machine_type,
+          {fixed('downtime_hrs', 1)}, {fixed('similarity * 100', 0)}) || chr(10), '' ORDER BY rank) AS lines
+FROM similar_top GROUP BY machine_id""")
+q("prompts", f"""SELECT a.machine_id, a.machine_name, concat(
+ 'You assist the maintenance team of a production site. Study the machine below. ',
+ 'Answer with one JSON object and nothing before or after it.', chr(10), chr(10),
+ format('Machine: {{}} ({{}}, {{}})', machine_name, machine_type, production_line), chr(10),
+ 'Anomaly score: ', {fixed('anomaly_score', 3)}, chr(10),
+ 'OEE of the last 7 days: ', {pct1('oee_last_7d')}, ' (7 days before: ', {pct1('oee_prior_7d')}, ')', chr(10),
+ format('Temperature, peak: {{}}°C (mean: {{}}°C)', {fixed('max_temp_c', 1)}, {fixed('avg_temp_c', 1)}), chr(10),
+ format('Vibration, peak: {{}} mm/s (mean: {{}} mm/s)', {fixed('max_vibration_mm_s', 3)}, {fixed('avg_vibration_mm_s', 3)}), chr(10),
+ format('Power, peak: {{}} kW (mean: {{}} kW)', {fixed('max_power_kw', 2)}, {fixed('avg_power_kw', 2)}), chr(10), chr(10),
+ 'Closest past failures, nearest first:', chr(10), coalesce(lines, '  none on record'), chr(10), chr(10),
+ 'Fill in these four keys:', chr(10), '{{"root_cause": "<what the readings point to, in a sentence>",', chr(10),
+ ' "recommended_action": "<one concrete step for the next shift>",', chr(10),
+ ' "estimated_hours_to_failure": <number, 1 to 720>,', chr(10), ' "confidence": "<HIGH, MEDIUM or LOW>"}}', chr(10),
+ 'Weigh how close the past failures are and how far the readings are from normal.', chr(10)) AS prompt
+FROM at_risk a LEFT JOIN matches s ON a.machine_id = s.machine_id""")
 q("machine_descriptions", f"SELECT machine_id, {MACHINE_DESCRIPTION} AS description FROM at_risk")
 q("fallback_recommendations", "SELECT * FROM fallback")
 q("recommendations", f"""SELECT machine_id, machine_name, generated_at, {dbl('anomaly_score')}, root_cause, recommended_action,
@@ -735,8 +766,9 @@ q("weekly_downtime", f"SELECT week_start, machine_name, {dbl('total_downtime_hrs
 q("oee_trend_series", f"SELECT machine_name, shift_date, {dbl('oee', 'availability_rate', 'performance_rate', 'quality_rate')} FROM oee_daily")
 q("oee_trend_selected", f"""SELECT machine_name, shift_date, {dbl('oee')} FROM oee_daily
 WHERE machine_name IN (SELECT machine_name FROM (SELECT DISTINCT machine_name FROM oee_daily) ORDER BY machine_name LIMIT 4)""")
-q("anomaly_pivot", """SELECT * FROM (PIVOT (SELECT machine_name, CAST(reading_date AS VARCHAR) AS d, CAST(anomaly_flag AS INTEGER) AS a FROM named)
- ON d USING max(a) GROUP BY machine_name)""")
+q("anomaly_pivot", """SELECT machine_name, count(*) AS n_days, CAST(count_if(a = 1) AS BIGINT) AS n_anomaly_days,
+ string_agg(CAST(reading_date AS VARCHAR) || '=' || coalesce(CAST(a AS VARCHAR), ''), ' ' ORDER BY reading_date) AS days
+FROM (SELECT machine_name, reading_date, max(CAST(anomaly_flag AS INTEGER)) AS a FROM named GROUP BY ALL) GROUP BY machine_name""")
 q("latest_readings", f"""SELECT machine_id, ts, {dbl('temperature_c', 'vibration_mm_s', 'power_kw')} FROM stg_sensor
  ORDER BY ts DESC, machine_id LIMIT 10""")
 q("latest_downtime", f"""SELECT machine_id, reason_code, started_at, ended_at, CAST(duration_hrs AS DOUBLE) AS downtime_hrs

@@ -110,14 +110,15 @@ def latest_health_status(named: DataFrame) -> DataFrame:
                    F.count(F.lit(1)).alias("n_machines"), F.max("last_date").alias("latest_reading_date"))
 
 
-def anomaly_pivot(named: DataFrame, dates: list | None = None) -> DataFrame:
-    """Machines x days matrix of the anomaly flag (1/0). Without ``dates`` Spark finds the
-    day columns itself (one per calendar day, capped by ``spark.sql.pivotMaxValues``)."""
-    g = (named.select("machine_name", F.col("reading_date").cast("string").alias("d"),
-                      F.col("anomaly_flag").cast("int").alias("a"))
-         .groupBy("machine_name"))
-    p = g.pivot("d") if dates is None else g.pivot("d", [str(x) for x in dates])
-    return p.agg(F.max("a"))
+def anomaly_pivot(named: DataFrame) -> DataFrame:
+    """Machines x days matrix of the anomaly flag, one row per machine: number of days, of anomaly
+    days, and ``days``, "date=flag" for each of its days in order (flag 1, 0 or empty). The schema
+    does not depend on the data, so no day list is fetched and no number of days is too large."""
+    daily = named.groupBy("machine_name", "reading_date").agg(F.max(F.col("anomaly_flag").cast("int")).alias("a"))
+    cell = F.concat(F.col("reading_date").cast("string"), F.lit("="), F.coalesce(F.col("a").cast("string"), F.lit("")))
+    return daily.groupBy("machine_name").agg(
+        F.count(F.lit(1)).alias("n_days"), F.count_if(F.col("a") == 1).alias("n_anomaly_days"),
+        F.array_join(F.array_sort(F.collect_list(cell)), " ").alias("days"))
 
 
 def most_anomalous(named: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def test_every_query_has_oracle_or_is_text_only():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     own = {k for k in set(q) - set(o) if k != "pipeline" and not k.startswith("op")}
-    assert own == {"prompts", "queue_cards"}
+    assert own == set()
 
 
 @pytest.fixture(scope="module")
