@@ -11,7 +11,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from plantmetrics.functions.vectors import parse_vector
 from plantmetrics.sources import schemas
 
 SCHEMAS = {
@@ -27,11 +29,30 @@ SCHEMAS = {
 
 
 class Source:
-    """A named-table provider."""
+    """A named-table provider.
+
+    Beside the raw tables it has the vectors that an embedding service made:
+    ``pattern_vectors(event_id, embedding)`` and ``machine_vectors(machine_id, embedding)``,
+    ``embedding`` being an array or its text form."""
 
     def table(self, name: str) -> DataFrame:  # pragma: no cover - interface
         raise NotImplementedError
 
+    def _vectors(self, name: str, key: str) -> DataFrame:
+        t = self.table(name)
+        vector = F.col("embedding")
+        vector = parse_vector(vector) if isinstance(t.schema["embedding"].dataType, StringType) else vector.cast("array<double>")
+        return t.select(F.col(key).cast("long").alias(key), vector.alias("embedding"))
+
+    def pattern_vectors(self, events: DataFrame) -> DataFrame:
+        """``events`` with the ``embedding`` of their ``event_id``; those without one are left out."""
+        return events.join(self._vectors("pattern_vectors", "event_id"), "event_id")
+
+    def machine_vectors(self, machines: DataFrame) -> DataFrame:
+        """``machine_id, embedding`` of the machines asked for; those without one are left out."""
+        return machines.select("machine_id").join(self._vectors("machine_vectors", "machine_id"), "machine_id").select(
+            "machine_id", "embedding")
+
 
 def _conform(df: DataFrame, name: str) -> DataFrame:
     schema = SCHEMAS.get(name)

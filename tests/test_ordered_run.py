@@ -3,9 +3,12 @@
 import tempfile
 
 from conftest import SF
+from pyspark.sql import functions as F
 
 from plantmetrics.plans import catalog, ordered_run
+from plantmetrics.plans.model import Model
 from plantmetrics.sources.driver import DriverTables
+from plantmetrics.sources.readers import SCHEMAS, ParquetSource
 from plantmetrics.sources.schemas import MACHINES
 
 
@@ -23,6 +26,25 @@ def test_full_then_incremental_refresh_is_stable(spark):
     assert second["maintenance_recommendations"] == first["maintenance_recommendations"]
 
 
+def test_refresh_on_stored_tables_equals_the_adapter(spark):
+    """Raw tables and vectors stored as Parquet (machine vectors as text): the same queue."""
+    root = tempfile.mkdtemp(prefix="pm-src-")
+    src = DriverTables(spark, SF)
+    for name in set(SCHEMAS) - {"failure_patterns"}:
+        src.table(name).write.parquet(f"{root}/raw/{name}")
+    m = Model(spark, src)
+    src.pattern_vectors(m.numbered_history.select("event_id", "pattern_id")).select("event_id", "embedding").write.parquet(
+        f"{root}/raw/pattern_vectors")
+    m.query_vectors.select("machine_id", F.array_join(F.transform("embedding", lambda x: x.cast("string")), ",").alias(
+        "embedding")).write.parquet(f"{root}/raw/machine_vectors")
+    tables = ["failure_patterns", "maintenance_recommendations", "mart_maintenance_queue"]
+    got = ordered_run.run(spark, ParquetSource(spark, f"{root}/raw"), f"{root}/a", full=True)
+    assert got == ordered_run.run(spark, src, f"{root}/b", full=True) and min(got.values()) > 0
+    for t in tables:
+        a, b = (spark.read.parquet(f"{root}/{x}/{t}") for x in "ab")
+        assert a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), t
+
+
 def test_create_and_drop_table(spark):
     path = tempfile.mkdtemp(prefix="pm-cat-") + "/machines"
     catalog.create_table(spark, "pm_test_machines", MACHINES, path)
