@@ -1,13 +1,11 @@
 """Failure history, descriptions, the failure-pattern vector store and cosine top-k.
 
-Similarity search is exact. The query vectors (one per at-risk machine, so bounded by
-the machine dimension) are size-checked and shipped to executors as a broadcast matrix;
-patterns stay where they are and each task scores its patterns block-wise with numpy,
+Similarity search is exact. The query vectors (one per at-risk machine) are dealt by hash into
+chunks of about QUERY_BYTES, one chunk for any fleet that fits; each chunk is a broadcast
+matrix. Patterns stay where they are: each task scores its patterns block-wise with numpy,
 keeping only the k best per query. A final ``row_number() <= k`` per machine picks the
 global top-k from (k x tasks) candidates per machine. No cross join is planned and no
-pair is materialised beyond the per-task top-k. If the query matrix exceeds the
-broadcast budget, queries get consecutive numbers and are scored in chunks of exactly
-the rows that fit, and the results are unioned.
+pair is materialised beyond the per-task top-k.
 """
 
 from __future__ import annotations
@@ -15,7 +13,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -26,7 +25,7 @@ from plantmetrics.functions.columns import hours_between
 from plantmetrics.operators.ids import assign_ids
 from plantmetrics.params import DEFAULT, Params
 
-MAX_QUERY_BYTES = 256 * 1024 * 1024      # broadcast budget for the query matrix
+QUERY_BYTES = 256 * 1024 * 1024          # size of one chunk's query matrix
 BLOCK_CELLS = 4 * 1024 * 1024            # patterns x queries scored at once per task
 
 
@@ -132,7 +131,7 @@ def failure_patterns(numbered: DataFrame, embed) -> DataFrame:
 # --- cosine top-k -----------------------------------------------------------------------------
 _OUT = StructType([
     StructField("machine_id", IntegerType()), StructField("pattern_id", LongType()),
-    StructField("sim", DoubleType()), StructField("sim_key", DoubleType()),
+    StructField("sim", DoubleType()), StructField("sim_key", LongType()),
     StructField("machine_type", StringType()), StructField("event_date", DateType()),
     StructField("reason_code", StringType()), StructField("downtime_hrs", DecimalType(8, 3)),
 ])
@@ -145,95 +144,73 @@ def _unit_rows(mat: np.ndarray) -> np.ndarray:
     return out
 
 
+def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Unit rows of a column of equally long lists."""
+    flat = np.asarray(pc.list_flatten(vectors), dtype=np.float64)
+    return _unit_rows(flat.reshape(len(vectors), -1))
+
+
 def _topk_scorer(bc, k: int):
-    """mapInPandas function: per task, keep the k best patterns per query.
+    """mapInArrow function: per task, keep the k best patterns per query.
 
     State per task is bounded: k candidates per query and their payload rows, whatever
-    the number of patterns the task reads.
+    the number of patterns the task reads. Similarities are compared as whole billionths.
     """
 
     def run(batches):
         qids, qmat = bc.value
-        nq = len(qids)
-        best_key = np.full((0, nq), -np.inf)
-        best_pid = np.zeros((0, nq), dtype=np.int64)
-        best_sim = np.zeros((0, nq))
-        best_row = np.zeros((0, nq), dtype=np.int64)
-        pay = None
+        nq, best, pay = len(qids), None, None
         block = max(1, BLOCK_CELLS // max(nq, 1))
-        for pdf in batches:
-            if pdf.empty:
+        for b in batches:
+            if not b.num_rows or not nq:
                 continue
-            base = 0 if pay is None else len(pay)
-            batch_pay = pdf.drop(columns=["embedding"]).reset_index(drop=True)
-            pay = batch_pay if pay is None else pd.concat([pay, batch_pay], ignore_index=True)
-            emb = _unit_rows(np.stack([np.asarray(v, dtype=np.float64) for v in pdf["embedding"]]))
-            pids = pdf["pattern_id"].to_numpy(dtype=np.int64)
-            for s in range(0, len(pdf), block):
-                sims = emb[s:s + block] @ qmat.T                      # (b, nq)
-                keys = np.round(sims, 9)
-                rows = np.arange(base + s, base + s + sims.shape[0])
-                cat_key = np.vstack([best_key, keys])
-                cat_pid = np.vstack([best_pid, np.broadcast_to(pids[s:s + block, None], sims.shape)])
-                cat_sim = np.vstack([best_sim, sims])
-                cat_row = np.vstack([best_row, np.broadcast_to(rows[:, None], sims.shape)])
-                # per query: similarity key descending, then pattern_id ascending; keep k
-                order = np.lexsort((cat_pid, -cat_key), axis=0)[:k]
-                best_key = np.take_along_axis(cat_key, order, 0)
-                best_pid = np.take_along_axis(cat_pid, order, 0)
-                best_sim = np.take_along_axis(cat_sim, order, 0)
-                best_row = np.take_along_axis(cat_row, order, 0)
+            b = pa.Table.from_batches([b]).sort_by("pattern_id").combine_chunks()
+            emb, pids = _matrix(b.column("embedding")), b.column("pattern_id").to_numpy()
+            base, rest = 0 if pay is None else len(pay), b.drop_columns(["embedding"])
+            pay = rest if pay is None else pa.concat_tables([pay, rest])
+            for s in range(0, len(b), block):
+                sims = qmat @ emb[s:s + block].T                      # (queries, patterns)
+                m = sims.shape[1]
+                keys = np.rint(sims * 1e9).astype(np.int64)
+                # one number per pair: similarity first, then the lower pattern_id
+                order = np.argpartition(np.arange(m) - keys * m, min(k, m) - 1, axis=1)[:, :k]
+                new = [np.take_along_axis(keys, order, 1), pids[s + order], np.take_along_axis(sims, order, 1), base + s + order]
+                best = new if best is None else [np.hstack(x) for x in zip(best, new, strict=True)]
+                order = np.lexsort((best[1], -best[0]), axis=1)[:, :k]
+                best = [np.take_along_axis(x, order, 1) for x in best]
             # drop payload rows no longer referenced
-            keep, inverse = np.unique(best_row, return_inverse=True)
-            pay = pay.iloc[keep].reset_index(drop=True)
-            best_row = inverse.reshape(best_row.shape)
-        if pay is None:
+            keep, inverse = np.unique(best[3], return_inverse=True)
+            pay, best[3] = pay.take(keep), inverse.reshape(best[3].shape)
+        if best is None:
             return
-        out = pay.iloc[best_row.T.reshape(-1)].reset_index(drop=True)
-        out.insert(0, "machine_id", np.repeat(np.asarray(qids, dtype=np.int32), best_row.shape[0]))
-        out["sim"] = best_sim.T.reshape(-1)
-        out["sim_key"] = best_key.T.reshape(-1)
-        yield out[[f.name for f in _OUT.fields]]
+        out = pay.take(best[3].ravel()).append_column("machine_id", pa.array(np.repeat(qids, best[3].shape[1]), pa.int32()))
+        out = out.append_column("sim", pa.array(best[2].ravel())).append_column("sim_key", pa.array(best[0].ravel()))
+        yield from out.select([f.name for f in _OUT.fields]).combine_chunks().to_batches()
 
     return run
 
 
 def _score_chunk(queries: DataFrame, patterns: DataFrame, k: int) -> DataFrame:
-    spark = patterns.sparkSession
     tbl = queries.select("machine_id", "embedding").toArrow()
-    qids = np.asarray(tbl.column("machine_id").to_pylist(), dtype=np.int64)
-    qmat = _unit_rows(np.asarray([np.asarray(v, dtype=np.float64) for v in tbl.column("embedding").to_pylist()]))
-    bc = spark.sparkContext.broadcast((qids, qmat))
+    matrix = _matrix(tbl.column("embedding")) if len(tbl) else None
+    bc = patterns.sparkSession.sparkContext.broadcast((tbl.column("machine_id").to_numpy(), matrix))
     cols = ["pattern_id", "embedding", "machine_type", "event_date", "reason_code", "downtime_hrs"]
-    return patterns.select(*cols).mapInPandas(_topk_scorer(bc, k), _OUT)
+    return patterns.select(*cols).where("embedding is not null").mapInArrow(_topk_scorer(bc, k), _OUT)
 
 
-def similar_failures(queries: DataFrame, patterns: DataFrame, k: int = 3,
-                     max_query_bytes: int = MAX_QUERY_BYTES) -> DataFrame:
+def similar_failures(queries: DataFrame, patterns: DataFrame, k: int = 3, query_bytes: int = QUERY_BYTES) -> DataFrame:
     """Top-k patterns per query vector by cosine similarity (zero vectors score 0),
-    ranked by similarity (to 9 decimals) then pattern_id."""
-    # the query set is bounded by the machine dimension; materialise it once (shared
-    # checkpoint folder) so the size check and the broadcast read the same rows
+    ranked by similarity (to 9 decimals) then pattern_id. Rows without a vector have no part."""
+    # materialised once (shared checkpoint folder), so the count and the chunks see the same rows
     from plantmetrics.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(queries.sparkSession)
-    queries = queries.select("machine_id", "embedding").checkpoint()
-    stats = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("d")).first()
-    n, d = int(stats["n"] or 0), int(stats["d"] or 0)
-    if n == 0:
-        return patterns.sparkSession.createDataFrame([], _OUT).select(
-            "machine_id", F.lit(0).alias("rank"), "pattern_id", "machine_type", "event_date", "reason_code",
-            "downtime_hrs", F.col("sim").alias("similarity"))
-    per_chunk = max(1, max_query_bytes // (max(d, 1) * 8))     # query rows that fit the budget
-    if n <= per_chunk:
-        parts = [_score_chunk(queries, patterns, k)]
-    else:
-        # consecutive query numbers, so every chunk holds exactly per_chunk rows (fits)
-        numbered = assign_ids(queries, ["machine_id"], "_qn", 0)
-        parts = [_score_chunk(numbered.where(F.floor(F.col("_qn") / per_chunk) == c).drop("_qn"), patterns, k)
-                 for c in range(math.ceil(n / per_chunk))]
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
+    queries = queries.select("machine_id", "embedding").where("embedding is not null").checkpoint()
+    n, d = queries.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
+    chunks = max(1, math.ceil(n * (d or 1) * 8 / query_bytes))
+    chunk = F.pmod(F.xxhash64("machine_id"), F.lit(chunks))
+    cand = _score_chunk(queries.where(chunk == 0), patterns, k)
+    for c in range(1, chunks):
+        cand = cand.unionByName(_score_chunk(queries.where(chunk == c), patterns, k))
     w = Window.partitionBy("machine_id").orderBy(F.desc("sim_key"), F.asc("pattern_id"))
     return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select("machine_id", "rank", "pattern_id", "machine_type", "event_date", "reason_code",

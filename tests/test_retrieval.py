@@ -53,12 +53,12 @@ def test_zero_vectors_score_zero(spark):
     assert abs(got[(2, 2)] - 1 / np.sqrt(2)) < 1e-12 and got[(2, 1)] == 0.0
 
 
-def test_chunked_queries_equal_single_broadcast(spark):
+def test_many_chunks_equal_one(spark):
     rng = np.random.default_rng(5)
     p = patterns(spark, rng.normal(size=(60, 6))).repartition(3)
     q = queries(spark, rng.normal(size=(9, 6)))
     one = top(retrieval.similar_failures(q, p, k=3))
-    many = top(retrieval.similar_failures(q, p, k=3, max_query_bytes=100))
+    many = top(retrieval.similar_failures(q, p, k=3, query_bytes=100))
     assert one == many
 
 
