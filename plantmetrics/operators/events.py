@@ -13,13 +13,14 @@ form here is exact, has one path, and bounds every task by the cooldown's length
   in bucket b-2 or earlier. So the kept event of bucket b is the first event of b if
   nothing was kept in b-1, else the first event of b later than (kept of b-1) + T.
 * ``next(e)``: the first event of bucket b+1 at a later offset than e's, else the first
-  event of bucket b+2. Every bucket is cut into CELLS cells. The later offset is looked for
+  event of bucket b+2 (none if b+1 is empty, for then that event is a root). Every bucket is cut into CELLS cells. The later offset is looked for
   in e's own cell (a window over one cell: at most T / CELLS instants), then among the first
   events of the later cells of that bucket (a window over at most 2 * CELLS rows).
 * Kept events are exactly the ``next``-paths from the roots (the first event of a bucket
-  whose predecessor is empty). Paths are marked by pointer doubling. Before each level the
-  pointers are pruned to the nodes that a path of that length can still use: those known
-  as kept and those some pointer leads to. It ends when no pointer is left.
+  whose predecessor is empty), one path for each stretch of non-empty buckets. They are
+  marked by pointer doubling. Each level prunes the pointers to the nodes that a path of
+  that length can still use: those known as kept and those some pointer leads to. It ends
+  when no pointer is left.
 """
 
 from __future__ import annotations
@@ -92,10 +93,12 @@ def _kept_ids(nodes: DataFrame, T: int) -> DataFrame:
     both = cells.withColumn("probe", F.lit(0)).unionByName(
         asked.withColumn("f", F.lit(None).cast("long")).withColumn("probe", F.lit(1)))
     beyond = Window.partitionBy("k", "b").orderBy(F.desc("c"), F.desc("probe")).rowsBetween(Window.unboundedPreceding, -1)
-    far = both.withColumn("f", F.last(F.when(F.col("probe") == 0, F.col("f")), ignorenulls=True).over(beyond)).where("probe = 1")
+    far = both.withColumn("some", F.max(F.col("probe") == 0).over(Window.partitionBy("k", "b"))).withColumn(
+        "f", F.last(F.when(F.col("probe") == 0, F.col("f")), ignorenulls=True).over(beyond)).where("probe = 1")
     after = buckets.select(F.col("k").alias("ak"), (F.col("b") - 1).alias("ab"), F.col("f").alias("af"))
     far = far.join(after, F.col("k").eqNullSafe(F.col("ak")) & (F.col("b") == F.col("ab")), "left").select(
-        F.col("k").alias("fk"), F.col("b").alias("fb"), F.col("c").alias("fc"), F.coalesce("f", "af").alias("far"))
+        F.col("k").alias("fk"), F.col("b").alias("fb"), F.col("c").alias("fc"),
+        F.coalesce("f", F.when(F.col("some"), F.col("af"))).alias("far"))
     jump = met.join(far, F.col("k").eqNullSafe(F.col("fk")) & (F.col("b") == F.col("fb")) & (F.col("c") == F.col("fc")), "left")
     jump = jump.select("id", F.coalesce("nxt", "far").alias("nxt")).where("nxt is not null").checkpoint()
 
@@ -105,10 +108,10 @@ def _kept_ids(nodes: DataFrame, T: int) -> DataFrame:
     while not jump.isEmpty():
         # kept: all at fewer than 2 ** level steps from a root; jump: 2 ** level steps
         useful = kept.unionByName(jump.select(F.col("nxt").alias("id")))
-        jump = jump.join(useful, "id", "left_semi").checkpoint()
-        kept = kept.unionByName(jump.join(kept, "id", "left_semi").select(F.col("nxt").alias("id"))).distinct().checkpoint()
-        jump = jump.join(jump.select(F.col("id").alias("nxt"), F.col("nxt").alias("then")), "nxt").select(
-            "id", F.col("then").alias("nxt")).checkpoint()
+        more = jump.join(kept, "id", "left_semi").select(F.col("nxt").alias("id"))
+        then = jump.select(F.col("id").alias("nxt"), F.col("nxt").alias("then"))
+        jump = jump.join(useful, "id", "left_semi").join(then, "nxt").select("id", F.col("then").alias("nxt")).checkpoint()
+        kept = kept.unionByName(more).checkpoint()
     return kept
 
 
