@@ -807,7 +807,7 @@ QUERIES["overwrite_reload"] = QUERIES["stg_sensor"]
 
 
 def _dq_report_sql() -> str:
-    from query_registry import dq_rules
+    from plantmetrics.operators.dq import dq_rules
     table_cte = {"oee_daily": "oee_daily", "machine_health": "machine_health",
                  "production_summary": "production_summary", "maintenance_recommendations": "recs_raw",
                  "defects": "stg_defects"}

@@ -5,7 +5,7 @@
   stream  keep refreshing whenever new sensor files arrive (Ctrl+C to stop)
 
 Sources: ``--driver DIR`` (the test tables via the adapter) or ``--parquet DIR`` (one
-folder per raw table). The session comes from the environment (spark-submit) or a local
+folder per raw table and the two of vectors). ``--as-of`` defaults to the day of each refresh. The session comes from the environment (spark-submit) or a local
 one for a laptop run.
 """
 
@@ -38,16 +38,19 @@ def main(argv=None) -> None:
     from plantmetrics.session import ensure_checkpoint_dir, local_session
     spark = SparkSession.getActiveSession() or local_session()
     ensure_checkpoint_dir(spark)
-    params = DEFAULT.with_(as_of=a.as_of) if a.as_of else DEFAULT
+
+    def params():
+        """Today's run date unless one is given; asked for anew by every refresh."""
+        return DEFAULT.with_(as_of=a.as_of or dt.date.today())
+
     src = _source(spark, a)
     if a.command == "run":
         from plantmetrics.plans import ordered_run
-        print(json.dumps(ordered_run.run(spark, src, a.out, params, full=a.full)))
+        print(json.dumps(ordered_run.run(spark, src, a.out, params(), full=a.full)))
     elif a.command == "dq":
-        from plantmetrics.operators.dq import dq_report
+        from plantmetrics.operators.dq import dq_report, dq_rules
         from plantmetrics.plans.model import Model
-        from query_registry import dq_rules
-        m = Model(spark, src, params)
+        m = Model(spark, src, params())
         tables = {"oee_daily": m.oee_daily, "machine_health": m.machine_health,
                   "production_summary": m.production_summary, "maintenance_recommendations": m.recommendations_raw,
                   "defects": m.stg_defects}
@@ -56,7 +59,7 @@ def main(argv=None) -> None:
         from plantmetrics.plans import ordered_run
         from plantmetrics.streaming.refresh import start_refresh_trigger
         q = start_refresh_trigger(spark, a.readings, a.checkpoint,
-                                  [lambda batch, epoch: ordered_run.run(spark, src, a.out, params)])
+                                  [lambda batch, epoch: ordered_run.run(spark, src, a.out, params())])
         q.awaitTermination()
 
 

@@ -66,6 +66,26 @@ class TableRules:
     unique_combos: list[list[str]] = field(default_factory=list)
 
 
+def dq_rules() -> list[TableRules]:
+    """The rules that the marts and sources are held to."""
+    rate = (0, 1)
+    return [
+        TableRules("oee_daily", not_null=["machine_id", "shift_date", "availability_rate", "performance_rate",
+                                          "quality_rate", "oee"],
+                   ranges={"availability_rate": rate, "performance_rate": rate, "quality_rate": rate, "oee": rate},
+                   unique_combos=[["machine_id", "shift_date"]]),
+        TableRules("machine_health", not_null=["machine_id", "reading_date", "anomaly_flag"],
+                   unique_combos=[["machine_id", "reading_date"]]),
+        TableRules("production_summary", not_null=["machine_id", "week_start", "avg_oee"], ranges={"avg_oee": rate}),
+        TableRules("maintenance_recommendations", not_null=["rec_id", "machine_id", "root_cause",
+                                                            "recommended_action", "confidence",
+                                                            "estimated_hours_to_failure"],
+                   ranges={"estimated_hours_to_failure": (1, 720)},
+                   values={"confidence": ["HIGH", "MEDIUM", "LOW"]}, unique=["rec_id"]),
+        TableRules("defects", not_null=["defect_id", "order_id"], unique=["defect_id"]),
+    ]
+
+
 def dq_report(tables: dict[str, DataFrame], rules: list[TableRules]) -> DataFrame:
     """(table_name, rule, failures) for every rule; one scan per table for row rules."""
     parts = []

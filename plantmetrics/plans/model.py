@@ -2,7 +2,8 @@
 
 Each attribute is a DataFrame built on first access and memoised as a *plan* (not
 data): touching ``oee_daily`` builds one logical plan from the scans up, which Catalyst
-optimises as a whole. Nothing is cached or collected here.
+optimises as a whole. Staging and marts run nothing until used. ``numbered_history`` (ids) and
+``similar_failures`` (query vectors) run a checkpoint job when they are first touched.
 """
 
 from __future__ import annotations

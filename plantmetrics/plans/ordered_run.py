@@ -13,6 +13,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from plantmetrics.params import DEFAULT, Params
 from plantmetrics.plans import incremental as inc
@@ -57,14 +58,21 @@ def run(spark: SparkSession, source: Source, out_root: str, params: Params = DEF
         oee_daily=spark.read.parquet(f"{out_root}/mart_oee_daily").select(*oee.OEE_COLUMNS),
         machine_health=spark.read.parquet(f"{out_root}/mart_machine_health").select(*health.HEALTH_COLUMNS))
     recs_path = f"{out_root}/maintenance_recommendations"
-    existing = (spark.read.parquet(recs_path).select(*stored.recommendations_raw.columns)
-                if inc._exists(spark, recs_path) else stored.recommendations_raw)
+    first = not inc._exists(spark, recs_path)
+    existing = (stored.recommendations_raw if first
+                else spark.read.parquet(recs_path).select(*stored.recommendations_raw.columns))
     # shared inputs of the next three steps, built once before they fan out
     patterns, new_recs = stored.failure_patterns, stored.new_recommendations
 
     def write_recs():
-        merged = inc.upsert_recommendations(existing, new_recs)
-        merged.checkpoint().write.mode("overwrite").parquet(recs_path)
+        # the history is split by day; a run overwrites its own day only
+        merged = inc.upsert_recommendations(existing, new_recs).withColumn("generated_date", F.to_date("generated_at"))
+        if first:
+            inc.full_refresh(merged, recs_path, "generated_date")
+        else:
+            days = new_recs.select(F.to_date("generated_at").alias("generated_date")).distinct()
+            (merged.join(days, "generated_date", "left_semi").checkpoint().write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("generated_date").parquet(recs_path))
 
     _together(
         threads,

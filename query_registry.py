@@ -448,30 +448,10 @@ def _q_dq_fk(spark, sf):
     return a.unionByName(b).unionByName(c)
 
 
-def dq_rules():
-    from plantmetrics.operators.dq import TableRules
-    rate = (0, 1)
-    return [
-        TableRules("oee_daily", not_null=["machine_id", "shift_date", "availability_rate", "performance_rate",
-                                          "quality_rate", "oee"],
-                   ranges={"availability_rate": rate, "performance_rate": rate, "quality_rate": rate, "oee": rate},
-                   unique_combos=[["machine_id", "shift_date"]]),
-        TableRules("machine_health", not_null=["machine_id", "reading_date", "anomaly_flag"],
-                   unique_combos=[["machine_id", "reading_date"]]),
-        TableRules("production_summary", not_null=["machine_id", "week_start", "avg_oee"], ranges={"avg_oee": rate}),
-        TableRules("maintenance_recommendations", not_null=["rec_id", "machine_id", "root_cause",
-                                                            "recommended_action", "confidence",
-                                                            "estimated_hours_to_failure"],
-                   ranges={"estimated_hours_to_failure": (1, 720)},
-                   values={"confidence": ["HIGH", "MEDIUM", "LOW"]}, unique=["rec_id"]),
-        TableRules("defects", not_null=["defect_id", "order_id"], unique=["defect_id"]),
-    ]
-
-
 @register("dq_report")
 def _q_dq_report(spark, sf):
     """DQ-9: one-pass rule suite over the marts and sources."""
-    from plantmetrics.operators.dq import dq_report
+    from plantmetrics.operators.dq import dq_report, dq_rules
     m = model(spark, sf)
     tables = {"oee_daily": m.oee_daily, "machine_health": m.machine_health,
               "production_summary": m.production_summary, "maintenance_recommendations": m.recommendations_raw,
