@@ -17,7 +17,7 @@ HEADLINE = ["oee_daily", "machine_health", "production_summary", "maintenance_qu
 def summarize(plan: str) -> dict:
     ops = re.findall(r"\b(Exchange [a-zA-Z]+|BroadcastExchange|SortMergeJoin \w*|BroadcastHashJoin \w*|"
                      r"ShuffledHashJoin \w*|WindowGroupLimit|Window|HashAggregate|SortAggregate|ObjectHashAggregate|"
-                     r"MapInPandas|FlatMapGroupsInPandas|CartesianProduct|BroadcastNestedLoopJoin)", plan)
+                     r"MapInPandas|MapInArrow|FlatMapGroupsInPandas|CartesianProduct|BroadcastNestedLoopJoin)", plan)
     counts = {}
     for o in ops:
         counts[o] = counts.get(o, 0) + 1
