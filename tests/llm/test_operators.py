@@ -251,6 +251,36 @@ def test_secret_scan(spark):
     assert secret_scan.secret_scan(spark.createDataFrame(EMPTY, SCHEMA)).count() == 0
 
 
+def random_spans(spark, runs):
+    """The runs, each in a row of its own beside natural words, that are found random."""
+    import random
+    r = random.Random(5)
+    texts = [(i, f"see {x} there", "a") for i, x in enumerate(runs)]
+    texts += [(10**6 + i, " ".join("".join(r.choices(["then", "tion", "ing", "er", "and"], k=8)) for _ in range(20)), "a") for i in range(40)]
+    got = secret_scan.secret_scan(frame(spark, texts)).collect()
+    return {x.doc_id for x in got if any(s.kind == 3 for s in x.spans)}
+
+
+def test_secret_scan_finds_one_secret_among_ten_candidates_of_every_length(spark):
+    import random
+    r = random.Random(4)
+    draw = {"hex": "0123456789ABCDEF", "base32": secret_scan.ALPHABETS["base32"], "base64": secret_scan.ALPHABETS["base64"]}
+    syllables = ["then", "tion", "ing", "er", "and", "re"]
+    decoy = {"hex": lambda: r.choice("0123456789"), "base32": lambda: r.choice(syllables).upper(), "base64": lambda: r.choice(syllables).title()}
+    runs, secrets = [], defaultdict(set)
+    for e, symbols in draw.items():
+        for n in (16, 20, 32, 64, 128):
+            for k in range(200):
+                if k % 10 == 0:
+                    secrets[e, n].add(len(runs))
+                    runs.append("".join(r.choices(symbols, k=n)))
+                else:
+                    runs.append("".join(decoy[e]() for _ in range(n))[:n])
+    got = random_spans(spark, runs)
+    assert all(len(got & x) >= 16 for x in secrets.values()), {k: len(got & x) for k, x in secrets.items()}
+    assert len(got - set().union(*secrets.values())) <= 0.02 * len(got)
+
+
 def test_token_lengths(spark):
     texts = corpus(11, 50)
     n = sorted(r.n_tokens for r in token_lengths.counts(frame(spark, texts), RANKS, public_tokenizers.PATTERN).collect())
