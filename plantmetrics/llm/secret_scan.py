@@ -17,7 +17,8 @@ Benjamini-Hochberg at ``fdr`` is applied within each encoding and length class.
 The law (27 x 26 pair counts at most) and the cut-offs (one number per encoding and length
 class at most, from a histogram of binned ratios) are the only things the driver sees; all else
 is work on the row. A run of letters alone, but for a capital in front, is natural by
-definition; '=' inside a run counts as one of the two signs of base64.
+definition; a run with fewer than 16 characters before its padding (dividers such as '====') is
+neither natural nor a candidate; '=' inside a run counts as one of the two signs of base64.
 
 Defined cases: a null text is empty; texts of any length are scanned whole; each row gives
 one row, repeated and null ids included; an empty table gives an empty result; only the id
@@ -97,7 +98,7 @@ def _coded() -> Column:
     length_class = f"cast(least(greatest(floor(2 * log2(length(r.t) / 16D)), 0), {CLASSES - 1}) as int)"
     body = "rtrim('=', r.t)"
     letters = "r.t rlike '^[A-Z]?[a-z]+$'"
-    encoding = ("case when r.t rlike '^([0-9a-f]+|[0-9A-F]+)$' then 0 when r.t rlike '^[A-Z2-7]+=*$' then 1 "
+    encoding = ("case when r.t rlike '^([0-9a-f]+|[0-9A-F]+)$' then 0 when r.t rlike '^[A-Z2-7]{16,}=*$' then 1 "
                 "when length(rtrim('=', r.t)) >= 16 then 2 end")
     chars = f"split({body}, '')"
     b64, b32, b16 = ALPHABETS["base64"], ALPHABETS["base32"], ALPHABETS["hex"]

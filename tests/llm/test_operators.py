@@ -281,6 +281,15 @@ def test_secret_scan_finds_one_secret_among_ten_candidates_of_every_length(spark
     assert len(got - set().union(*secrets.values())) <= 0.02 * len(got)
 
 
+def test_secret_scan_takes_no_divider_for_a_word(spark):
+    import random
+    r = random.Random(6)
+    keys = ["".join(r.choices(secret_scan.ALPHABETS["base64"], k=64)) for _ in range(40)]
+    odd = ["=" * 16, "=" * 40, "A" + "=" * 15, "A" + "=" * 16, "short" + "=" * 20, "-" * 30, "_" * 16, "=-" * 10, "/" * 17] * 4
+    got = random_spans(spark, keys + odd)
+    assert len(got) >= 38 and max(got) < len(keys)
+
+
 def test_token_lengths(spark):
     texts = corpus(11, 50)
     n = sorted(r.n_tokens for r in token_lengths.counts(frame(spark, texts), RANKS, public_tokenizers.PATTERN).collect())
