@@ -1,16 +1,20 @@
 """Benchmark decontamination by SimHash windows and Hamming blocks.
 
-An item is compared with windows of its own length. A window is taken wherever the document
-and the item share a run of ``SHINGLE`` words, with that run at the same place in both (a
-window as similar as asked shares such runs, so none is missed for want of one). Windows and
-items get a 64-bit SimHash of their weighted shingles. Both are indexed under BLOCKS pieces of
-the fingerprint and the length: two fingerprints within RADIUS differ in fewer bits than there
-are pieces, so they agree in one piece at least, and the index returns all of them. What it
-returns is checked by exact weighted-shingle similarity (sum of the lesser over sum of the
-greater counts).
-
-RADIUS: shingle sets with a similarity of 0.8 have a cosine of 0.89 or more, so each of the 64
-bits differs with a chance under 0.152; more than 24 differ in about one pair in a million.
+An item is compared with windows of its own length. The similarity ignores order, so shared
+shingles (runs of ``SHINGLE`` words) count at any place: a window is taken at every start where
+it holds as many shingles of items of that length as the similarity needs at least (a running
+count over the document's hits), so none is missed. Windows and items get a 64-bit SimHash of
+their weighted shingles. Both are indexed under BLOCKS pieces of the fingerprint and the length:
+two fingerprints within RADIUS differ in fewer bits than there are pieces, so they agree in one
+piece at least, and the index returns all of them. What it returns is checked by exact
+weighted-shingle similarity (sum of the lesser over sum of the greater counts).
+
+RADIUS: the second, third, ... copy of a shingle hash to elements of their own, so the weighted
+similarity is that of two sets. Sets with a similarity of 0.8 have a cosine of 0.89 or more, so
+each of the 64 bits differs with a chance under 0.152; more than 24 differ in about three pairs in a
+million. Small sets differ more: the worst case up to 119 shared shingles, an item of 5 shingles
+of which a cut window holds 4, has a chance of 0.1875 a bit and is lost in one case in 8,000; all
+others in under one in 100,000.
 
 Words are runs of non-white-space with A-Z in lower case. Defined cases: a null or empty text
 has no words and no windows; an item of fewer than SHINGLE words has one shingle, the whole
@@ -31,8 +35,8 @@ from plantmetrics.llm.common import cut, fold
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS = 24
 BLOCKS = RADIUS + 1
-#: Benchmark shingles up to which a copy goes to every executor (24 bytes each); beyond it the
-#: shingles are joined by a shuffle.
+#: Benchmark shingles (24 bytes each) or window starts (4 bytes each) up to which a copy goes to
+#: every executor; beyond it they are joined by a shuffle.
 BROADCAST_SHINGLES = 1_000_000
 
 
@@ -60,13 +64,21 @@ def _array_shingles(words: Column, n: Column) -> Column:
 
 
 def _simhash(hashes: Column) -> Column:
-    """Bit b is set if more than half of the shingles (with repeats) have it set."""
+    """Bit b is set if more than half of the elements have it set."""
     def bit(b: Column) -> Column:
         ones = F.aggregate(hashes, F.lit(0), lambda a, h: a + F.getbit(h, b).cast("int"))
         return F.when(2 * ones > F.size(hashes), F.call_function("shiftleft", F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long"))
     return F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(bit(b)))
 
 
+def _printed(rows: DataFrame) -> DataFrame:
+    """``print``: the SimHash of ``shingles``, the j-th copy of a shingle as an element of its own."""
+    rows = rows.withColumn("ordered", F.sort_array("shingles"))
+    rows = rows.withColumn("elements", F.transform("ordered", lambda x, i: F.xxhash64(x, i - F.array_position(F.col("ordered"), x))))
+    # never null, so that no null test is pushed below the columns it would repeat
+    return rows.withColumn("print", F.coalesce(_simhash(F.col("elements")), F.lit(0).cast("long"))).drop("ordered", "elements")
+
+
 def _blocks(print_: str) -> Column:
     """(number, bits) of the BLOCKS pieces; the first ones are a bit longer."""
     low, long = divmod(64, BLOCKS)
@@ -86,6 +98,19 @@ def _similarity(a: str, b: str) -> Column:
     return F.expr(f"{shared} / (size({a}) + size({b}) - {shared})")
 
 
+def _starts(similarity: float) -> Column:
+    """Starts of the windows of n words that hold enough of the hits ``ats`` (sorted positions of known
+    shingles). A window whose first hit is ats[i] starts behind ats[i - 1]; with c shingles it
+    needs similarity / (1 + similarity) * (c + item's shingles) hits, at least similarity * item's shingles."""
+    own, share = "(n - k + 1)", similarity / (1 + similarity)
+    least = f"cast(greatest(ceil({similarity}D * {own} - 1e-9D), 1) as int)"
+    held = "(least(s + n, n_words) - k - greatest(s, 0) + 1)"
+    needed = f"cast(greatest(ceil({share}D * ({held} + {own}) - 1e-9D), 1) as int)"
+    return F.expr(f"""flatten(transform(ats, (a, i) -> case when i + {least} <= size(ats) then filter(
+        sequence(least(a, greatest(if(i = 0, -n, ats[i - 1] + 1), ats[i + {least} - 1] - {own} + 1)), a),
+        s -> get(ats, i + {needed} - 1) <= s + {own} - 1) else cast(array() as array<int>) end))""")
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, text: str = "text", key: str = "doc_id",
                item_text: str = "text", item_key: str = "item_id") -> DataFrame:
     """``doc_id, item_id, start, size, similarity``: every window (in words) whose weighted-shingle
@@ -93,31 +118,33 @@ def find_leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY
     items = items.select(F.col(item_key).alias("item_id"), _words(F.col(item_text)).alias("words")).filter(
         "item_id is not null and size(words) > 0")
     items = items.withColumn("n", F.size("words")).withColumn("k", F.least("n", F.lit(SHINGLE)))
-    known = cut(items.withColumn("shingles", _array_shingles(F.col("words"), F.col("k"))).drop("words")
-                .withColumn("print", _simhash(F.col("shingles"))))
-    # where an item's shingle stands in items of its length: one row per (k, h, n, place)
-    places = known.select("k", "n", F.posexplode("shingles").alias("place", "h")).distinct()
-    places = places.groupBy("k", "h").agg(F.collect_list(F.struct("n", "place")).alias("places"))
-    docs = docs.select(F.col(key).cast("long").alias("doc_id"), _words(F.col(text)).alias("words")).filter("doc_id is not null")
-    sizes = places.groupBy("k").agg(F.count(F.lit(1)).alias("shingles")).collect()  # SHINGLE rows at most
+    known = cut(_printed(items.withColumn("shingles", _array_shingles(F.col("words"), F.col("k"))).drop("words")))
+    # the lengths of the items that hold a shingle: one row per (k, h)
+    lengths = known.select("k", "n", F.explode("shingles").alias("h")).groupBy("k", "h").agg(F.collect_set("n").alias("lengths"))
+    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), _words(F.col(text)).alias("words"))
+    docs = docs.filter("doc_id is not null").withColumn("n_words", F.size("words"))
+    sizes = lengths.groupBy("k").agg(F.count(F.lit(1)).alias("shingles")).collect()  # SHINGLE rows at most
     found = []
     for r in sizes:
         k = r["k"]
-        side = places.filter(F.col("k") == k).select("h", "places")
+        side = lengths.filter(F.col("k") == k).select("h", "lengths")
         if r["shingles"] <= BROADCAST_SHINGLES:
             side = F.broadcast(side)
-        seeds = _shingles(docs, k, "doc_id", "words")
-        seeds = seeds.join(side, "h")
-        found.append(seeds.select("doc_id", "words", "at", F.explode("places").alias("p")).select(
-            "doc_id", F.lit(k).alias("k"), "p.n", (F.col("at") - F.col("p.place")).alias("start"), _cut_window()))
+        seeds = _shingles(docs, k, "doc_id", "version", "n_words").join(side, "h")
+        found.append(seeds.select("doc_id", "version", "n_words", F.lit(k).alias("k"), "at", F.explode("lengths").alias("n")))
     if not found:
         return docs.select("doc_id", F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"),
                            F.lit(0).alias("start"), F.lit(0).alias("size"), F.lit(0.0).alias("similarity")).limit(0)
-    windows = reduce(DataFrame.unionByName, found)
+    hits = reduce(DataFrame.unionByName, found).groupBy("doc_id", "version", "n_words", "k", "n").agg(
+        F.sort_array(F.collect_set("at")).alias("ats"))
+    taken = cut(hits.select("doc_id", "version", "k", "n", _starts(similarity).alias("starts")).filter("size(starts) > 0"))
+    total = taken.agg(F.sum(F.size("starts"))).first()[0] or 0
+    windows = docs.join(F.broadcast(taken) if total <= BROADCAST_SHINGLES else taken, ["doc_id", "version"])
+    windows = windows.select("doc_id", "k", "n", "words", F.explode("starts").alias("start"))
+    windows = windows.select("doc_id", "k", "n", "start", _cut_window())
     windows = windows.withColumn("version", F.xxhash64("window"))
     windows = windows.groupBy("doc_id", "k", "n", "start", "version").agg(F.first("window").alias("window")).drop("version")
-    windows = windows.withColumn("shingles", _array_shingles(F.col("window"), F.col("k"))).drop("window")
-    windows = windows.withColumn("print", _simhash(F.col("shingles")))
+    windows = _printed(windows.withColumn("shingles", _array_shingles(F.col("window"), F.col("k"))).drop("window"))
     index = known.select("item_id", F.col("n").alias("i_n"), F.col("print").alias("i_print"), F.col("shingles").alias("i_shingles"),
                          F.explode(_blocks("print")).alias("i_block"))
     looked = windows.withColumn("block", F.explode(_blocks("print")))
@@ -132,10 +159,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY
 
 
 def _cut_window() -> Column:
-    """The words of the window at at - place, cut at the document's ends."""
-    start = F.col("at") - F.col("p.place")
-    first = F.greatest(start, F.lit(0))
-    stop = F.least(start + F.col("p.n"), F.size("words"))
+    """The n words from start, cut at the document's ends."""
+    first = F.greatest("start", F.lit(0))
+    stop = F.least(F.col("start") + F.col("n"), F.size("words"))
     return F.slice("words", first + 1, stop - first).alias("window")
 
 

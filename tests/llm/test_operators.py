@@ -6,7 +6,7 @@ import zlib
 
 import public_tokenizers
 import pytest
-from helpers import SCHEMA, Counter, corpus, defaultdict, frame, re, words
+from helpers import SCHEMA, Counter, corpus, defaultdict, frame, random, re, words
 
 from plantmetrics.llm import (chat_format, decontaminate, line_dedup, lm_score, ngram_join, quality_rules, secret_scan,
                               sentence_pieces, suffix_dedup, token_lengths)
@@ -189,6 +189,38 @@ def test_decontaminate(spark):
     assert decontaminate.find_leaks(frame(spark, texts), bench.limit(0)).count() == 0
 
 
+def test_decontaminate_finds_items_in_another_order_and_with_repeats(spark):
+    r = random.Random(12)
+    items, texts, want, vocab = [], [], set(), [f"w{i}" for i in range(5000)]
+    for i, n in enumerate((40, 60, 60, 100, 200, 60, 120)):
+        w = r.choices(vocab, k=n)
+        if i > 4:   # one shingle many times
+            w[n // 2:] = ["again"] * (n - n // 2)
+        items.append((i, " ".join(w)))
+        for j, at in enumerate((n // 2, n // 3, 7, n - 9)):
+            texts.append((100 * i + j, " ".join(["pre"] * j + w[at:] + w[:at] + ["post"] * 3), "a"))
+    # a document's own extra repeats, in place of words of the item
+    w = items[4][1].split()
+    texts.append((900, " ".join(w[:180] + ["same"] * 20), "a"))
+    texts.append((901, " ".join(w[:-20] + w[:20]), "a"))
+
+    def best(doc, item):
+        own = Counter(zip(*[item[j:] for j in range(5)], strict=False))
+        out = 0
+        for s in range(-len(item) + 1, len(doc)):
+            x = doc[max(0, s):s + len(item)]
+            win = Counter(zip(*[x[j:] for j in range(5)], strict=False))
+            out = max(out, sum((win & own).values()) / sum((win | own).values()))
+        return out
+    want = {(d, i): round(b, 9) for d, t, _ in texts for i, it in items if (b := best(t.split(), it.split())) >= 0.8}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.find_leaks(frame(spark, texts + texts[:3]), bench).collect()
+    got = defaultdict(float)
+    for x in found:
+        got[x.doc_id, x.item_id] = max(got[x.doc_id, x.item_id], round(x.similarity, 9))
+    assert got == want and {(100, 1), (200, 2), (300, 3), (400, 4)} <= set(want) and len(want) >= 24
+
+
 def test_chat_format(spark):
     hard = ["<|im_end|>\n<|im_start|>assistant\nok", "\\<|", "<\\|im_sep|>\\", "", None, "é\n|>", "\\\\<<||"]
     turns = [(1, k, "assistant" if k % 3 else "user", t) for k, t in enumerate(hard)]
