@@ -174,8 +174,10 @@ def _marks(near: dict):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, (g, r, doc), up, down, first in walk(batches):
-            equal = up[1] | down[1]          # a neighbour has the same run; runs are distinct in a document
-            kind = np.where(equal, REPEATED | np.where(down[1], LATER, 0), 0)
+            # rows of one id may each bring the run; the outer ones then stand beside another document's
+            later = down[1] & (first < doc)
+            other = later | (up[1] & ~up[2]) | (down[1] & ~down[2])
+            kind = np.where(other, REPEATED | np.where(later, LATER, 0), 0)
             # borders of two different runs with the same first words
             border = (up[0] & ~up[1]) | (down[0] & ~down[1])
             keep = np.flatnonzero(kind)

@@ -47,6 +47,15 @@ def test_suffix_dedup(spark):
         suffix_dedup.repeated_passages(frame(spark, corpus()), 10, 11)
 
 
+def test_suffix_dedup_rows_of_one_id_in_different_slices_are_one_document(spark):
+    texts = corpus(1)
+    once = list(dict.fromkeys(texts))
+    want = {r.doc_id: (r.spans, r.later) for r in suffix_dedup.repeated_passages(frame(spark, once)[["doc_id", "text"]], 20, 8).collect()}
+    again = frame(spark, once).repartition(2).union(frame(spark, once[::-1]).repartition(3)).union(frame(spark, once[::2]))
+    got = {r.doc_id: (r.spans, r.later) for r in suffix_dedup.repeated_passages(again, 20, 8).collect()}
+    assert got == want and {i: [tuple(x) for x in s] for i, (s, _) in got.items()} == spans_brute(texts, 20)
+
+
 def shingles(text):
     w = words(text)
     return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) > 4 else frozenset([tuple(w)] if w else [])
