@@ -1,11 +1,11 @@
-"""N-gram Jaccard self-join by a MinHash LSH forest.
+"""N-gram Jaccard self-join by banded MinHash.
 
 Every text becomes the set of its five-word shingles; texts with one and the same set are one
-representative with a count of copies. A forest of TREES prefix tries holds the MinHash
-signatures: in each trie, representatives that share a prefix meet. The prefix is shortened
-from DEPTH until ``1 - (1 - similarity ** depth) ** TREES``, the chance that a pair just as
-similar as asked meets in some trie, reaches the target recall. Verification is exact: shingle
-sets of representatives that the forest connects are intersected and counted.
+representative with a count of copies. Each has TREES bands of MinHash values,
+each folded into one hash: representatives with an equal band meet. A band is shortened
+from DEPTH values until ``1 - (1 - similarity ** depth) ** TREES``, the chance that a pair just as
+similar as asked meets in some band, reaches the target recall. Verification is exact: shingle
+sets of representatives that the bands connect are intersected and counted.
 
 Pairs are never written out. A connected group is dealt into blocks of bounded size by hash,
 each pair of blocks is one task's work, and what leaves it is a row per representative: how
