@@ -1,21 +1,19 @@
-"""Language-model scores by a weighted backoff automaton of words.
+"""Language-model scores by a bigram model that backs off to words.
 
-The automaton has a state for each history class (a word's 32-bit hash class), an arc for every
-bigram seen, and from every state a failure arc to the root, whose arcs are the words. Weights
-are log10 probabilities of a smoothed model (Dirichlet prior of ``prior`` tokens towards the
-unigrams), so the arcs of a state and its failure path sum to one::
+A history is the 32-bit hash class of the word before. Weights are log10 probabilities of a
+smoothed model (Dirichlet prior of ``prior`` tokens towards the unigrams), so those of a history
+sum to one. There is no automaton: bigram, history and word totals are looked up by key::
 
     p(w | k) = (C(k, j) * P(w | j) + prior * P(w)) / (C(k) + prior)     j: class of w
     P(w) = (c(w) + 1) / (N + V + 1)                                     one share for unknown words
 
 With fewer words than classes nearly every class is one word; two words in one class share
-their history, and split its arcs by their own probabilities. A text is scored in one pass
-from left to right: the state after a word is its class (the root if it was never a history).
+their history, and split its bigrams by their own probabilities.
 
-Nothing holds the whole automaton. Documents are dealt into chunks of about CHUNK_CHARS; a
+Nothing holds the whole model. Documents are dealt into chunks of about CHUNK_CHARS; a
 chunk counts its own words and bigrams, sends each range of the sorted keys, with counts, to
 the task that owns that range (delta-coded, so an entry is about 7 bytes), and gets back the
-totals of just these keys in the same order: the part of the automaton its texts can reach. A
+totals of just these keys in the same order: the part of the model its texts can reach. A
 word or bigram that is frequent everywhere is one entry for each chunk.
 
 Tokens are words (A-Z in lower case) and one end per text. Defined cases: a null or empty text
