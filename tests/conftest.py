@@ -1,15 +1,9 @@
-import datetime as dt
 import os
 import sys
-from decimal import Decimal
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-
-SF = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
+sys.path[:0] = [os.path.dirname(os.path.abspath(__file__)), os.path.dirname(os.path.dirname(os.path.abspath(__file__)))]
 
 
 @pytest.fixture(scope="session")
@@ -18,16 +12,3 @@ def spark():
     s = local_session(4, 4, app="plantmetrics-tests")
     yield s
     s.stop()
-
-
-def ts(s: str) -> dt.datetime:
-    return dt.datetime.fromisoformat(s)
-
-
-def D(x) -> Decimal:
-    return Decimal(str(x))
-
-
-def rows(df, *cols):
-    cols = cols or df.columns
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())

@@ -5,7 +5,7 @@ import decimal
 import math
 
 import pytest
-from conftest import SF
+from plant_support import SF
 
 import __spark_entry__ as E
 

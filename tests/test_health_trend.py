@@ -3,7 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from conftest import D, ts
+from plant_support import D, ts
 from pyspark.sql import functions as F
 
 from plantmetrics.operators import health, staging, trend

@@ -5,7 +5,7 @@ import os
 import tempfile
 
 import pytest
-from conftest import D, ts
+from plant_support import D, ts
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

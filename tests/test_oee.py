@@ -4,7 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import D, ts
+from plant_support import D, ts
 
 from plantmetrics.operators import dq, oee, staging
 from plantmetrics.sources import schemas

@@ -2,7 +2,7 @@
 
 import tempfile
 
-from conftest import SF
+from plant_support import SF
 from pyspark.sql import functions as F
 
 from plantmetrics.plans import catalog, ordered_run

@@ -1,7 +1,7 @@
 """Plan tests: pushdown and pruning reach the scans, no unintended cartesian products,
 top-1-per-key uses a partial window limit."""
 
-from conftest import SF
+from plant_support import SF
 
 from query_registry import QUERIES, model
 

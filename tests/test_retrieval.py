@@ -1,7 +1,7 @@
 """Cosine top-k: exactness against the expression form, ties, zero vectors, chunking."""
 
 import numpy as np
-from conftest import SF
+from plant_support import SF
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

@@ -2,7 +2,7 @@
 
 import tempfile
 
-from conftest import SF
+from plant_support import SF
 
 from plantmetrics.plans.model import Model
 from plantmetrics.sources import CsvSource, DriverTables, ParquetSource

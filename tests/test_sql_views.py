@@ -2,7 +2,7 @@
 
 from collections import defaultdict
 
-from conftest import SF
+from plant_support import SF
 
 from plantmetrics.plans.catalog import register_views
 from query_registry import model

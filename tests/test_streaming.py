@@ -3,7 +3,7 @@
 import datetime as dt
 import tempfile
 
-from conftest import SF
+from plant_support import SF
 from pyspark.sql import functions as F
 
 from plantmetrics.operators import health, staging
