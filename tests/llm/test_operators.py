@@ -6,7 +6,7 @@ import zlib
 
 import public_tokenizers
 import pytest
-from helpers import SCHEMA, Counter, corpus, defaultdict, frame, random, re, words
+from llm_support import SCHEMA, Counter, corpus, defaultdict, frame, random, re, words
 
 from plantmetrics.llm import (chat_format, decontaminate, line_dedup, lm_score, ngram_join, quality_rules, secret_scan,
                               sentence_pieces, suffix_dedup, token_lengths)

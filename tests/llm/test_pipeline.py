@@ -1,6 +1,6 @@
 """The pipeline's stages keep the columns of documents, and run() equals the stages in turn."""
 
-from helpers import SF
+from llm_support import SF
 
 import __spark_entry__ as entry
 import corpus_pipeline
