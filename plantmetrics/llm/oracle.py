@@ -59,4 +59,30 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_line_dedup": _LINE_DEDUP, "op5_quality_rules": _QUALITY, "op7_chat_format": _CHAT}
+_AUDIT = f"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '{_WORD}') AS ws, min(doc_id) OVER (PARTITION BY text) AS least FROM d),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, CAST(len(ws) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(ws)) < 50 * len(ws) AS INT)
+  + 4 * CAST(100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text) AS INT)
+  + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT) + 16 * CAST(coalesce(w.doc_id > least, false) AS INT) AS mask,
+  coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, mask),
+x AS (SELECT * FROM (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS v(ch)),
+o AS (SELECT a.ch || b.ch || c.ch || d.ch || e.ch AS filter_order FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.ch, b.ch, c.ch, d.ch, e.ch])) = 5),
+s AS (SELECT filter_order, CAST(step AS INT) AS step, 1 << (instr('ABCDE', filter_order[step]) - 1) AS bit,
+  list_sum([0] || [1 << (instr('ABCDE', filter_order[j]) - 1) FOR j IN range(1, step)]) AS early
+  FROM (SELECT filter_order, unnest(range(1, 6)) AS step FROM o)),
+m AS (SELECT s.*, c.*, mask & bit != 0 AS fails, mask & CAST(early AS BIGINT) != 0 AS gone FROM s, c)
+SELECT part, filter_order, step, CAST(coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0) AS BIGINT) AS kept,
+  CAST(coalesce(sum(n) FILTER (fails AND NOT gone), 0) AS BIGINT) AS removed,
+  CAST(coalesce(sum(n) FILTER (fails AND gone), 0) AS BIGINT) AS redundant,
+  CAST(coalesce(sum(n) FILTER (mask = bit), 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(sum(good) FILTER (fails AND NOT gone), 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(sum(toxic) FILTER (fails AND NOT gone), 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(n * 120 // greatest(bit_count(mask), 1)) FILTER (fails), 0) AS BIGINT) AS shapley
+FROM m GROUP BY part, filter_order, step
+"""
+
+ORACLE_SQL: dict[str, str] = {"op13_filter_audit": _AUDIT, "op4_line_dedup": _LINE_DEDUP, "op5_quality_rules": _QUALITY, "op7_chat_format": _CHAT}

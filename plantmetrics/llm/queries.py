@@ -1,4 +1,4 @@
-"""The ten operators over their whole tables: name -> (spark, sf_dir) -> DataFrame.
+"""The operators over their whole tables: name -> (spark, sf_dir) -> DataFrame.
 
 The operators return texts, spans and bitmaps; these queries turn them into the digest columns
 of their contracts. Import errors are not caught here.
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from plantmetrics.llm import chat_format as chat
 from plantmetrics.llm import decontaminate as leaks
 from plantmetrics.llm import line_dedup as lines
+from plantmetrics.llm import filter_audit as audits
 from plantmetrics.llm import lm_score as lm
 from plantmetrics.llm import ngram_join as ngrams
 from plantmetrics.llm import quality_rules as quality
@@ -97,5 +98,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.histogram(lengths.counts(table(spark, sf_dir, "documents"), RANK_FILE, public_tokenizers.PATTERN))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over all documents in all 120 orders, from a stream over the table's files."""
+    return audits.filter_audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_suffix_dedup, op2_ngram_join, op3_sentence_pieces, op4_line_dedup, op5_quality_rules, op6_decontamination, op7_chat_format, op8_lm_score, op9_secret_scan, op10_token_counts)}
+    op1_suffix_dedup, op2_ngram_join, op3_sentence_pieces, op4_line_dedup, op5_quality_rules, op6_decontamination, op7_chat_format, op8_lm_score, op9_secret_scan, op10_token_counts, op13_filter_audit)}
