@@ -85,4 +85,20 @@ SELECT part, filter_order, step, CAST(coalesce(sum(n) FILTER (NOT fails AND NOT
 FROM m GROUP BY part, filter_order, step
 """
 
-ORACLE_SQL: dict[str, str] = {"op13_filter_audit": _AUDIT, "op4_line_dedup": _LINE_DEDUP, "op5_quality_rules": _QUALITY, "op7_chat_format": _CHAT}
+_HARD = """
+WITH u AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+p AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+  CAST(list_dot_product(CAST(a.v AS DOUBLE[]), CAST(b.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM u a JOIN u b ON a.vec_id % 100 = 0 AND a.vec_id != b.vec_id),
+pos AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS k FROM p WHERE same) WHERE k <= 5),
+n AS (SELECT pos.anchor_id, pos.id AS positive_id, pos.score AS positive_score, p.id AS negative_id, p.score AS negative_score,
+  CAST(row_number() OVER (PARTITION BY pos.anchor_id, pos.id ORDER BY p.score DESC, p.id) AS INT) AS rank
+  FROM pos JOIN p ON p.anchor_id = pos.anchor_id AND NOT p.same
+    AND 30 * pos.score <= 100 * p.score AND 100 * p.score <= 90 * pos.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op11_hard_negatives": _HARD, "op13_filter_audit": _AUDIT, "op4_line_dedup": _LINE_DEDUP, "op5_quality_rules": _QUALITY, "op7_chat_format": _CHAT}

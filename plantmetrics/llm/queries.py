@@ -16,6 +16,7 @@ from plantmetrics.llm import chat_format as chat
 from plantmetrics.llm import decontaminate as leaks
 from plantmetrics.llm import line_dedup as lines
 from plantmetrics.llm import filter_audit as audits
+from plantmetrics.llm import hard_negatives as hard
 from plantmetrics.llm import lm_score as lm
 from plantmetrics.llm import ngram_join as ngrams
 from plantmetrics.llm import quality_rules as quality
@@ -98,10 +99,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.histogram(lengths.counts(table(spark, sf_dir, "documents"), RANK_FILE, public_tokenizers.PATTERN))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, with the labels of every seventh moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard.hard_negatives(hard.integer_vectors(table(spark, sf_dir, "embeddings"), label=label), F.col("vec_id") % 100 == 0)
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five filters over all documents in all 120 orders, from a stream over the table's files."""
     return audits.filter_audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_suffix_dedup, op2_ngram_join, op3_sentence_pieces, op4_line_dedup, op5_quality_rules, op6_decontamination, op7_chat_format, op8_lm_score, op9_secret_scan, op10_token_counts, op13_filter_audit)}
+    op1_suffix_dedup, op2_ngram_join, op3_sentence_pieces, op4_line_dedup, op5_quality_rules, op6_decontamination, op7_chat_format, op8_lm_score, op9_secret_scan, op10_token_counts, op11_hard_negatives, op13_filter_audit)}
