@@ -101,4 +101,18 @@ n AS (SELECT pos.anchor_id, pos.id AS positive_id, pos.score AS positive_score,
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
 """
 
-ORACLE_SQL: dict[str, str] = {"op11_hard_negatives": _HARD, "op13_filter_audit": _AUDIT, "op4_line_dedup": _LINE_DEDUP, "op5_quality_rules": _QUALITY, "op7_chat_format": _CHAT}
+_NEAR = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '{_WORD}') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, hash(g) AS g FROM (SELECT doc_id, CASE WHEN len(ws) < 4 THEN ws ELSE ws[i:i + 3] END AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0))),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY x, y),
+e AS (SELECT x, y FROM i JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * shared >= 80 * (a.n + b.n - shared)),
+l AS MATERIALIZED (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r(doc_id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.y, r.root FROM r JOIN l ON l.x = r.doc_id),
+c AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN n ON n.doc_id = d.doc_id JOIN c ON c.doc_id = d.doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op12_minhash_dedup": _NEAR, "op11_hard_negatives": _HARD, "op13_filter_audit": _AUDIT, "op4_line_dedup": _LINE_DEDUP, "op5_quality_rules": _QUALITY, "op7_chat_format": _CHAT}

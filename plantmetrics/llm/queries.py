@@ -18,6 +18,7 @@ from plantmetrics.llm import line_dedup as lines
 from plantmetrics.llm import filter_audit as audits
 from plantmetrics.llm import hard_negatives as hard
 from plantmetrics.llm import lm_score as lm
+from plantmetrics.llm import minhash_dedup as near
 from plantmetrics.llm import ngram_join as ngrams
 from plantmetrics.llm import quality_rules as quality
 from plantmetrics.llm import secret_scan as secrets
@@ -105,10 +106,15 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard.hard_negatives(hard.integer_vectors(table(spark, sf_dir, "embeddings"), label=label), F.col("vec_id") % 100 == 0)
 
 
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicates on four-word shingles, over all documents."""
+    return near.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five filters over all documents in all 120 orders, from a stream over the table's files."""
     return audits.filter_audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_suffix_dedup, op2_ngram_join, op3_sentence_pieces, op4_line_dedup, op5_quality_rules, op6_decontamination, op7_chat_format, op8_lm_score, op9_secret_scan, op10_token_counts, op11_hard_negatives, op13_filter_audit)}
+    op1_suffix_dedup, op2_ngram_join, op3_sentence_pieces, op4_line_dedup, op5_quality_rules, op6_decontamination, op7_chat_format, op8_lm_score, op9_secret_scan, op10_token_counts, op11_hard_negatives, op12_minhash_dedup, op13_filter_audit)}
