@@ -8,8 +8,10 @@ a smaller id arrives, the mask of the former least one is retracted (-1) and tol
 fifth bit (+1). What leaves the stream are such signed counts of (part, mask, quality, toxic);
 their sums are the part counters, from which all 120 orders follow without touching a document again.
 
-State is kept per bucket of text digests, as one small Arrow table a bucket, in RocksDB; buckets grow
-in number with the table, so that a bucket stays at about BUCKET_ROWS texts. A text that holds a third
+State is kept per bucket of text digests, as one small Arrow table a bucket, in the state store that the
+session names (``spark.sql.streaming.stateStore.providerClass``; RocksDB keeps it out of the heap where
+texts by the billion need it); buckets grow in number with the table, so that a bucket stays at about
+BUCKET_ROWS texts. A text that holds a third
 of all rows meets itself inside each Arrow batch before the shuffle: only the least id of a batch goes
 on, the others are certain repeats and leave as counts.
 
@@ -44,7 +46,6 @@ FILTERS = "ABCDE"
 #: The bit of the fifth filter, the one that depends on other documents.
 REPEAT = 16
 BUCKET_ROWS, MICRO_BATCHES = 8192, 4
-MEMORY_MB = 400
 
 _MARK = np.zeros(256, dtype=bool)
 _MARK[np.frombuffer(b"#$%&*|", dtype=np.uint8)] = True
@@ -172,30 +173,16 @@ def deltas(docs: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
     return rows.groupBy("bucket").applyInPandasWithState(_update, _DELTA, "held binary", "append", GroupStateTimeout.NoTimeout)
 
 
-#: State in RocksDB, with one bound for all stores of an executor, instead of in the JVM's heap.
-_STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-          "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-          "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": str(MEMORY_MB)}
-
-
 def run_stream(spark: SparkSession, path: str, labels: DataFrame, root: str, buckets: int, files: int) -> None:
     """Process what files of ``path`` are new to the stream stored under ``root`` (a shared folder), at
     most ``files`` a micro-batch. A restart goes on after the last finished micro-batch, and one
     that was broken off is repeated with the state it had (the sink drops its half-written files)."""
-    # a stream keeps the settings that it was started with
-    before = {k: spark.conf.get(k, None) for k in _STATE}
-    try:
-        for k, v in _STATE.items():
-            spark.conf.set(k, v)
-        # as a pattern (of one match), since a stream takes a single file only that way
-        every = f"{path[:-1]}[{path[-1]}]"
-        stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files).parquet(every)
-        query = (deltas(stream, labels, buckets).writeStream.format("parquet").outputMode("append")
-                 .option("path", f"{root}/deltas").option("checkpointLocation", f"{root}/stream")
-                 .trigger(availableNow=True).start())
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    # as a pattern (of one match), since a stream takes a single file only that way
+    every = f"{path[:-1]}[{path[-1]}]"
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files).parquet(every)
+    query = (deltas(stream, labels, buckets).writeStream.format("parquet").outputMode("append")
+             .option("path", f"{root}/deltas").option("checkpointLocation", f"{root}/stream")
+             .trigger(availableNow=True).start())
     query.awaitTermination()
 
 
