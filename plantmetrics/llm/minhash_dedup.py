@@ -5,9 +5,10 @@ A text is the set of its distinct four-word shingles; documents whose sets have
 are one representative, so exact copies cost nothing further.
 
 Candidates are representatives that share a band (BANDS bands of BAND_ROWS MinHash values). A candidate's
-signatures are compared in batches of BATCH values: with ``m`` of ``n`` equal and a uniform prior, the
-similarity is Beta(m + 1, n - m + 1), and the pair is pruned as soon as the posterior chance of 0.8 or more
-falls below MISS. What survives all batches is verified exactly, on the full sets, in whole numbers.
+signatures (the last byte of each value) are compared in batches of BATCH: with ``m`` of ``n`` equal and a
+uniform prior, the share of equal bytes is Beta(m + 1, n - m + 1), and the pair is pruned as soon as the
+posterior chance of the share that a similarity of 0.8 has, or more, falls below MISS. What survives
+all batches is verified exactly, on the full sets, in whole numbers.
 
 Pairs of a bucket are not listed. Only components are wanted, so:
 
@@ -30,12 +31,13 @@ an empty table gives no rows; only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantmetrics.llm.common import cut
@@ -65,7 +67,9 @@ def least_matches(n: int, similarity: float, miss: float) -> int:
     return n
 
 
-LEAST = [least_matches(BATCH * (i + 1), PERCENT / 100, MISS) for i in range(BATCHES)]
+#: Two documents of the asked similarity have this share of equal bytes.
+SHARE = PERCENT / 100 + (1 - PERCENT / 100) / 256
+LEAST = [least_matches(BATCH * (i + 1), SHARE, MISS) for i in range(BATCHES)]
 
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
@@ -87,18 +91,18 @@ def _set_keys(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Band keys and the low 16 bits of all MinHash values of sets that aren't empty."""
+    """Band keys and the last bytes of all MinHash values of sets that aren't empty."""
     flat = np.concatenate(sets)
     starts = np.cumsum([0, *map(len, sets[:-1])])
-    low = np.empty((len(sets), BATCH * BATCHES), dtype=np.uint16)
-    keys = np.zeros((len(sets), BANDS), dtype=U)
+    low = np.empty((len(sets), BATCH * BATCHES), dtype=np.uint8)
+    keys = np.tile(mix(np.arange(BANDS, dtype=U)), (len(sets), 1))   # a key tells its band, too
     work = np.empty_like(flat)
     with np.errstate(over="ignore"):
         for f in range(BATCH * BATCHES):
             np.bitwise_xor(flat, mix(U(2 * f + 1)), out=work)
             np.multiply(work, mix(U(2 * f + 2)) | U(1), out=work)
             value = np.minimum.reduceat(work, starts)
-            low[:, f] = value & U(0xFFFF)
+            low[:, f] = value & U(0xFF)
             band = f // BAND_ROWS
             if band < BANDS:
                 keys[:, band] = mix(keys[:, band] * U(31) + value)
@@ -127,9 +131,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if b.num_rows:
             keys = np.frombuffer(b"".join(b.column("keys").to_pylist()), dtype=np.int64)
-            yield pa.record_batch([pa.array(np.repeat(b.column("rep").to_numpy(), BANDS)),
-                                   pa.array(np.tile(np.arange(BANDS, dtype=np.int32), b.num_rows)), pa.array(keys)],
-                                  names=["rep", "band", "key"])
+            yield pa.record_batch([pa.array(np.repeat(b.column("rep").to_numpy(), BANDS)), pa.array(keys)], names=["rep", "key"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +171,7 @@ def _linked(a: np.ndarray, b: np.ndarray) -> bool:
 def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if b.num_rows:
-            left, right = (np.frombuffer(b"".join(b.column(c).to_pylist()), dtype=np.uint16).reshape(b.num_rows, -1) for c in ("sig", "sig_b"))
+            left, right = (np.frombuffer(b"".join(b.column(c).to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1) for c in ("sig", "sig_b"))
             yield b.select(["a", "b"]).take(pa.array(_kept(left, right)))
 
 
@@ -180,26 +182,30 @@ def _prove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.select(["a", "b"]).filter(pa.array(on, pa.bool_()))
 
 
-def _verify(pairs: DataFrame, sigs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` that are linked."""
-    def both(pairs: DataFrame, of: DataFrame, c: str) -> DataFrame:
-        left, right = of.select(F.col("rep").alias("a"), c), of.select(F.col("rep").alias("b"), F.col(c).alias(f"{c}_b"))
-        return pairs.join(left, "a").join(right, "b").select("a", "b", c, f"{c}_b")
+def _both(pairs: DataFrame, of: DataFrame, c: str) -> DataFrame:
+    left, right = of.select(F.col("rep").alias("a"), c), of.select(F.col("rep").alias("b"), F.col(c).alias(f"{c}_b"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", c, f"{c}_b")
 
-    left = both(pairs, sigs, "sig").mapInArrow(_prune, "a long, b long")
-    return both(left.distinct(), sets, "members").mapInArrow(_prove, "a long, b long")
+
+def _unpruned(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` that no batch of their signatures prunes."""
+    return _both(pairs, reps, "sig").mapInArrow(_prune, "a long, b long").distinct()
+
+
+def _proven(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose full sets are linked."""
+    return _both(pairs, sets, "members").mapInArrow(_prove, "a long, b long")
 
 
 def _cross(table: pa.Table) -> pa.Table:
     """Proven links between members of different components of the buckets (or the pair of blocks) given."""
-    rep, comp, side, band = (table.column(c).to_numpy() for c in ("rep", "comp", "side", "band"))
+    rep, comp, side, key = (table.column(c).to_numpy() for c in ("rep", "comp", "side", "key"))
     keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), dtype=np.int64).reshape(len(rep), -1)
-    sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint16).reshape(len(rep), -1)
+    sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint8).reshape(len(rep), -1)
     members = table.column("members")
     sets = [np.frombuffer(members[i].as_buffer(), dtype=U) for i in range(len(rep))]
-    at = np.arange(len(rep))
-    order = np.lexsort((side, at, keys[at, band], band))
-    bounds = np.flatnonzero(np.r_[True, (band[order][1:] != band[order][:-1]) | (keys[at, band][order][1:] != keys[at, band][order][:-1]), True])
+    order = np.argsort(key, kind="stable")
+    bounds = np.flatnonzero(np.r_[True, key[order][1:] != key[order][:-1], True])
     root = {int(c): int(c) for c in comp}
 
     def find(c: int) -> int:
@@ -210,7 +216,7 @@ def _cross(table: pa.Table) -> pa.Table:
     links = []
     for i, j in zip(bounds[:-1], bounds[1:], strict=True):
         own = order[i:j]
-        t = band[own[0]]
+        t = int(np.flatnonzero(keys[own[0]] == key[own[0]])[0])
         # side 1 and 3: members outside the bucket's largest component; 1 meets all, 3 meets only what is not of its own block
         for x in own[(side[own] == 1) | (side[own] == 3)]:
             if side[x] == 1:
@@ -231,6 +237,7 @@ def _cross(table: pa.Table) -> pa.Table:
 
 
 def _with_components(members: DataFrame, links: DataFrame | None) -> DataFrame:
+    """Members of buckets with the component that the links so far give them."""
     if links is None:
         return members.withColumn("comp", F.col("rep"))
     roots = components(links).select(F.col("node").alias("rep"), "root")
@@ -240,9 +247,9 @@ def _with_components(members: DataFrame, links: DataFrame | None) -> DataFrame:
 def _star(members: DataFrame, turn: int) -> DataFrame:
     """Pairs of each member of a divided bucket with the bucket's hub of this turn, if of another component."""
     first = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
-    hubs = members.groupBy("band", "key").agg(F.min(F.struct(first.alias("o"), "rep", "comp")).alias("hub"),
+    hubs = members.groupBy("key").agg(F.min(F.struct(first.alias("o"), "rep", "comp")).alias("hub"),
                                               F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1")
-    pairs = members.join(hubs.select("band", "key", F.col("hub.rep").alias("hub"), F.col("hub.comp").alias("hub_comp")), ["band", "key"])
+    pairs = members.join(hubs.select("key", F.col("hub.rep").alias("hub"), F.col("hub.comp").alias("hub_comp")), "key")
     pairs = pairs.filter("comp != hub_comp and rep != hub")
     return pairs.select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct()
 
@@ -250,19 +257,19 @@ def _star(members: DataFrame, turn: int) -> DataFrame:
 def _crossings(members: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between the components that divide a bucket, all pairs across them compared."""
     sized = members.join(reps.select("rep", "n"), "rep")
-    parts = sized.groupBy("band", "key", "comp").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
-    whole = parts.groupBy("band", "key").agg(F.max(F.struct("rows", "shingles", F.col("comp").alias("main"))).alias("m"), F.sum("rows").alias("rows"),
+    parts = sized.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
+    whole = parts.groupBy("key").agg(F.max(F.struct("rows", "shingles", F.col("comp").alias("main"))).alias("m"), F.sum("rows").alias("rows"),
                                              F.sum("shingles").alias("shingles"), F.count(F.lit(1)).alias("comps"))
     # two members of two components have been compared by the star already
     whole = whole.filter("comps > 1 and rows > 2")
     blocks = lambda r, s: F.greatest(F.lit(1), F.ceil(F.greatest(r / BLOCK_ROWS, s / BLOCK_SHINGLES))).cast("int")
-    whole = cut(whole.select("band", "key", "rows", F.col("m.main").alias("main"), blocks(F.col("m.rows"), F.col("m.shingles")).alias("q"),
+    whole = cut(whole.select("key", "rows", F.col("m.main").alias("main"), blocks(F.col("m.rows"), F.col("m.shingles")).alias("q"),
                              blocks(F.col("rows") - F.col("m.rows"), F.col("shingles") - F.col("m.shingles")).alias("r")))
     total = whole.agg(F.sum("rows")).first()[0] or 0
     packs = max(1, -(-total // PACK_ROWS))
-    dealt = members.join(whole, ["band", "key"])
+    dealt = members.join(whole, "key")
     rest = F.col("comp") != F.col("main")
-    mine = F.pmod(F.xxhash64("rep", "band"), F.when(rest, F.col("r")).otherwise(F.col("q")).cast("long")).cast("int")
+    mine = F.pmod(F.xxhash64("rep", "key"), F.when(rest, F.col("r")).otherwise(F.col("q")).cast("long")).cast("int")
     dealt = dealt.withColumn("mine", mine).withColumn("rest", rest)
     # pairs of blocks: (i, j) of the rest with i <= j, and (i, r + j) of the rest with the main component
     single = (F.col("q") == 1) & (F.col("r") == 1)
@@ -275,34 +282,56 @@ def _crossings(members: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFram
                 F.col("mine").alias("i"), (F.col("r") + k).alias("j"), F.lit(3).alias("side"))))).otherwise(
         F.transform(F.sequence(F.lit(0), F.col("r") - 1), lambda k: F.struct(
             k.alias("i"), (F.col("r") + F.col("mine")).alias("j"), F.lit(0).alias("side"))))
-    dealt = dealt.select("rep", "comp", "band", "key", single.alias("single"), F.explode(ij).alias("p"))
-    place = F.when(F.col("single"), F.pmod(F.xxhash64("band", "key"), F.lit(packs))).otherwise(F.xxhash64("band", "key"))
-    dealt = dealt.select("rep", "comp", "band", place.alias("pack"), "p.i", "p.j", "p.side")
+    dealt = dealt.select("rep", "comp", "key", single.alias("single"), F.explode(ij).alias("p"))
+    place = F.when(F.col("single"), F.pmod(F.xxhash64("key"), F.lit(packs))).otherwise(F.col("key"))
+    dealt = dealt.select("rep", "comp", "key", place.alias("pack"), "p.i", "p.j", "p.side")
     full = dealt.join(reps.select("rep", "keys", "sig", "s1", "s2").join(sets, ["rep", "s1", "s2"]).drop("s1", "s2"), "rep")
     return full.groupBy("pack", "i", "j").applyInArrow(_cross, "a long, b long")
 
 
+def _release(spark: SparkSession) -> None:
+    """Shuffle files and checkpoints of frames that are no longer referred to go when the driver's two
+    collectors have run; left to themselves they run late, and the disks hold every stage till then."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every document that has an id."""
+    spark = docs.sparkSession
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id is not null")
     signed = cut(docs.mapInArrow(_sign, "doc_id long, s1 long, s2 long, n long, keys binary, sig binary"))
-    plain = signed.select("doc_id", "s1", "s2", "n").distinct()
-    owners = plain.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
+    plain = cut(signed.select("doc_id", "s1", "s2", "n").distinct())
+    owners = cut(plain.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")))
     first = owners.select(F.col("rep").alias("doc_id"), "s1", "s2")
     reps = cut(signed.join(first, ["doc_id", "s1", "s2"]).dropDuplicates(["doc_id", "s1", "s2"]).withColumnRenamed("doc_id", "rep"))
-    nodes = reps.select("rep", "keys").mapInArrow(_bands, "rep long, band int, key long")
-    met = nodes.groupBy("band", "key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("band", "key")
-    members = cut(nodes.join(met, ["band", "key"]).distinct())
-    wanted = members.select("rep").distinct().join(reps.select("rep", "s1", "s2"), "rep")
+    del signed, first
+    _release(spark)
+    nodes = reps.select("rep", "keys").mapInArrow(_bands, "rep long, key long")
+    met = nodes.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("key")
+    members = cut(nodes.join(met, "key").distinct())
+    reps = cut(reps.join(members.select("rep").distinct(), "rep"))
+    del nodes, met
+    _release(spark)
+    # the first stars say whose sets are needed: what they don't prune, and buckets of three or more
+    pairs = cut(_unpruned(_star(_with_components(members, None), 0), reps))
+    many = members.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 2").select("key")
+    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(members.join(many, "key").select("rep")).distinct()
+    wanted = wanted.join(reps.select("rep", "s1", "s2"), "rep")
     sets = docs.join(wanted, F.col("doc_id") == F.col("rep")).select("rep", "s1", "s2", "text").mapInArrow(
         _sets, "rep long, s1 long, s2 long, members binary")
     sets = cut(sets.dropDuplicates(["rep", "s1", "s2"]))
-    links = None
-    for turn in range(STARS):
-        found = cut(_verify(_star(_with_components(members, links), turn), reps.select("rep", "sig"), sets))
-        links = found if links is None else links.unionByName(found)
-    found = cut(_crossings(cut(_with_components(members, links)), reps, sets))
-    links = links.unionByName(found)
+    del wanted, many
+    _release(spark)
+    links = cut(_proven(pairs, sets))
+    for turn in range(1, STARS):
+        pairs = cut(_unpruned(_star(_with_components(members, links), turn), reps))
+        links = cut(links.unionByName(_proven(pairs, sets)))
+        _release(spark)
+    crossed = cut(_crossings(cut(_with_components(members, links)), reps, sets))
+    links = links.unionByName(crossed)
+    del sets, reps, members, pairs
+    _release(spark)
     # texts of one id are one document
     several = plain.groupBy("doc_id").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("doc_id")
     own = plain.join(several, "doc_id").join(owners, ["s1", "s2"], "left")

@@ -79,7 +79,7 @@ def test_crossings_alone_find_every_link(spark, monkeypatch):
     monkeypatch.setattr(md, "BLOCK_ROWS", 5)
     real = md._star
     monkeypatch.setattr(md, "_star", lambda members, turn: real(
-        members.join(members.groupBy("band", "key").count().filter("count = 2").select("band", "key"), ["band", "key"]), turn))
+        members.join(members.groupBy("key").count().filter("count = 2").select("key"), "key"), turn))
     assert near(spark, rows) == brute(rows)
 
 
