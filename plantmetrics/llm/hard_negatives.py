@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -173,7 +174,7 @@ class Queries:
 
 def _matrix(vectors: pa.Array, dims: int = 0) -> np.ndarray:
     """Rows of whole numbers, filled up with zeros to one length of ``dims`` or more."""
-    sizes = np.asarray(pa.compute.list_value_length(vectors), dtype=np.int64)
+    sizes = np.asarray(pc.list_value_length(vectors), dtype=np.int64)
     dims = max(dims, int(sizes.max(initial=0)), 1)
     out = np.zeros((len(vectors), dims), dtype=np.int64)
     out[np.arange(dims) < sizes[:, None]] = np.asarray(vectors.flatten(), dtype=np.int64)
@@ -200,10 +201,10 @@ def _task(k: int, same: bool):
         held, queries = [], None
         for b in batches:
             t = pa.Table.from_batches([b])
-            asks = pa.compute.equal(t["kind"], 0)
+            asks = pc.equal(t["kind"], 0)
             if (own := t.filter(asks)).num_rows:
                 held.append(own)
-            t = t.filter(pa.compute.invert(asks)).combine_chunks()
+            t = t.filter(pc.invert(asks)).combine_chunks()
             if not t.num_rows or not held and queries is None:
                 continue
             if queries is None:
