@@ -2,10 +2,11 @@
 
 Similarity search is exact. The query vectors (one per at-risk machine) are dealt by hash into
 chunks of about QUERY_BYTES, one chunk for any fleet that fits; each chunk is a broadcast
-matrix. Patterns stay where they are: each task scores its patterns block-wise with numpy,
-keeping only the k best per query. A final ``row_number() <= k`` per machine picks the
-global top-k from (k x tasks) candidates per machine. No cross join is planned and no
-pair is materialised beyond the per-task top-k.
+matrix, held alone: the next one is fetched when the chunk's result is stored. Patterns stay
+where they are: each task scores its patterns block-wise with numpy, keeping only the k best
+per query, and the tasks' candidates are merged in two levels (``vector_index.merge_levels``).
+No cross join is planned and no pair is materialised beyond the per-task top-k. A stored
+pattern table is searched through its index instead (``vector_index``), which skips lists.
 """
 
 from __future__ import annotations
@@ -14,8 +15,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DateType, DecimalType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
@@ -23,6 +23,7 @@ from pyspark.sql.types import (
 
 from plantmetrics.functions.columns import hours_between
 from plantmetrics.operators.ids import assign_ids
+from plantmetrics.operators.vector_index import merge_levels, unit_rows
 from plantmetrics.params import DEFAULT, Params
 
 QUERY_BYTES = 256 * 1024 * 1024          # size of one chunk's query matrix
@@ -111,12 +112,20 @@ def numbered_history(history: DataFrame) -> DataFrame:
     return assign_ids(history, ["started_at", "machine_id", "event_id"], "pattern_id")
 
 
-def failure_patterns(numbered: DataFrame, embed) -> DataFrame:
+def fresh_history(history: DataFrame, stored: DataFrame) -> DataFrame:
+    """History rows whose event is not stored yet, numbered on from the largest stored ``pattern_id``:
+    an id that has been given stays with its event, however late an earlier stoppage arrives."""
+    new = history.join(stored.select("event_id").distinct(), "event_id", "left_anti")
+    start = stored.agg(F.coalesce(F.max("pattern_id"), F.lit(0))).first()[0] + 1
+    return assign_ids(new, ["started_at", "machine_id", "event_id"], "pattern_id", start)
+
+
+def failure_patterns(numbered: DataFrame, embed, keep: tuple[str, ...] = ()) -> DataFrame:
     """The vector store: one row per described failure with its embedding.
 
     ``embed`` maps a frame with ``pattern_id`` and ``description`` to the same frame plus
     ``embedding`` (an external embedding service, or the driver adapter's vectors);
-    rows it cannot embed are skipped.
+    rows it cannot embed are skipped. ``keep`` names further columns of ``numbered`` to store.
     """
     d = with_descriptions(numbered)
     e = embed(d)
@@ -125,7 +134,7 @@ def failure_patterns(numbered: DataFrame, embed) -> DataFrame:
         clean_label(F.col("machine_type")).alias("machine_type"), "event_date",
         clean_label(F.col("reason_code")).alias("reason_code"),
         F.coalesce("downtime_hrs", F.lit(0).cast(DecimalType(8, 3))).alias("downtime_hrs"),
-        "description", "embedding")
+        "description", "embedding", *keep)
 
 
 # --- cosine top-k -----------------------------------------------------------------------------
@@ -137,19 +146,6 @@ _OUT = StructType([
 ])
 
 
-def _unit_rows(mat: np.ndarray) -> np.ndarray:
-    norms = np.linalg.norm(mat, axis=1, keepdims=True)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        out = np.where(norms > 0, mat / np.where(norms > 0, norms, 1.0), 0.0)
-    return out
-
-
-def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Unit rows of a column of equally long lists."""
-    flat = np.asarray(pc.list_flatten(vectors), dtype=np.float64)
-    return _unit_rows(flat.reshape(len(vectors), -1))
-
-
 def _topk_scorer(bc, k: int):
     """mapInArrow function: per task, keep the k best patterns per query.
 
@@ -165,7 +161,7 @@ def _topk_scorer(bc, k: int):
             if not b.num_rows or not nq:
                 continue
             b = pa.Table.from_batches([b]).sort_by("pattern_id").combine_chunks()
-            emb, pids = _matrix(b.column("embedding")), b.column("pattern_id").to_numpy()
+            emb, pids = unit_rows(b.column("embedding")), b.column("pattern_id").to_numpy()
             base, rest = 0 if pay is None else len(pay), b.drop_columns(["embedding"])
             pay = rest if pay is None else pa.concat_tables([pay, rest])
             for s in range(0, len(b), block):
@@ -190,12 +186,12 @@ def _topk_scorer(bc, k: int):
     return run
 
 
-def _score_chunk(queries: DataFrame, patterns: DataFrame, k: int) -> DataFrame:
+def _score_chunk(queries: DataFrame, patterns: DataFrame, k: int):
     tbl = queries.select("machine_id", "embedding").toArrow()
-    matrix = _matrix(tbl.column("embedding")) if len(tbl) else None
+    matrix = unit_rows(tbl.column("embedding")) if len(tbl) else None
     bc = patterns.sparkSession.sparkContext.broadcast((tbl.column("machine_id").to_numpy(), matrix))
     cols = ["pattern_id", "embedding", "machine_type", "event_date", "reason_code", "downtime_hrs"]
-    return patterns.select(*cols).where("embedding is not null").mapInArrow(_topk_scorer(bc, k), _OUT)
+    return patterns.select(*cols).where("embedding is not null").mapInArrow(_topk_scorer(bc, k), _OUT), bc
 
 
 def similar_failures(queries: DataFrame, patterns: DataFrame, k: int = 3, query_bytes: int = QUERY_BYTES) -> DataFrame:
@@ -207,11 +203,14 @@ def similar_failures(queries: DataFrame, patterns: DataFrame, k: int = 3, query_
     queries = queries.select("machine_id", "embedding").where("embedding is not null").checkpoint()
     n, d = queries.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
     chunks = max(1, math.ceil(n * (d or 1) * 8 / query_bytes))
-    chunk = F.pmod(F.xxhash64("machine_id"), F.lit(chunks))
-    cand = _score_chunk(queries.where(chunk == 0), patterns, k)
-    for c in range(1, chunks):
-        cand = cand.unionByName(_score_chunk(queries.where(chunk == c), patterns, k))
-    w = Window.partitionBy("machine_id").orderBy(F.desc("sim_key"), F.asc("pattern_id"))
-    return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select("machine_id", "rank", "pattern_id", "machine_type", "event_date", "reason_code",
-                    "downtime_hrs", F.col("sim").alias("similarity")))
+    place = F.pmod(F.xxhash64("machine_id"), F.lit(chunks))
+    best = None
+    for c in range(chunks):
+        scored, bc = _score_chunk(queries.where(place == c), patterns, k)
+        found = merge_levels(scored, k)
+        if chunks > 1:      # one chunk at a time: its result is stored before the next one is fetched
+            found = found.checkpoint()
+            bc.destroy()
+        best = found if best is None else best.unionByName(found)
+    return best.select("machine_id", "rank", "pattern_id", "machine_type", "event_date", "reason_code",
+                       "downtime_hrs", F.col("sim").alias("similarity"))

@@ -92,12 +92,13 @@ def merge_window(stored: DataFrame, batch: DataFrame, keys: list[str], date_col:
     return old.unionByName(new)
 
 
-def upsert_recommendations(existing: DataFrame, new: DataFrame) -> DataFrame:
+def upsert_recommendations(existing: DataFrame, new: DataFrame, highest: int | None = None) -> DataFrame:
     """Delete each machine's rows generated on the run day, insert the new rows with
-    rec_id continuing after the current maximum; every other day is kept."""
+    rec_id continuing after the current maximum; every other day is kept. With ``highest``, the
+    largest rec_id so far, ``existing`` need only hold the run days."""
     new_keys = new.select("machine_id", F.to_date("generated_at").alias("_d")).distinct()
     kept = (existing.withColumn("_d", F.to_date("generated_at"))
             .join(new_keys, ["machine_id", "_d"], "left_anti").select(*existing.columns))
-    start = existing.select(F.coalesce(F.max("rec_id"), F.lit(0)) + 1).scalar()
+    start = highest + 1 if highest is not None else existing.select(F.coalesce(F.max("rec_id"), F.lit(0)) + 1).scalar()
     ided = assign_ids(new, ["machine_id"], "rec_id", start)
     return kept.unionByName(ided.select(*existing.columns))

@@ -6,22 +6,30 @@ concurrent Spark jobs (up to ``threads``, like running several models at once);
 shared lazy inputs are built before they fan out. Run it from ``foreachBatch`` (see
 ``streaming.refresh``) for the new-data trigger: micro-batches run one after another, so
 two refreshes never overlap.
+
+Patterns, recommendations, weekly roll-up and queue are versioned (``plans.versions``): a write that
+breaks off leaves the table as it was. A run adds to the pattern store the events that it lacks and
+leaves all others, with their ids, where they are; the vector index is extended by the same rows.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plantmetrics.operators import retrieval, vector_index
 from plantmetrics.params import DEFAULT, Params
 from plantmetrics.plans import incremental as inc
+from plantmetrics.plans import versions
 from plantmetrics.plans.model import Model
 from plantmetrics.sources.readers import Source
 
 TABLES = ["mart_oee_daily", "mart_machine_health", "mart_production_summary", "failure_patterns",
           "maintenance_recommendations", "mart_maintenance_queue"]
+#: The index over the stored patterns; the day column that splits the recommendations.
+INDEX, DAY = "failure_pattern_index", "generated_date"
 
 
 def _together(threads: int, *steps) -> None:
@@ -57,29 +65,64 @@ def run(spark: SparkSession, source: Source, out_root: str, params: Params = DEF
     stored = Model(spark, source, params).using(
         oee_daily=spark.read.parquet(f"{out_root}/mart_oee_daily").select(*oee.OEE_COLUMNS),
         machine_health=spark.read.parquet(f"{out_root}/mart_machine_health").select(*health.HEALTH_COLUMNS))
-    recs_path = f"{out_root}/maintenance_recommendations"
-    first = not inc._exists(spark, recs_path)
-    existing = (stored.recommendations_raw if first
-                else spark.read.parquet(recs_path).select(*stored.recommendations_raw.columns))
-    # shared inputs of the next three steps, built once before they fan out
-    patterns, new_recs = stored.failure_patterns, stored.new_recommendations
+    recs_path, patterns_path, index_path = (f"{out_root}/{t}" for t in ("maintenance_recommendations", "failure_patterns", INDEX))
+    _grow_patterns(stored, patterns_path, index_path, full)
+    stored.using(failure_patterns=read(spark, out_root, "failure_patterns"),
+                 similar_failures=vector_index.search(stored.query_vectors, vector_index.Index(spark, index_path), params.top_k).rows)
+    new_recs = stored.new_recommendations
 
     def write_recs():
-        # the history is split by day; a run overwrites its own day only
-        merged = inc.upsert_recommendations(existing, new_recs).withColumn("generated_date", F.to_date("generated_at"))
-        if first:
-            inc.full_refresh(merged, recs_path, "generated_date")
+        # the history is split by day; a run reads and replaces its own days only
+        told = versions.pointer(spark, recs_path)
+        if told is None:
+            existing, highest = stored.recommendations_raw, None
         else:
-            days = new_recs.select(F.to_date("generated_at").alias("generated_date")).distinct()
-            (merged.join(days, "generated_date", "left_semi").checkpoint().write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("generated_date").parquet(recs_path))
+            days = [r[0] for r in new_recs.select(F.to_date("generated_at")).distinct().collect()]     # the run's day
+            existing = read(spark, out_root, "maintenance_recommendations", F.col(DAY).isin(days))
+            existing, highest = existing.select(*stored.recommendations_raw.columns), told["highest"]
+        merged = inc.upsert_recommendations(existing, new_recs, highest).withColumn(DAY, F.to_date("generated_at"))
+        versions.write_days(merged, recs_path, DAY, told is None, "rec_id")
 
     _together(
         threads,
-        lambda: stored.production_summary.write.mode("overwrite").parquet(f"{out_root}/mart_production_summary"),
-        lambda: patterns.write.mode("overwrite").parquet(f"{out_root}/failure_patterns"),
+        lambda: _commit(spark, out_root, "mart_production_summary", stored.production_summary),
         write_recs,
     )
-    stored.using(recommendations_raw=spark.read.parquet(recs_path))
-    stored.maintenance_queue.write.mode("overwrite").parquet(f"{out_root}/mart_maintenance_queue")
-    return {t: spark.read.parquet(f"{out_root}/{t}").count() for t in TABLES}
+    stored.using(recommendations_raw=read(spark, out_root, "maintenance_recommendations"))
+    _commit(spark, out_root, "mart_maintenance_queue", stored.maintenance_queue)
+    return {t: read(spark, out_root, t).count() for t in TABLES}
+
+
+def _commit(spark: SparkSession, out_root: str, name: str, rows: DataFrame) -> None:
+    versions.write_version(spark, f"{out_root}/{name}", lambda folder: rows.write.parquet(folder))
+
+
+def _grow_patterns(model: Model, path: str, index_path: str, full: bool) -> None:
+    """Number, embed and store the events that the store lacks (``full``: all anew), and index them."""
+    spark = model.spark
+    first = full or not versions.exists(spark, path)
+    fresh = model.numbered_history if first else retrieval.fresh_history(model.failure_history, versions.read(spark, path))
+    if first or not fresh.isEmpty():
+        rows = retrieval.failure_patterns(fresh, model.source.pattern_vectors, ("event_id",))
+        versions.write_version(spark, path, lambda folder: rows.write.parquet(folder), append=not first)
+    held = versions.read(spark, path)
+    if first or not versions.exists(spark, index_path):
+        vector_index.build(held.drop("description", "event_id"), index_path)
+        return
+    # also what an earlier run stored and broke off before it was indexed
+    last = vector_index.Index(spark, index_path).rows.agg(F.coalesce(F.max("pattern_id"), F.lit(0))).first()[0]
+    new = held.where(F.col("pattern_id") > last).drop("description", "event_id")
+    if not new.isEmpty():
+        vector_index.add(new, index_path)
+
+
+def read(spark: SparkSession, out_root: str, name: str, days=None) -> DataFrame:
+    """A table of the last run (``days``: of the recommendations' days that meet this expression)."""
+    path = f"{out_root}/{name}"
+    told = versions.pointer(spark, path)
+    if told is None:
+        return spark.read.parquet(path)
+    if "parts" in told:
+        return versions.read(spark, path)
+    schema = spark.read.parquet(max(versions.folders(spark, path))).schema
+    return versions.read_days(spark, path, schema, DAY, days)
