@@ -4,28 +4,28 @@ Greedy cooldown: walk a machine's events in time order and keep an event only if
 than ``cooldown`` has passed since the last *kept* event. A ``lag`` filter is wrong
 (it compares with the previous event, kept or not), and folding each machine's event
 list in one task does not survive a machine holding a third of all events. The batch
-form here is exact, has one path, and bounds every task by the cooldown's length:
+form here is exact, has one path, no loop over jobs, and the same few shuffles for any data:
 
 * Of rows at one (key, instant) only the first can be kept, so rows are first reduced to
   one node per (key, instant), with map-side combine: a burst of copies is one node.
-* Cut time into buckets of width T (the cooldown). Two kept events are > T apart, so a
-  bucket keeps at most one event; and an event in bucket b is always > T after anything
-  in bucket b-2 or earlier. So the kept event of bucket b is the first event of b if
-  nothing was kept in b-1, else the first event of b later than (kept of b-1) + T.
-* ``next(e)``: the first event of bucket b+1 at a later offset than e's, else the first
-  event of bucket b+2 (none if b+1 is empty, for then that event is a root). Every bucket is cut into CELLS cells. The later offset is looked for
-  in e's own cell (a window over one cell: at most T / CELLS instants), then among the first
-  events of the later cells of that bucket (a window over at most 2 * CELLS rows).
-* Kept events are exactly the ``next``-paths from the roots (the first event of a bucket
-  whose predecessor is empty), one path for each stretch of non-empty buckets. They are
-  marked by pointer doubling. Each level prunes the pointers to the nodes that a path of
-  that length can still use: those known as kept and those some pointer leads to. It ends
-  when no pointer is left.
+* A key's time is cut into blocks of SPAN cooldowns. What happens in a block depends on the past
+  through one number, the time of the last kept event before it. So each block is summed up as a map
+  from that entry to its exit, the last event kept in the block: a task streams the block's
+  events and carries along a walk from every event that an entry could make the first one, those
+  within a cooldown of the block's first event. Walks that reach one event go on as one; after SPAN
+  steps few are left, and first events with one exit are one row of the map.
+* One pass over the maps of a key, in time order, tells every block its entry.
+* A second walk over each block, from its entry, gives the kept events.
+
+A task holds the walks of one block (at most the instants of one key in one cooldown) and one
+Arrow batch, however many events the block has.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantmetrics.operators.ids import assign_ids
@@ -51,8 +51,8 @@ def epoch_micros(ts: Column) -> Column:
     return ntz_micros(ts)
 
 
-#: Cells per bucket of one cooldown's width.
-CELLS = 4096
+#: Cooldowns per block.
+SPAN = 512
 
 
 def greedy_cooldown(events: DataFrame, key: str, ts: str, tiebreak: list[str], cooldown_s: int) -> DataFrame:
@@ -67,52 +67,192 @@ def greedy_cooldown(events: DataFrame, key: str, ts: str, tiebreak: list[str], c
     tagged = events.withColumn("_rid", F.monotonically_increasing_id()).checkpoint()
     nodes = (tagged.where(F.col(ts).isNotNull()).groupBy(F.col(key).alias("k"), epoch_micros(F.col(ts)).alias("t"))
              .agg(F.min(F.struct(*tiebreak, "_rid"))["_rid"].alias("id")))
-    kept = _kept_ids(nodes, T).select(F.col("id").alias("_rid")) if T > 0 else nodes.select(F.col("id").alias("_rid"))
+    # stored, so that sorts and joins further on don't walk again
+    kept = _kept_ids(nodes, T).select(F.col("id").alias("_rid")).checkpoint() if T > 0 else nodes.select(F.col("id").alias("_rid"))
     untimed = tagged.where(F.col(ts).isNull()).select("_rid")
     return tagged.join(kept.unionByName(untimed), "_rid", "left_semi").drop("_rid")
 
 
+def _pieces(batches, *names):
+    """Batches cut at the edges of the groups ``g``: (kind, piece, columns). Groups that lie whole inside a
+    batch come together as "whole"; the first and last of a batch, which may go on in another, one by one
+    as "new" or "more"."""
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        g, *cols = (b.column(n).to_numpy(zero_copy_only=False) for n in ("g", *names))
+        edges = np.flatnonzero(np.r_[True, g[1:] != g[:-1], True])
+        parts = list(zip(edges[:-1], edges[1:], strict=True))
+        if len(parts) > 2:
+            parts[1:-1] = [(parts[1][0], parts[-2][1])]
+        for n, (i, j) in enumerate(parts):
+            kind = "whole" if 0 < n < len(parts) - 1 else "more" if last is not None and g[i] == last else "new"
+            yield kind, b.slice(i, j - i), [g[i:j], *(c[i:j] for c in cols)]
+            last = g[j - 1]
+
+
+def _axis(g: np.ndarray, t: np.ndarray, T: int):
+    """Sorted times of whole groups on one axis, the groups more than a cooldown apart: (row where each group
+    begins, group of each row, times, next event after a cooldown or -1)."""
+    begin = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+    size = np.diff(np.r_[begin, len(g)])
+    of = np.repeat(np.arange(len(begin)), size)
+    length = t[begin + size - 1] - t[begin] + 2 * T + 2
+    base = np.r_[0, np.cumsum(length)[:-1]]
+    x = base[of] + (t - t[begin][of])
+    then = np.searchsorted(x, x + T, side="right")
+    then[(then == len(x)) | (of[np.minimum(then, len(x) - 1)] != of)] = -1
+    return begin, of, x, then
+
+
+def _walk(t: np.ndarray, last: np.ndarray, T: int) -> np.ndarray:
+    """Take walks that stand at ``last`` as far as they go through the sorted times ``t``."""
+    while True:
+        at = np.searchsorted(t, last + T, side="right")
+        on = at < len(t)
+        if not on.any():
+            return last
+        last[on] = t[at[on]]
+
+
+def _map_rows(T: int):
+    """Per block: first events (the last of those with one exit) and exits."""
+    def run(batches):
+        key = starts = None
+
+        gathered, rows = [], 0
+
+        def told():
+            exits = walks[of]
+            last = np.flatnonzero(np.r_[exits[1:] != exits[:-1], True])
+            gathered.append((key, len(last), block, starts[last], exits[last]))
+            return len(last)
+
+        def batch():
+            keys = pa.concat_arrays([pa.concat_arrays([k] * n) for k, n, *_ in gathered])
+            blocks = np.repeat([x[2] for x in gathered], [x[1] for x in gathered])
+            out = pa.record_batch([keys, pa.array(blocks), *(pa.array(np.concatenate([x[i] for x in gathered])) for i in (3, 4))],
+                                  names=["k", "block", "start", "exit"])
+            gathered.clear()
+            return out
+
+        for kind, b, (g, t, blocks) in _pieces(batches, "t", "block"):
+            if kind == "whole":
+                begin, group, x, then = _axis(g, t, T)
+                exits = np.where(then < 0, np.arange(len(t)), then)
+                while (exits[exits] != exits).any():
+                    exits = exits[exits]
+                # up to a cooldown after the block's first event, or the next one after that
+                late = x - x[begin][group] > T
+                first = np.flatnonzero(~late | (np.r_[False, ~late[:-1]] & np.r_[False, group[1:] == group[:-1]]))
+                last = np.r_[(exits[first][1:] != exits[first][:-1]) | (group[first][1:] != group[first][:-1]), True]
+                first = first[last]
+                yield pa.record_batch([b.column("k").take(pa.array(first)), pa.array(blocks[first]), pa.array(t[first]), pa.array(t[exits[first]])],
+                                      names=["k", "block", "start", "exit"])
+                continue
+            if kind == "new":
+                if starts is not None:
+                    rows += told()
+                    if rows > 10_000:
+                        yield batch()
+                        rows = 0
+                key, block, begin, beyond = b.column("k").slice(0, 1), blocks[0], t[0], False
+                starts, walks, of = (np.zeros(0, dtype=np.int64) for _ in range(3))
+            # an entry comes before the first event: up to a cooldown after it, or the next one after that
+            more = t[:0] if beyond else t[:np.searchsorted(t, begin + T, side="right") + 1]
+            beyond = beyond or bool(len(more)) and more[-1] > begin + T
+            of = np.r_[of, len(walks) + np.arange(len(more))]
+            starts, walks = np.r_[starts, more], _walk(t, np.r_[walks, more], T)
+            walks, same = np.unique(walks, return_inverse=True)
+            of = same[of]
+        if starts is not None:
+            told()
+            yield batch()
+    return run
+
+
+def _entries(T: int):
+    """One pass over a key's maps: each block with the last kept time before it (null: none)."""
+    def run(batches):
+        x, block, done = None, None, True
+        for b in batches:
+            blocks, entries, at = [], [], []
+            cols = (b.column(n).to_pylist() for n in ("g", "block", "start", "exit"))
+            for i, (g, blk, start, out) in enumerate(zip(*cols, strict=True)):
+                if block is None or g != block[0]:
+                    x = None
+                if block != (g, blk):
+                    block, done = (g, blk), False
+                    blocks.append(blk)
+                    entries.append(x)
+                    at.append(i)
+                if not done and (x is None or start > x + T):
+                    x, done = out, True
+            yield pa.record_batch([b.column("k").take(pa.array(at, pa.int64())), pa.array(blocks, pa.int64()),
+                                   pa.array(entries, pa.int64())], names=["k", "block", "t"])
+    return run
+
+
+def _kept_walk(T: int):
+    """The kept events of each block; its entry comes first (``entry`` 1, or 2 if nothing was kept before)."""
+    def run(batches):
+        x, out, held = None, [], 0
+        for kind, _, (g, t, ids, entry) in _pieces(batches, "t", "id", "entry"):
+            if kind == "whole":
+                # a block's first row is its entry; one that is out of reach, or none, stands just beyond it
+                head = np.flatnonzero(entry > 0)
+                beyond = t[np.minimum(head + 1, len(t) - 1)] - T - 1
+                t = t.copy()
+                t[head] = np.where(entry[head] == 2, beyond, np.maximum(t[head], beyond))
+                at = _axis(g, t, T)[3]
+                step = at[head]
+                while len(step := step[step >= 0]):
+                    out.append(ids[step].astype(np.int64))
+                    held += len(step)
+                    step = at[step]
+            elif kind == "new":
+                x = None if entry[0] == 2 else t[0]
+                t, ids = t[1:], ids[1:]
+            if kind == "whole":
+                if held > 10_000:
+                    yield pa.record_batch([pa.array(np.concatenate(out))], names=["id"])
+                    out, held = [], 0
+                continue
+            then = np.searchsorted(t, t + T, side="right").tolist()
+            kept, at = [], 0 if x is None else int(np.searchsorted(t, x + T, side="right"))
+            while at < len(t):
+                kept.append(at)
+                at = then[at]
+            if kept:
+                x = t[kept[-1]]
+                out.append(ids[kept].astype(np.int64))
+                held += len(kept)
+            if held > 10_000:
+                yield pa.record_batch([pa.array(np.concatenate(out))], names=["id"])
+                out, held = [], 0
+        if out:
+            yield pa.record_batch([pa.array(np.concatenate(out))], names=["id"])
+    return run
+
+
 def _kept_ids(nodes: DataFrame, T: int) -> DataFrame:
     """``id`` of the kept ones of ``nodes(k, t, id)``, one node per (k, t)."""
-    offset = F.pmod("t", F.lit(T))
-    ev = nodes.select("k", "id", F.expr(f"(t - pmod(t, {T})) div {T}").alias("b"), offset.alias("off"),
-                      F.expr(f"cast(pmod(t, {T}) div {-(-T // CELLS)} as int)").alias("c")).checkpoint()
-
-    # own cell: each event's offset, looked up among the events of the next bucket's same cell
-    later = Window.partitionBy("k", "b", "c").orderBy(F.desc("off"), F.desc("probe")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    met = ev.withColumn("probe", F.lit(0)).unionByName(ev.withColumn("b", F.col("b") + 1).withColumn("probe", F.lit(1)))
-    met = met.withColumn("nxt", F.last(F.when(F.col("probe") == 0, F.col("id")), ignorenulls=True).over(later))
-    met = met.where("probe = 1").select("id", "k", "b", "c", "nxt")
-
-    # later cells of that bucket, else the first event of the bucket after it: per probed cell
-    first = F.min_by("id", "off").alias("f")
-    cells = ev.groupBy("k", "b", "c").agg(first)
-    buckets = ev.groupBy("k", "b").agg(first)
-    asked = met.where("nxt is null").select("k", "b", "c").distinct()
-    both = cells.withColumn("probe", F.lit(0)).unionByName(
-        asked.withColumn("f", F.lit(None).cast("long")).withColumn("probe", F.lit(1)))
-    beyond = Window.partitionBy("k", "b").orderBy(F.desc("c"), F.desc("probe")).rowsBetween(Window.unboundedPreceding, -1)
-    far = both.withColumn("some", F.max(F.col("probe") == 0).over(Window.partitionBy("k", "b"))).withColumn(
-        "f", F.last(F.when(F.col("probe") == 0, F.col("f")), ignorenulls=True).over(beyond)).where("probe = 1")
-    after = buckets.select(F.col("k").alias("ak"), (F.col("b") - 1).alias("ab"), F.col("f").alias("af"))
-    far = far.join(after, F.col("k").eqNullSafe(F.col("ak")) & (F.col("b") == F.col("ab")), "left").select(
-        F.col("k").alias("fk"), F.col("b").alias("fb"), F.col("c").alias("fc"),
-        F.coalesce("f", F.when(F.col("some"), F.col("af"))).alias("far"))
-    jump = met.join(far, F.col("k").eqNullSafe(F.col("fk")) & (F.col("b") == F.col("fb")) & (F.col("c") == F.col("fc")), "left")
-    jump = jump.select("id", F.coalesce("nxt", "far").alias("nxt")).where("nxt is not null").checkpoint()
-
-    before = buckets.select(F.col("k").alias("pk"), (F.col("b") + 1).alias("pb"))
-    kept = buckets.join(before, F.col("k").eqNullSafe(F.col("pk")) & (F.col("b") == F.col("pb")), "left_anti").select(
-        F.col("f").alias("id")).checkpoint()
-    while not jump.isEmpty():
-        # kept: all at fewer than 2 ** level steps from a root; jump: 2 ** level steps
-        useful = kept.unionByName(jump.select(F.col("nxt").alias("id")))
-        more = jump.join(kept, "id", "left_semi").select(F.col("nxt").alias("id"))
-        then = jump.select(F.col("id").alias("nxt"), F.col("nxt").alias("then"))
-        jump = jump.join(useful, "id", "left_semi").join(then, "nxt").select("id", F.col("then").alias("nxt")).checkpoint()
-        kept = kept.unionByName(more).checkpoint()
-    return kept
+    kind = nodes.schema["k"].dataType.simpleString()
+    # blocks of 1e14 microseconds at most, so that those of one Arrow batch fit on one axis
+    width = max(1, min(SPAN, 10 ** 14 // T)) * T
+    block = F.expr(f"(t - pmod(t, {width})) div {width}")
+    ev = nodes.select("k", block.alias("block"), "t", "id")
+    of_block = F.xxhash64(F.col("k").isNull(), "k", "block").alias("g")
+    maps = (ev.select("k", "block", "t", of_block).repartition("k", "block").sortWithinPartitions("k", "block", "t")
+            .mapInArrow(_map_rows(T), f"k {kind}, block long, start long, exit long"))
+    maps = maps.withColumn("g", F.xxhash64(F.col("k").isNull(), "k")).repartition("k").sortWithinPartitions("k", "block", "start")
+    entries = maps.mapInArrow(_entries(T), f"k {kind}, block long, t long")
+    entries = entries.select("k", "block", F.coalesce("t", F.lit(0).cast("long")).alias("t"), F.lit(-1).cast("long").alias("id"),
+                             F.when(F.col("t").isNull(), 2).otherwise(1).alias("entry"))
+    both = ev.withColumn("entry", F.lit(0)).unionByName(entries).select("*", of_block)
+    return (both.repartition("k", "block").sortWithinPartitions("k", "block", F.desc("entry"), "t")
+            .mapInArrow(_kept_walk(T), "id long"))
 
 
 def failure_reason(flags: dict[str, Column] | None = None) -> Column:

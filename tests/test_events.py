@@ -1,10 +1,14 @@
 """Greedy cooldown: fixtures, strictness, and a property test against a Python walk."""
 
 import datetime as dt
+import random
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from plantmetrics.operators import events
 from plantmetrics.operators.events import failure_reason, greedy_cooldown
 
 BASE = dt.datetime(2024, 1, 1)
@@ -87,6 +91,30 @@ def test_dense_long_run_matches_walk(spark):
     assert kept(spark, rows) == walk(rows, 7200)
 
 
+@pytest.mark.parametrize(("span", "records"), [(1, 3), (2, 5), (7, 10000)])
+def test_blocks_compose_across_batches(spark, monkeypatch, span, records):
+    """Hot, dense and null keys, cut into many short blocks, streamed in tiny batches."""
+    r = random.Random(span)
+    monkeypatch.setattr(events, "SPAN", span)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+    try:
+        rows = [(1, i, BASE + dt.timedelta(seconds=r.randrange(40000))) for i in range(900)]
+        rows += [(None, 2000 + i, BASE + dt.timedelta(seconds=r.choice([1, 50, 900]) * i)) for i in range(60)]
+        rows += [(3, 3000 + i, BASE - dt.timedelta(days=r.randrange(3), seconds=r.randrange(3000))) for i in range(80)]
+        assert kept(spark, rows, 600) == walk(rows, 600)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_shuffles_do_not_depend_on_the_stretch(spark):
+    """One plan without a loop over jobs: the same exchanges for a short and a long run of events."""
+    def exchanges(n):
+        nodes = spark.range(n).select(F.lit(1).alias("k"), (F.col("id") * 420_000_000).alias("t"), "id")
+        plan = events._kept_ids(nodes, 600_000_000)._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange"), plan.count("MapInArrow")
+    assert exchanges(10) == exchanges(30000) == (3, 3)      # the blocks' entries, then the walk: one plan, no loop over jobs
+
+
 def test_failure_reason_first_flag_wins(spark):
     df = spark.createDataFrame([(1, 0, 1, 0, 1, 0), (2, 1, 0, 1, 0, 0), (3, 0, 0, 0, 0, 0), (4, 0, 0, 0, 0, 1),
                                 (5, 1, 1, 1, 1, 1)],
