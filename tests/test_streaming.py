@@ -1,6 +1,7 @@
 """Stream = batch: daily health, cooldown (files in any order, restarts, repeats), refresh trigger."""
 
 import datetime as dt
+import random
 import tempfile
 
 from plant_support import SF
@@ -90,6 +91,32 @@ def test_cooldown_stream_clears_a_date_that_loses_its_kept_event(spark):
     assert got == [[1, 2, 3], [2, 3, 4], [2, 3, 4, 5]]
 
 
+def test_late_rows_rewrite_the_days_up_to_the_meeting_point(spark):
+    """Random lateness, null and several keys: equal to the batch after every micro-batch; a row that is
+    weeks late rewrites a few dates only, and a repeated micro-batch none."""
+    r, begin = random.Random(5), dt.datetime(2024, 1, 1)
+    schema = "machine_id int, event_id long, started_at timestamp_ntz"
+    rows = [(r.choice([1, 2, None]), i, begin + dt.timedelta(minutes=r.randrange(45 * 1440))) for i in range(900)]
+    early = sorted((x for x in rows if x[1] % 9), key=lambda x: x[2])
+    late = [x for x in rows if x[1] % 9 == 0]
+    root, seen = tempfile.mkdtemp(prefix="pm-late-"), []
+    feed = [early[:500], early[500:], late[:40], late[40:] + [(1, 5000, None)]]
+    one = (1, 6000, begin + dt.timedelta(days=6, hours=5, minutes=1))
+    feed += [[one], [(1, 6001, begin + dt.timedelta(days=44, hours=23, minutes=59))]]
+    counts = []
+    for epoch, batch in enumerate(feed):
+        seen += batch
+        df = spark.createDataFrame(batch, schema)
+        counts.append(cooldown_stream.update_cooldown(df, epoch, root, "machine_id", "started_at", ["event_id"], 3 * 3600))
+        if epoch in (1, 3, 4, 5):
+            want = greedy_cooldown(spark.createDataFrame(seen, schema), "machine_id", "started_at", ["event_id"], 3 * 3600)
+            got = cooldown_stream.kept_events(spark, root)
+            assert sorted(x.event_id for x in got.collect()) == sorted(x.event_id for x in want.collect()), epoch
+    assert counts[4] <= 6 and counts[5] <= 2, counts
+    again = cooldown_stream.update_cooldown(spark.createDataFrame([one], schema), 4, root, "machine_id", "started_at", ["event_id"], 3 * 3600)
+    assert again == 0
+
+
 def test_refresh_trigger_runs_steps_once_per_new_batch(spark):
     src = DriverTables(spark, SF).table("sensor_readings")
     root = tempfile.mkdtemp(prefix="pm-refresh-")
