@@ -627,6 +627,9 @@ q("failure_patterns", f"""SELECT pattern_id, machine_id, machine_type, event_dat
  description, CAST(len(embedding) AS INTEGER) AS embedding_dims FROM pattern_store""")
 q("similar_failures", f"""SELECT machine_id, rank, pattern_id, machine_type, event_date, reason_code, {dbl('downtime_hrs')},
  round(similarity, 6) AS similarity FROM similar_top""")
+QUERIES["similar_failures_indexed"] = QUERIES["similar_failures"]
+q("grown_pattern_ids", """SELECT event_id, CAST(row_number() OVER (ORDER BY event_id % 5 = 0, started_at, machine_id, event_id) AS BIGINT)
+ AS pattern_id FROM failure_history""")
 q("pattern_preview", f"""SELECT pattern_id, machine_type, event_date, reason_code, {dbl('downtime_hrs')},
  substr(description, 1, 120) AS description_preview FROM pattern_store ORDER BY event_date DESC, pattern_id DESC LIMIT 10""")
 q("embedding_dims", """SELECT pattern_id,

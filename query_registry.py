@@ -157,6 +157,43 @@ def _q_similar_failures(spark, sf):
     return s.withColumn("similarity", F.round("similarity", 6))
 
 
+def _fresh_folder(spark, name):
+    import uuid
+
+    from plantmetrics.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("similar_failures_indexed")
+def _q_similar_failures_indexed(spark, sf):
+    """REC-6/JN-12/SRT-5 through the stored vector index: patterns of the first stoppages indexed, those of
+    later ones (every fifth event) added, then searched list by list."""
+    from plantmetrics.operators import vector_index
+    m, path = model(spark, sf), _fresh_folder(spark, "pattern_index")
+    p = m.failure_patterns.join(m.numbered_history.select("pattern_id", "event_id"), "pattern_id").drop("description")
+    late = F.col("event_id") % 5 == 0
+    vector_index.build(p.where(~late).drop("event_id"), path)
+    vector_index.add(p.where(late).drop("event_id"), path)
+    s = vector_index.search(m.query_vectors, vector_index.Index(spark, path), m.params.top_k).rows
+    return s.withColumn("similarity", F.round("similarity", 6))
+
+
+@register("grown_pattern_ids")
+def _q_grown_pattern_ids(spark, sf):
+    """REC-4/FN-K1: the pattern store after late stoppages (every fifth event) have arrived in a second run: the
+    ids of the first run stay, new ones go on after them."""
+    from plantmetrics.operators import retrieval
+    from plantmetrics.operators.ids import assign_ids
+    from plantmetrics.plans import versions
+    path, history = _fresh_folder(spark, "pattern_store"), model(spark, sf).failure_history
+    late = F.col("event_id") % 5 == 0
+    first = assign_ids(history.where(~late), ["started_at", "machine_id", "event_id"], "pattern_id").select("event_id", "pattern_id")
+    versions.write_version(spark, path, lambda folder: first.write.parquet(folder))
+    fresh = retrieval.fresh_history(history, versions.read(spark, path)).select("event_id", "pattern_id")
+    versions.write_version(spark, path, lambda folder: fresh.write.parquet(folder), append=True)
+    return versions.read(spark, path)
+
+
 @register("pattern_preview")
 def _q_pattern_preview(spark, sf):
     """FN-S2/SRT-3: ten newest patterns with a 120-character description preview."""

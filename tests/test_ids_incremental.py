@@ -106,3 +106,15 @@ def test_replaced_table_is_empty(spark, tmp_path):
         create_table(spark, name, rows.schema, path, replace=True, partition_by=parts)
         assert spark.table(name).count() == 0
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_bulk_insert_appends_rows_and_days(spark):
+    root = tempfile.mkdtemp(prefix="pm-append-")
+    one = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, None)], "x int, day date")
+    two = spark.createDataFrame([(3, dt.date(2024, 1, 2)), (1, dt.date(2024, 1, 1))], "x int, day date")
+    for name, day in (("plain", None), ("days", "day")):
+        for rows in (one, two):
+            inc.append_rows(rows, f"{root}/{name}", day)
+        got = spark.read.parquet(f"{root}/{name}").select("x", "day")
+        assert sorted(map(str, got.collect())) == sorted(map(str, one.union(two).collect()))
+    assert spark.read.parquet(f"{root}/days").where("day = date'2024-01-01'").count() == 2
