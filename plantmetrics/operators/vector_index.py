@@ -32,8 +32,8 @@ from plantmetrics.plans import versions
 from plantmetrics.session import ensure_checkpoint_dir
 
 LISTS, SAMPLE, ROUNDS = 256, 20_000, 8
-#: Patterns a list holds on average; small stores have fewer lists.
-LIST_ROWS = 64
+#: Sample rows a list is fitted on at least; small stores have fewer lists.
+LIST_ROWS = 256
 QUERY_BYTES = 64 * 1024 * 1024
 GROUPS = 64
 #: Similarities are compared as whole billionths; a bound is widened by so many.
@@ -49,14 +49,15 @@ def unit_rows(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.divide(mat, norms, out=np.zeros_like(mat), where=norms > 0)
 
 
-def fit_centres(patterns: DataFrame, lists: int = LISTS, sample: int = SAMPLE, rounds: int = ROUNDS) -> np.ndarray:
+def fit_centres(patterns: DataFrame, lists: int = LISTS, sample: int = SAMPLE, list_rows: int = LIST_ROWS,
+                rounds: int = ROUNDS) -> np.ndarray:
     """Unit centres by spherical k-means on a bounded sample (the least hashes of ``pattern_id``)."""
     table = patterns.where("embedding is not null").select("embedding", F.xxhash64("pattern_id").alias("h")).orderBy("h").limit(sample).toArrow()
     x = unit_rows(table.column("embedding"))
     x = x[x.any(1)]
     if not len(x):
         return np.zeros((0, x.shape[1]))
-    k = max(1, min(lists, len(x) // LIST_ROWS))
+    k = max(1, min(lists, len(x) // list_rows))
     # spread the first centres: each next one is the sample row least covered by those before
     chosen, cover = [0], x @ x[0]
     for _ in range(k - 1):
@@ -111,9 +112,9 @@ def _write(patterns: DataFrame, path: str, centres: np.ndarray, before: DataFram
     versions.write_version(spark, path, write, append=before is not None)
 
 
-def build(patterns: DataFrame, path: str, lists: int = LISTS, sample: int = SAMPLE) -> None:
+def build(patterns: DataFrame, path: str, lists: int = LISTS, sample: int = SAMPLE, list_rows: int = LIST_ROWS) -> None:
     """Write the index of ``patterns`` (with ``pattern_id``, ``embedding`` and payload) under ``path``, in place of what was there."""
-    _write(patterns, path, fit_centres(patterns, lists, sample), None)
+    _write(patterns, path, fit_centres(patterns, lists, sample, list_rows), None)
 
 
 def add(patterns: DataFrame, path: str) -> None:

@@ -66,7 +66,11 @@ def run(spark: SparkSession, source: Source, out_root: str, params: Params = DEF
         oee_daily=spark.read.parquet(f"{out_root}/mart_oee_daily").select(*oee.OEE_COLUMNS),
         machine_health=spark.read.parquet(f"{out_root}/mart_machine_health").select(*health.HEALTH_COLUMNS))
     recs_path, patterns_path, index_path = (f"{out_root}/{t}" for t in ("maintenance_recommendations", "failure_patterns", INDEX))
-    _grow_patterns(stored, patterns_path, index_path, full)
+    _together(
+        threads,
+        lambda: _commit(spark, out_root, "mart_production_summary", stored.production_summary),
+        lambda: _grow_patterns(stored, patterns_path, index_path, full),
+    )
     stored.using(failure_patterns=read(spark, out_root, "failure_patterns"),
                  similar_failures=vector_index.search(stored.query_vectors, vector_index.Index(spark, index_path), params.top_k).rows)
     new_recs = stored.new_recommendations
@@ -83,11 +87,7 @@ def run(spark: SparkSession, source: Source, out_root: str, params: Params = DEF
         merged = inc.upsert_recommendations(existing, new_recs, highest).withColumn(DAY, F.to_date("generated_at"))
         versions.write_days(merged, recs_path, DAY, told is None, "rec_id")
 
-    _together(
-        threads,
-        lambda: _commit(spark, out_root, "mart_production_summary", stored.production_summary),
-        write_recs,
-    )
+    write_recs()
     stored.using(recommendations_raw=read(spark, out_root, "maintenance_recommendations"))
     _commit(spark, out_root, "mart_maintenance_queue", stored.maintenance_queue)
     return {t: read(spark, out_root, t).count() for t in TABLES}

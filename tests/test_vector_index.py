@@ -46,7 +46,7 @@ def clustered(seed, n, dims=12, groups=9):
 
 def built(spark, vecs, lists=9):
     path = tempfile.mkdtemp(prefix="pm-index-")
-    vector_index.build(patterns(spark, vecs).repartition(3), path, lists)
+    vector_index.build(patterns(spark, vecs).repartition(3), path, lists, list_rows=20)
     return path
 
 
@@ -110,7 +110,7 @@ def test_patterns_added_later_are_found_and_written_alone(spark):
     vecs = [v for v in vecs if v is not None]
     both = patterns(spark, vecs)
     path = tempfile.mkdtemp(prefix="pm-index-")
-    vector_index.build(both.where("pattern_id <= 200"), path, 9)
+    vector_index.build(both.where("pattern_id <= 200"), path, 9, list_rows=20)
     first = versions.folders(spark, path)
     vector_index.add(both.where("pattern_id > 200"), path)
     assert versions.folders(spark, path)[:1] == first
