@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 
 from plantmetrics.operators.events import greedy_cooldown
 from plantmetrics.plans.incremental import _exists
-from plantmetrics.streaming.store import land, landed, replace_days
+from plantmetrics.streaming.store import PENDING, fold, land, landed, last_day, replace_days
 
 
 def update_cooldown(batch: DataFrame, epoch_id: int, root: str, key: str, ts: str, tiebreak: list[str],
-                    cooldown_s: int) -> int:
+                    cooldown_s: int, pending: int = PENDING) -> int:
     """Store a micro-batch of events under ``root`` and redo the cooldown where it can have changed; returns
-    the number of dates written.
+    the number of dates written. Once ``pending`` older micro-batches wait in the store, they are folded
+    into parts of days first.
 
     A date that is written always gets a row in the table (``is_kept`` false if it is only there to
     say so), so that a date whose last kept event goes is overwritten too."""
@@ -33,17 +34,21 @@ def update_cooldown(batch: DataFrame, epoch_id: int, root: str, key: str, ts: st
         return 0
     spark, columns = batch.sparkSession, batch.columns
     dated = batch.withColumn("event_date", F.to_date(ts))
-    new = land(dated, f"{root}/events", epoch_id, "event_date")
+    store = f"{root}/events"
+    fold(spark, store, dated.schema, "event_date", epoch_id, pending)
+    new = land(dated, store, epoch_id, "event_date")
     low, high, untimed = new.agg(F.min("event_date"), F.max("event_date"), F.count_if(F.col("event_date").isNull())).first()
-    events = landed(spark, f"{root}/events", dated.schema)
     written = 0
     if low is not None:
-        changed = _resynchronised(new, events, _stored(spark, root, dated), key, ts, tiebreak, cooldown_s, low, high, columns)
+        def events(first, last):
+            return landed(spark, store, dated.schema, "event_date", first, last, undated=False)
+        changed = _resynchronised(new, events, last_day(spark, store, "event_date"), _stored(spark, root, dated), key, ts, tiebreak, cooldown_s, low, high, columns)
         written += changed.select("event_date").distinct().count()
         if written:
             replace_days(changed, f"{root}/kept_events", "event_date")
     if untimed:       # nothing shows these to fall into a cooldown
-        rows = events.where("event_date is null").withColumn("is_kept", F.lit(True))
+        nothing = (dt.date.max, dt.date.min)
+        rows = landed(spark, store, dated.schema, "event_date", *nothing).withColumn("is_kept", F.lit(True))
         replace_days(rows.select(*columns, "event_date", "is_kept"), f"{root}/kept_events", "event_date")
         written += 1
     return written
@@ -55,20 +60,20 @@ def _stored(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
     return spark.createDataFrame([], like.withColumn("is_kept", F.lit(True)).schema)
 
 
-def _resynchronised(new: DataFrame, events: DataFrame, stored: DataFrame, key: str, ts: str, tiebreak: list[str], cooldown_s: int,
+def _resynchronised(new: DataFrame, events, last: dt.date, stored: DataFrame, key: str, ts: str, tiebreak: list[str], cooldown_s: int,
                     low, high, columns: list[str]) -> DataFrame:
-    """All rows of the dates that differ from the stored table once the new events are in it."""
+    """All rows of the dates that differ from the stored table once the new events are in it;
+    ``events(first, last)`` are those of these dates."""
     day, same = F.col("event_date"), F.col(key).eqNullSafe(F.col("_k"))
     keys = new.where(F.col(ts).isNotNull()).groupBy(F.col(key).alias("_k")).agg(
         F.min(ts).alias("_lo"), F.max(ts).alias("_hi")).checkpoint()
-    last = events.agg(F.max("event_date")).first()[0]
     reach, span = cooldown_s // 86400 + 1, 1
     while True:
         end = high + dt.timedelta(days=span)
         before = stored.where((day >= F.lit(low) - F.expr(f"interval {reach} days")) & (day <= F.lit(high)) & F.col("is_kept"))
         seeds = before.join(keys, same).where(F.col(ts) < F.col("_lo")).groupBy(key).agg(F.max(ts).alias(ts)).withColumn("is_kept", F.lit(False))
         window = day.between(low, end)
-        walked = events.where(window).join(keys, same).where(F.col(ts) >= F.col("_lo")).select(*columns, "event_date")
+        walked = events(low, end).join(keys, same).where(F.col(ts) >= F.col("_lo")).select(*columns, "event_date")
         walked = walked.withColumn("is_kept", F.lit(True)).unionByName(seeds, allowMissingColumns=True)
         kept = greedy_cooldown(walked, key, ts, tiebreak, cooldown_s).where("is_kept").checkpoint()
         old = stored.where(window & F.col("is_kept"))

@@ -1,17 +1,22 @@
 """Stream = batch: daily health, cooldown (files in any order, restarts, repeats), refresh trigger."""
 
 import datetime as dt
+import os
 import random
 import tempfile
 
+import pytest
 from plant_support import SF
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from plantmetrics.operators import health, staging
 from plantmetrics.operators.events import greedy_cooldown
+from plantmetrics.plans import versions
 from plantmetrics.sources.driver import DriverTables
 from plantmetrics.sources.schemas import SENSOR_READINGS
 from plantmetrics.streaming import cooldown_stream, health_stream, ingest, refresh
+from plantmetrics.streaming.store import fold, land, landed, last_day
 
 
 def _feed(df, files):
@@ -140,3 +145,78 @@ def test_ingest_appends_staged_rows(spark):
     q = ingest.start_ingest(ingest.readings_stream(spark, f"{root}/in"), f"{root}/out", f"{root}/ckpt")
     q.awaitTermination(120)
     assert spark.read.parquet(f"{root}/out").count() == src.count()
+
+
+def _folders(root, table):
+    found = [d for d, _, files in os.walk(f"{root}/{table}") if any(f.endswith(".parquet") for f in files)]
+    per_day = {}
+    for d in found:
+        per_day.setdefault(os.path.basename(d), []).append(os.path.basename(os.path.dirname(d)))
+    return per_day
+
+
+def test_folded_store_keeps_few_folders_a_day_and_equals_the_batch(spark):
+    """Micro-batches for three dates (and none), folded two at a time; two are repeated."""
+    r, begin = random.Random(3), dt.datetime(2024, 1, 1)
+    schema = "machine_id int, event_id long, started_at timestamp_ntz"
+    root, rows = tempfile.mkdtemp(prefix="pm-fold-"), []
+    dated = StructType([*spark.createDataFrame([], schema).schema.fields, StructField("event_date", DateType())])
+    store = f"{root}/events"
+
+    def arrive(epoch, batch):
+        df = spark.createDataFrame(batch, schema).withColumn("event_date", F.to_date("started_at"))
+        folded = fold(spark, store, dated, "event_date", epoch, 2)
+        land(df, store, epoch, "event_date")
+        return folded
+
+    folded = 0
+    for epoch in range(36):
+        batch = [(1, 10 * epoch + i, None if r.random() < 0.1 else begin + dt.timedelta(minutes=r.randrange(3 * 1440))) for i in range(4)]
+        rows += batch
+        folded += arrive(epoch, batch)
+        if epoch in (20, 31):
+            folded += arrive(epoch, batch)
+    got = landed(spark, store, dated, "event_date").collect()
+    assert sorted(x.event_id for x in got) == sorted(x[1] for x in rows)
+    assert folded >= 33 and last_day(spark, store, "event_date") == dt.date(2024, 1, 3)
+    days = _folders(root, "events")
+    assert len(days) == 4 and max(map(len, days.values())) <= 3 * 3 + 3 + 4, days      # levels, waiting, replaced last
+    one = landed(spark, store, dated, "event_date", dt.date(2024, 1, 2), dt.date(2024, 1, 2), undated=False)
+    assert sorted(x.event_id for x in one.collect()) == sorted(x[1] for x in rows if x[2] and x[2].day == 2)
+    assert all("event_date=2024-01-02" in f for f in one.inputFiles())
+    # a repeat of what has been folded is not stored twice
+    land(spark.createDataFrame(rows[:4], schema).withColumn("event_date", F.to_date("started_at")), store, 0, "event_date")
+    assert landed(spark, store, dated, "event_date").count() == len(rows)
+
+
+def test_a_fold_that_breaks_off_changes_nothing(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="pm-broken-fold-")
+    df = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, None)], "event_id long, event_date date")
+    for epoch in range(3):
+        land(df, root, epoch, "event_date")
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(versions, "_commit", fail)
+        with pytest.raises(OSError):
+            fold(spark, root, df.schema, "event_date", 3, 2)
+    assert landed(spark, root, df.schema, "event_date").count() == 6
+    assert fold(spark, root, df.schema, "event_date", 3, 2) == 3
+    assert landed(spark, root, df.schema, "event_date").count() == 6
+
+
+def test_streams_equal_batch_while_the_store_is_folded(spark):
+    d = DriverTables(spark, SF)
+    readings, events = d.table("sensor_readings"), d.table("downtime_events")
+    root, n = tempfile.mkdtemp(prefix="pm-folding-"), 5
+    for epoch in range(n):
+        part = F.pmod(F.xxhash64("machine_id", "ts"), F.lit(n)) == epoch
+        health_stream.update_health(readings.where(part), epoch, root, pending=2)
+        cooldown_stream.update_cooldown(events.where(F.col("event_id") % n == epoch), epoch, root, "machine_id", "started_at",
+                                        ["event_id"], 7200, pending=2)
+    assert versions.pointer(spark, f"{root}/events")["folded"] == versions.pointer(spark, f"{root}/sensor_readings")["folded"] == 3
+    assert sorted(map(tuple, health_stream.health_table(spark, root).collect())) == _batch_health(readings)
+    want = greedy_cooldown(events, "machine_id", "started_at", ["event_id"], 7200)
+    assert sorted(r.event_id for r in cooldown_stream.kept_events(spark, root).collect()) == sorted(r.event_id for r in want.collect())
