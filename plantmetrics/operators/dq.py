@@ -1,7 +1,7 @@
 """Data-quality rules as Spark jobs over whole tables.
 
-Each rule returns the violating rows (or keys); ``dq_report`` evaluates many row-level
-rules in one aggregate per table (one scan) plus one grouped count per uniqueness rule.
+Each rule returns the violating rows (or keys); ``dq_report`` evaluates all rules of a table, the
+uniqueness rules too, in one scan.
 """
 
 from __future__ import annotations
@@ -86,30 +86,45 @@ def dq_rules() -> list[TableRules]:
     ]
 
 
+def _one_scan(df: DataFrame, r: TableRules) -> DataFrame:
+    """(rule, failures) of one table from a single aggregate over grouping sets: the empty set carries the row
+    rules, one set per uniqueness rule the groups of its key. Row rules are counted in flags that only the
+    empty set's group sums up, and map tasks aggregate before the one exchange by set and key."""
+    rules = {f"not_null({c})": F.col(c).isNull() for c in r.not_null}
+    rules |= {f"accepted_range({c},{lo},{hi})": ~_in_range(F.col(c), lo, hi) for c, (lo, hi) in r.ranges.items()}
+    rules |= {f"accepted_values({c})": ~F.col(c).isin(vals) for c, vals in r.values.items()}
+    keys = {f"unique({c})": [c] for c in r.unique}
+    keys |= {f"unique_combination({','.join(cols)})": cols for cols in r.unique_combos}
+    counts = [F.count_if(bad).alias(name) for name, bad in rules.items()]
+    if not keys:
+        one = df.agg(*counts)
+    else:
+        columns = list(dict.fromkeys(c for cols in keys.values() for c in cols))
+        # copies of the key columns are what the sets null out, so the rules see the rows as they are
+        copies = {c: f"_key_{i}" for i, c in enumerate(columns)}
+        rows = df.select("*", *[F.col(c).alias(k) for c, k in copies.items()])
+        sets = [[], *dict.fromkeys(tuple(copies[c] for c in cols) for cols in keys.values())]
+        groups = rows.groupingSets([[F.col(k) for k in s] for s in sets], *copies.values()).agg(
+            F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n"), *counts)
+
+        def number(cols):           # a bit per key column, 1 where the set leaves it out
+            return sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in cols)
+
+        whole = F.col("_set") == number([])
+        out = [F.coalesce(F.sum(F.when(whole, F.col(f"`{name}`"))), F.lit(0)).alias(name) for name in rules]
+        for name, cols in keys.items():
+            twice = (F.col("_set") == number(cols)) & (F.col("_n") > 1)
+            if name.startswith("unique("):      # a null key is not_null's business
+                twice = twice & F.col(copies[cols[0]]).isNotNull()
+            out.append(F.count_if(twice).alias(name))
+        one = groups.agg(*out)
+    return one.unpivot([], one.columns, "rule", "failures").select(
+        F.lit(r.name).alias("table_name"), "rule", F.col("failures").cast("long").alias("failures"))
+
+
 def dq_report(tables: dict[str, DataFrame], rules: list[TableRules]) -> DataFrame:
-    """(table_name, rule, failures) for every rule; one scan per table for row rules."""
-    parts = []
-    for r in rules:
-        df = tables[r.name]
-        aggs = []
-        for c in r.not_null:
-            aggs.append(F.count_if(F.col(c).isNull()).alias(f"not_null({c})"))
-        for c, (lo, hi) in r.ranges.items():
-            aggs.append(F.count_if(~_in_range(F.col(c), lo, hi)).alias(f"accepted_range({c},{lo},{hi})"))
-        for c, vals in r.values.items():
-            aggs.append(F.count_if(~F.col(c).isin(vals)).alias(f"accepted_values({c})"))
-        if aggs:
-            one = df.agg(*aggs)
-            names = one.columns
-            parts.append(one.unpivot([], names, "rule", "failures").select(
-                F.lit(r.name).alias("table_name"), "rule", F.col("failures").cast("long").alias("failures")))
-        for c in r.unique:
-            parts.append(unique(df, c).agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit(r.name).alias("table_name"), F.lit(f"unique({c})").alias("rule"), "failures"))
-        for cols in r.unique_combos:
-            parts.append(unique_combination(df, cols).agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit(r.name).alias("table_name"), F.lit(f"unique_combination({','.join(cols)})").alias("rule"),
-                "failures"))
+    """(table_name, rule, failures) for every rule; each table is scanned once."""
+    parts = [_one_scan(tables[r.name], r) for r in rules if r.not_null or r.ranges or r.values or r.unique or r.unique_combos]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
