@@ -687,6 +687,7 @@ q("upsert_recommendations", f"""SELECT rec_id, machine_id, machine_name, generat
 q("cooldown_events", "SELECT event_id, machine_id, started_at, ended_at, reason_code FROM cooldown_kept")
 q("derive_downtime", "SELECT * FROM derived_downtime")
 q("csv_clean", "SELECT * FROM sig_clean")
+q("csv_rejected", "SELECT UDI, 'Rotational speed [rpm]' AS reason FROM sig WHERE l_linenumber = 7")
 q("signal_features", "SELECT * FROM sig_features")
 q("signal_stats", """SELECT rows, round(temp_mean, 9) AS temp_mean, round(temp_std, 9) AS temp_std,
  round(rpm_mean, 9) AS rpm_mean, round(rpm_std, 9) AS rpm_std, round(pwr_mean, 9) AS pwr_mean,

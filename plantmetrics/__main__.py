@@ -3,6 +3,8 @@
   run     build (or incrementally refresh) the marts, patterns, recommendations and queue
   dq      print the data-quality report
   stream  keep refreshing whenever new sensor files arrive (Ctrl+C to stop)
+  counts  row counts of the stored tables, from their files' footers
+  drop    delete stored derived tables (``--table`` names some)
 
 Sources: ``--driver DIR`` (the test tables via the adapter) or ``--parquet DIR`` (one
 folder per raw table and the two of vectors). ``--as-of`` defaults to the day of each refresh. The session comes from the environment (spark-submit) or a local
@@ -23,10 +25,11 @@ def _source(spark, a):
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="plantmetrics")
-    ap.add_argument("command", choices=["run", "dq", "stream"])
+    ap.add_argument("command", choices=["run", "dq", "stream", "counts", "drop"])
     ap.add_argument("--driver")
     ap.add_argument("--parquet")
     ap.add_argument("--out", help="output folder for the marts")
+    ap.add_argument("--table", action="append", help="table for drop (default: all derived ones)")
     ap.add_argument("--as-of", type=dt.date.fromisoformat)
     ap.add_argument("--full", action="store_true", help="full refresh instead of the trailing window")
     ap.add_argument("--readings", help="folder watched by the stream command")
@@ -47,6 +50,12 @@ def main(argv=None) -> None:
     if a.command == "run":
         from plantmetrics.plans import ordered_run
         print(json.dumps(ordered_run.run(spark, src, a.out, params(), full=a.full)))
+    elif a.command == "counts":
+        from plantmetrics.plans import ordered_run
+        ordered_run.stored_counts(spark, a.out).show(100, truncate=False)
+    elif a.command == "drop":
+        from plantmetrics.plans import ordered_run
+        print(json.dumps(ordered_run.drop(spark, a.out, a.table)))
     elif a.command == "dq":
         from plantmetrics.operators.dq import dq_report, dq_rules
         from plantmetrics.plans.model import Model

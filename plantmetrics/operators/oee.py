@@ -187,3 +187,37 @@ def production_summary(oee: DataFrame) -> DataFrame:
                  F.avg("availability_rate").cast(RATE).alias("avg_availability"),
                  F.avg("performance_rate").cast(RATE).alias("avg_performance"),
                  F.avg("quality_rate").cast(RATE).alias("avg_quality")))
+
+
+_WEEK = ["machine_id", "machine_name", "production_line", "machine_type", "week_start"]
+_MEANS = {"oee": "avg_oee", "availability_rate": "avg_availability", "performance_rate": "avg_performance", "quality_rate": "avg_quality"}
+SUMMARY_COLUMNS = [*_WEEK, "days_in_week", "avg_oee", "min_oee", "max_oee", "total_units_produced", "total_good_units",
+                   "total_defects", "total_downtime_hrs", "avg_availability", "avg_performance", "avg_quality"]
+
+
+def weekly_partials(oee: DataFrame) -> DataFrame:
+    """The weekly roll-up of some days in a form that merges: sums and counts in place of means."""
+    from plantmetrics.functions.columns import monday_of
+    return oee.groupBy(*_WEEK[:-1], monday_of("shift_date").alias("week_start")).agg(
+        F.count("shift_date").alias("days_in_week"),
+        *[F.sum(c).cast(DecimalType(15, 4)).alias(f"sum_{c}") for c in _MEANS], *[F.count(c).alias(f"n_{c}") for c in _MEANS],
+        F.min("oee").alias("min_oee"), F.max("oee").alias("max_oee"),
+        F.sum("total_units").cast(LongType()).alias("total_units_produced"),
+        F.sum("good_units").cast(LongType()).alias("total_good_units"),
+        F.sum("total_defects").cast(LongType()).alias("total_defects"),
+        F.sum("downtime_hrs").cast(DecimalType(18, 4)).alias("total_downtime_hrs"))
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """Partials of disjoint sets of days -> one row per machine and week."""
+    smallest = {"min_oee": F.min, "max_oee": F.max}
+    types = partials.schema
+    return partials.groupBy(*_WEEK).agg(*[smallest.get(c, F.sum)(c).cast(types[c].dataType).alias(c)
+                                          for c in partials.columns if c not in _WEEK])
+
+
+def weekly_rows(partials: DataFrame) -> DataFrame:
+    """Merged partials -> the rows of ``production_summary``."""
+    means = [F.try_divide(F.col(f"sum_{c}"), F.col(f"n_{c}").cast(DecimalType(20, 0))).cast(DecimalType(9, 8)).cast(RATE).alias(name)
+             for c, name in _MEANS.items()]
+    return partials.select("*", *means).select(*SUMMARY_COLUMNS)

@@ -43,16 +43,21 @@ CSV_SCHEMA = StructType([
 _REQUIRED = [f.name for f in CSV_SCHEMA.fields if f.name != "UDI"]
 
 
+def judge_signal_csv(lines: DataFrame, col: str = "line") -> DataFrame:
+    """CSV text lines -> typed columns, ``line`` and ``reason``: the first required column that is missing or does
+    not parse, NULL for a line to keep. ``line`` is NULL where the line is kept."""
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CSV_SCHEMA.fields)
+    parsed = lines.select(F.from_csv(F.col(col), ddl, {"mode": "PERMISSIVE"}).alias("r"), F.col(col).alias("line"))
+    reason = F.coalesce(*[F.when(F.col(f"`{c}`").isNull(), F.lit(c)) for c in _REQUIRED])
+    rows = parsed.select("r.*", "line").withColumn("reason", reason)
+    return rows.withColumn("line", F.when(F.col("reason").isNotNull(), F.col("line")))
+
+
 def parse_signal_csv(lines: DataFrame, col: str = "line") -> DataFrame:
     """CSV text lines -> typed rows; lines with a number or a flag that does not parse are skipped
-    (the loader's DROPMALFORMED behaviour, expressed on a string column)."""
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CSV_SCHEMA.fields)
-    parsed = lines.select(F.from_csv(F.col(col), ddl, {"mode": "PERMISSIVE"}).alias("r"))
-    rows = parsed.select("r.*")
-    cond = F.lit(True)
-    for c in _REQUIRED:
-        cond = cond & F.col(f"`{c}`").isNotNull()
-    return rows.where(cond)
+    (the loader's DROPMALFORMED behaviour, expressed on a string column). ``sources.csv_load`` keeps
+    the skipped lines in a side table."""
+    return judge_signal_csv(lines, col).where("reason is null").select(*[f"`{f.name}`" for f in CSV_SCHEMA.fields])
 
 
 def signal_features(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -97,10 +97,11 @@ def write_version(spark: SparkSession, path: str, write, append: bool = False) -
     return f"{path}/v={number}"
 
 
-def write_days(rows: DataFrame, path: str, day: str, replace_all: bool = False, highest: str | None = None) -> None:
+def write_days(rows: DataFrame, path: str, day: str, replace_all: bool = False, highest: str | None = None,
+               note: dict | None = None) -> None:
     """Commit ``rows``, split by their date column ``day``: the days they hold take the place of those days in
     the table, all other days stay (``replace_all``: go). The pointer remembers the largest value that the
-    column ``highest`` ever had, so that ids can go on from there without a look at the table."""
+    column ``highest`` ever had, so that ids can go on from there without a look at the table; it carries ``note`` too."""
     spark = rows.sparkSession
     before, number = pointer(spark, path), _next(spark, path)
     target = f"{path}/v={number}"
@@ -109,7 +110,7 @@ def write_days(rows: DataFrame, path: str, day: str, replace_all: bool = False,
     found = [s.getPath().getName().split("=", 1)[1] for s in fs.listStatus(hadoop.Path(target)) if s.isDirectory()]
     days = {} if replace_all or not before else dict(before["days"])
     days |= {d: number for d in found}
-    told = {"days": days}
+    told = {**(note or {}), "days": days}
     if highest:
         new = spark.read.parquet(target).agg(F.max(highest)).first()[0] if found else None
         told["highest"] = max(new or 0, (before or {}).get("highest") or 0)

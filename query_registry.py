@@ -293,6 +293,19 @@ def _q_csv_clean(spark, sf):
     return parse_signal_csv(DriverTables(spark, sf).signal_csv_lines())
 
 
+@register("csv_rejected")
+def _q_csv_rejected(spark, sf):
+    """SRC-3: the lines that the loader skips, from the side table that the pass over all lines wrote."""
+    import uuid
+
+    from plantmetrics.operators.signals import judge_signal_csv
+    from plantmetrics.session import ensure_checkpoint_dir
+    from plantmetrics.sources.csv_load import load_csv
+    from plantmetrics.sources.driver import DriverTables
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    return load_csv(judge_signal_csv(DriverTables(spark, sf).signal_csv_lines()), path).rejected.select("UDI", "reason")
+
+
 @register("signal_features")
 def _q_signal_features(spark, sf):
     """FN-M2: °C and shaft power from the parsed trace rows."""
