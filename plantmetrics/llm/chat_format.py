@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plantmetrics.llm.common import chunks, let, running
+
 START, SEP, END, NEWLINE = "<|im_start|>", "<|im_sep|>", "<|im_end|>\n", "<|n|>"
 
 
@@ -48,11 +50,9 @@ def chat_format(turns: DataFrame, loss_roles: tuple[str, ...] = ("assistant",),
 
     pieces = gathered.select("conv_id", F.transform("turns", piece).alias("pieces"))
     formatted = F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"], p["tail"])), "")
-    # running offsets: one pass that carries the position and appends each span
-    spans = F.expr("""aggregate(pieces, named_struct('at', 0L, 'spans', cast(array() as array<struct<start: bigint, size: bigint>>)),
-        (a, p) -> named_struct('at', a.at + length(p.head) + length(p.body) + length(p.tail),
-          'spans', if(p.counts, concat(a.spans, array(named_struct('start', a.at + length(p.head), 'size', cast(length(p.body) as bigint)))), a.spans)),
-        a -> a.spans)""")
+    spans = F.expr(running(
+        "pieces", "length(x.head) + length(x.body) + length(x.tail)", "x.counts",
+        "named_struct('start', {at} + length(x.head), 'size', cast(length(x.body) as bigint))", "struct<start: bigint, size: bigint>"))
     return pieces.select("conv_id", formatted.alias("formatted"), spans.alias("loss"))
 
 
@@ -68,6 +68,11 @@ def read_back(formatted: DataFrame) -> DataFrame:
         role = unescape(F.replace(role, F.lit(NEWLINE), F.lit("\n")))
         return F.transform(F.split(body, r"\Q" + SEP + r"\E", -1), lambda t: F.struct(role.alias("role"), unescape(t).alias("text")))
 
-    loss = F.array_join(F.transform("loss", lambda s: unescape(F.substr(F.col("formatted"), (s["start"] + 1).cast("int"), s["size"].cast("int")))), "")
+    # finding a code point walks the text, so spans are cut from slices of it
+    stop = "element_at(c, -1).start + element_at(c, -1).size"
+    near = let("__l", "loss", f"transform({chunks('__l')}, c -> named_struct('at', c[0].start, 'of', c, "
+               f"'t', substr(formatted, cast(c[0].start + 1 as int), cast({stop} - c[0].start as int))))")
+    parts = F.expr(f"flatten(transform({near}, c -> transform(c.of, s -> substr(c.t, cast(s.start - c.at + 1 as int), cast(s.size as int)))))")
+    loss = F.array_join(F.transform(parts, unescape), "")
     return own.select("conv_id", F.flatten(F.transform("blocks", turns)).alias("turns"), loss.alias("loss_text"),
                       F.length("formatted").cast("long").alias("formatted_chars"))

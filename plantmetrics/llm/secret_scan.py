@@ -32,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantmetrics.llm.common import cut
+from plantmetrics.llm.common import chunks, cut, let, running
 
 #: Fixed patterns: kind, expression, and which matches stay.
 ASSIGN = (r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"""
@@ -67,11 +67,10 @@ def _matches(regex: str, group: int = 0) -> tuple[Column, Column]:
 
 def _spans(pieces: str, found: str) -> Column:
     """array<struct<s, e, t>>: offsets from the lengths of what lies between the matches."""
-    return F.expr(f"""aggregate(arrays_zip({pieces}, {found}),
-        named_struct('at', 0, 'out', cast(array() as array<struct<s: int, e: int, t: string>>)),
-        (a, x) -> named_struct('at', a.at + length(x.{pieces}) + coalesce(length(x.{found}), 0),
-          'out', if(x.{found} is null, a.out, concat(a.out, array(named_struct('s', a.at + length(x.{pieces}),
-            'e', a.at + length(x.{pieces}) + length(x.{found}), 't', x.{found}))))), a -> a.out)""")
+    start = f"cast({{at}} + length(x.{pieces}) as int)"
+    return F.expr(running(
+        f"arrays_zip({pieces}, {found})", f"length(x.{pieces}) + coalesce(length(x.{found}), 0)", f"x.{found} is not null",
+        f"named_struct('s', {start}, 'e', {start} + length(x.{found}), 't', x.{found})", "struct<s: int, e: int, t: string>"))
 
 
 def _random(codes: str, size: int) -> str:
@@ -180,16 +179,20 @@ def secret_scan(docs: DataFrame, fdr: float = FDR, text: str = "text", key: str
         parts[f"{name}_p"], parts[f"{name}_m"] = _matches(regex)
     parts["a_v"] = _matches(ASSIGN, 1)[1]
     own = own.select("doc_id", *[c.alias(n) for n, c in parts.items()])
-    kept = {"a": "length(a_v[i]) >= 6", "k": "length(x.t) >= 20", "h": "true"}
+    # what stays; the values of assignments go along with their spans
+    kept = {"a": "filter(zip_with(a, a_v, (x, v) -> if(length(v) >= 6, x, null)), x -> x is not null)",
+            "k": "filter(k, x -> length(x.t) >= 20)", "h": "h"}
     own = own.select("doc_id", "a_v", *[_spans(f"{n}_p", f"{n}_m").alias(n) for n in "akh"], _spans("r_p", "r_m").alias("runs"))
-    base = [F.expr(f"transform(filter({n}, (x, i) -> {cond}), x -> named_struct('s', x.s, 'e', x.e, 'kind', {k}))")
-            for k, (n, cond) in enumerate(kept.items())]
+    base = [F.expr(f"transform({some}, x -> named_struct('s', x.s, 'e', x.e, 'kind', {k}))") for k, some in enumerate(kept.values())]
     coded = cut(own.select("doc_id", F.array_sort(F.concat(*base)).alias("base"), _coded().alias("runs")))
     scanned = cut(coded.select("doc_id", "base", _scored(_pairs(coded)).alias("runs")))
     limits = _cutoffs(scanned, fdr)
     accept = " or ".join(f"(r.enc = {e} and r.len = {c} and r.bin >= {b})" for (e, c), b in sorted(limits.items())) or "false"
-    added = F.expr(f"""transform(filter(runs, r -> ({accept}) and not exists(base, b -> b.s < r.e and r.s < b.e)),
-        r -> named_struct('s', r.s, 'e', r.e, 'kind', 3))""")
+    # a run looks at the slices of base spans that reach into it, then at their spans
+    slices = let("__b", "base", f"transform({chunks('__b')}, c -> named_struct('s', c[0].s, 'e', array_max(c.e), 'of', c))")
+    overlaps = "exists(__sl, c -> c.s < r.e and r.s < c.e and exists(c.of, b -> b.s < r.e and r.s < b.e))"
+    added = F.expr(let("__sl", slices, f"""transform(filter(runs, r -> ({accept}) and not {overlaps}),
+        r -> named_struct('s', r.s, 'e', r.e, 'kind', 3))"""))
     spans = F.expr("array_sort(concat(base, added), (x, y) -> case when x.s != y.s then x.s - y.s else x.kind - y.kind end)")
     done = scanned.select("doc_id", "base", added.alias("added")).select("doc_id", spans.alias("spans"))
     return done.select("doc_id", F.transform("spans", lambda x: F.struct(
