@@ -90,7 +90,8 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixed patterns and random-looking runs in every document."""
     found = secrets.secret_scan(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda x: x["kind"] < 3)
-    count = {k: F.size(F.filter("spans", lambda x, i=i: x["kind"] == i)).cast("long") for i, k in enumerate(secrets.KINDS)}
+    # expressions, as a lambda's second parameter would be taken for the position in the array
+    count = {k: F.expr(f"cast(size(filter(spans, x -> x.kind = {i})) as long)") for i, k in enumerate(secrets.KINDS)}
     return found.select("doc_id", *[count[k].alias(f"n_{k}") for k in ("assign", "access", "hex")],
                         sha(secrets.span_text(base)).alias("base_sha256"), secrets.span_text(F.col("spans")).alias("spans"))
 
