@@ -77,6 +77,12 @@ def test_trace_lines_are_kept_or_rejected_with_a_reason(spark, tmp_path):
     assert (nothing.n_kept, nothing.kept.count(), nothing.rejected.count()) == (0, 0, 0)
 
 
+def test_trace_lines_are_parsed_once(spark):
+    """A filter on the parsed fields does not parse the line again for every field it names."""
+    rows = parse_signal_csv(DriverTables(spark, SF).signal_csv_lines())
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
+
+
 def test_csv_source_keeps_rejected_lines_with_a_reason(spark, tmp_path):
     root, d = _dump(spark, "csv")
     bad = ["not-a-number,Broken,LATHE,LINE_A,100,2020-01-01", "7,NoDate,LATHE,LINE_A,100,no-date", "8,Short", ",NoId,LATHE,LINE_A,100,2020-01-01"]
