@@ -96,6 +96,9 @@ def upsert_recommendations(existing: DataFrame, new: DataFrame, highest: int | N
     """Delete each machine's rows generated on the run day, insert the new rows with
     rec_id continuing after the current maximum; every other day is kept. With ``highest``, the
     largest rec_id so far, ``existing`` need only hold the run days."""
+    # written once: its keys, the order of its ids and its rows are all read from there
+    ensure_checkpoint_dir(new.sparkSession)
+    new = new.checkpoint()
     new_keys = new.select("machine_id", F.to_date("generated_at").alias("_d")).distinct()
     kept = (existing.withColumn("_d", F.to_date("generated_at"))
             .join(new_keys, ["machine_id", "_d"], "left_anti").select(*existing.columns))
