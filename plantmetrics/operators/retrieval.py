@@ -2,8 +2,8 @@
 
 Similarity search is exact. The query vectors (one per at-risk machine) are dealt by hash into
 chunks of about QUERY_BYTES, one chunk for any fleet that fits; each chunk is a broadcast
-matrix, held alone: the next one is fetched when the chunk's result is stored. Patterns stay
-where they are: each task scores its patterns block-wise with numpy, keeping only the k best
+matrix, held alone: the next one is fetched when the chunk's result is stored. Patterns are
+dealt evenly to a few tasks a core: each scores its patterns in tiles with numpy, keeping only the k best
 per query, and the tasks' candidates are merged in two levels (``vector_index.merge_levels``).
 No cross join is planned and no pair is materialised beyond the per-task top-k. A stored
 pattern table is searched through its index instead (``vector_index``), which skips lists.
@@ -23,11 +23,11 @@ from pyspark.sql.types import (
 
 from plantmetrics.functions.columns import hours_between
 from plantmetrics.operators.ids import assign_ids
-from plantmetrics.operators.vector_index import merge_levels, unit_rows
+from plantmetrics.operators.vector_index import Best, merge_levels, unit_rows
 from plantmetrics.params import DEFAULT, Params
 
 QUERY_BYTES = 256 * 1024 * 1024          # size of one chunk's query matrix
-BLOCK_CELLS = 4 * 1024 * 1024            # patterns x queries scored at once per task
+TASKS_PER_CORE = 4
 
 
 def failure_history(downtime_raw: DataFrame, machines: DataFrame, health: DataFrame, oee: DataFrame,
@@ -147,41 +147,25 @@ _OUT = StructType([
 
 
 def _topk_scorer(bc, k: int):
-    """mapInArrow function: per task, keep the k best patterns per query.
+    """mapInArrow function: per task, keep the k best patterns per query (``vector_index.Best``).
 
     State per task is bounded: k candidates per query and their payload rows, whatever
-    the number of patterns the task reads. Similarities are compared as whole billionths.
+    the number of patterns the task reads.
     """
 
     def run(batches):
         qids, qmat = bc.value
-        nq, best, pay = len(qids), None, None
-        block = max(1, BLOCK_CELLS // max(nq, 1))
+        best = None
         for b in batches:
-            if not b.num_rows or not nq:
+            if not b.num_rows or not len(qids):
                 continue
-            b = pa.Table.from_batches([b]).sort_by("pattern_id").combine_chunks()
-            emb, pids = unit_rows(b.column("embedding")), b.column("pattern_id").to_numpy()
-            base, rest = 0 if pay is None else len(pay), b.drop_columns(["embedding"])
-            pay = rest if pay is None else pa.concat_tables([pay, rest])
-            for s in range(0, len(b), block):
-                sims = qmat @ emb[s:s + block].T                      # (queries, patterns)
-                m = sims.shape[1]
-                keys = np.rint(sims * 1e9).astype(np.int64)
-                # one number per pair: similarity first, then the lower pattern_id
-                order = np.argpartition(np.arange(m) - keys * m, min(k, m) - 1, axis=1)[:, :k]
-                new = [np.take_along_axis(keys, order, 1), pids[s + order], np.take_along_axis(sims, order, 1), base + s + order]
-                best = new if best is None else [np.hstack(x) for x in zip(best, new, strict=True)]
-                order = np.lexsort((best[1], -best[0]), axis=1)[:, :k]
-                best = [np.take_along_axis(x, order, 1) for x in best]
-            # drop payload rows no longer referenced
-            keep, inverse = np.unique(best[3], return_inverse=True)
-            pay, best[3] = pay.take(keep), inverse.reshape(best[3].shape)
-        if best is None:
-            return
-        out = pay.take(best[3].ravel()).append_column("machine_id", pa.array(np.repeat(qids, best[3].shape[1]), pa.int32()))
-        out = out.append_column("sim", pa.array(best[2].ravel())).append_column("sim_key", pa.array(best[0].ravel()))
-        yield from out.select([f.name for f in _OUT.fields]).combine_chunks().to_batches()
+            b = pa.Table.from_batches([b]).combine_chunks()
+            best = best or Best(qmat, k)
+            refs = best.extend(b.drop_columns(["embedding"]))
+            best.offer(unit_rows(b.column("embedding")), b.column("pattern_id").to_numpy(), refs, np.arange(len(qids)))
+            best.trim()
+        if best is not None:
+            yield from best.table(qids).select([f.name for f in _OUT.fields]).to_batches()
 
     return run
 
@@ -191,7 +175,10 @@ def _score_chunk(queries: DataFrame, patterns: DataFrame, k: int):
     matrix = unit_rows(tbl.column("embedding")) if len(tbl) else None
     bc = patterns.sparkSession.sparkContext.broadcast((tbl.column("machine_id").to_numpy(), matrix))
     cols = ["pattern_id", "embedding", "machine_type", "event_date", "reason_code", "downtime_hrs"]
-    return patterns.select(*cols).where("embedding is not null").mapInArrow(_topk_scorer(bc, k), _OUT), bc
+    # even tasks, a few for each core: a task's work is its patterns times all queries of the chunk, not its bytes
+    tasks = TASKS_PER_CORE * patterns.sparkSession.sparkContext.defaultParallelism
+    dealt = patterns.select(*cols).where("embedding is not null").repartition(tasks, "pattern_id")
+    return dealt.mapInArrow(_topk_scorer(bc, k), _OUT), bc
 
 
 def similar_failures(queries: DataFrame, patterns: DataFrame, k: int = 3, query_bytes: int = QUERY_BYTES) -> DataFrame:
@@ -207,10 +194,9 @@ def similar_failures(queries: DataFrame, patterns: DataFrame, k: int = 3, query_
     best = None
     for c in range(chunks):
         scored, bc = _score_chunk(queries.where(place == c), patterns, k)
-        found = merge_levels(scored, k)
-        if chunks > 1:      # one chunk at a time: its result is stored before the next one is fetched
-            found = found.checkpoint()
-            bc.destroy()
+        # stored before the next chunk is fetched, so nothing that reads the result scores anew
+        found = merge_levels(scored, k).checkpoint()
+        bc.destroy()
         best = found if best is None else best.unionByName(found)
     return best.select("machine_id", "rank", "pattern_id", "machine_type", "event_date", "reason_code",
                        "downtime_hrs", F.col("sim").alias("similarity"))

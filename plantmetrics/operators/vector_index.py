@@ -165,46 +165,110 @@ class Index:
         return np.ceil(most * 1e9).astype(np.int64) + SLACK
 
 
+#: Queries and patterns that are scored at once.
+TILE = 2048, 1024
+#: Below every key that a similarity can have.
+LOWEST = np.iinfo(np.int64).min
+
+
+class Best:
+    """The k best patterns so far of each query, and the payload rows they point to.
+
+    Similarities are compared as whole billionths, ties go to the lower id. A tile is scored in single precision
+    first; only cells that reach a query's k-th similarity so far (less ``slack``, twice what single precision can
+    be off by) are scored exactly. ``least`` holds keys that the k-th best is known to reach. State: k rows a query."""
+
+    def __init__(self, q: np.ndarray, k: int, least: np.ndarray | None = None) -> None:
+        self.q, self.q32, self.k, self.pay, self.base = q, q.astype(np.float32), k, None, 0
+        self.keys = np.full((len(q), k), LOWEST)
+        self.ids, self.refs = np.zeros((len(q), k), dtype=np.int64), np.full((len(q), k), -1)
+        self.sims = np.zeros((len(q), k))
+        self.least = np.full(len(q), LOWEST) if least is None else least
+        self.slack = (q.shape[1] + 4) * 2.0**-22 + 4e-9
+
+    def _exact(self, rows: np.ndarray, x: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Similarities of pairs and their keys, in pieces of bounded size."""
+        step = max(1, (1 << 22) // self.q.shape[1])
+        sims = [np.einsum("ij,ij->i", self.q[rows[s:s + step]], x[cols[s:s + step]]) for s in range(0, len(rows), step)]
+        out = np.concatenate(sims) if sims else np.zeros(0)
+        return out, np.rint(out * 1e9).astype(np.int64)
+
+    def _tile(self, some: np.ndarray, x: np.ndarray, x32: np.ndarray, pids: np.ndarray, refs: np.ndarray) -> None:
+        k, m = self.k, len(x)
+        sims = self.q32[some] @ x32.T
+        known = np.maximum(self.keys[some, -1], self.least[some])
+        fresh = np.flatnonzero(known == LOWEST)
+        if len(fresh) and m >= k:      # any k patterns give a first floor
+            near = np.argpartition(-sims[fresh], k - 1, axis=1)[:, :k]
+            known[fresh] = self._exact(np.repeat(some[fresh], k), x, near.ravel())[1].reshape(-1, k).min(axis=1)
+        floor = (known / 1e9 - self.slack).astype(np.float32)
+        row, col = np.divmod(np.flatnonzero(~(sims < floor[:, None])), m)
+        exact, key = self._exact(some[row], x, col)
+        at = some[row]
+        last, last_id = self.keys[at, -1], self.ids[at, -1]
+        wins = (key >= known[row]) & ((key > last) | ((key == last) & (pids[col] < last_id)) | (self.refs[at, -1] < 0))
+        if not wins.any():
+            return
+        at, key, exact, col = at[wins], key[wins], exact[wins], col[wins]
+        old = np.unique(at)
+        held = self.refs[old] >= 0
+        cols = [np.r_[np.repeat(old, k)[held.ravel()], at], np.r_[self.keys[old][held], key], np.r_[self.ids[old][held], pids[col]],
+                np.r_[self.sims[old][held], exact], np.r_[self.refs[old][held], refs[col]]]
+        order = np.lexsort((cols[2], -cols[1], cols[0]))
+        cols = [c[order] for c in cols]
+        first = np.flatnonzero(np.r_[True, cols[0][1:] != cols[0][:-1]])
+        rank = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
+        cols, rank = [c[rank < k] for c in cols], rank[rank < k]
+        for state, values in zip((self.keys, self.ids, self.sims, self.refs), cols[1:], strict=True):
+            state[cols[0], rank] = values
+
+    def offer(self, x: np.ndarray, pids: np.ndarray, refs: np.ndarray, asks: np.ndarray) -> None:
+        """Patterns (unit rows, ids, payload rows) for the queries ``asks``."""
+        x32 = x.astype(np.float32)
+        for p in range(0, len(x), TILE[1]):
+            part = slice(p, p + TILE[1])
+            for s in range(0, len(asks), TILE[0]):
+                self._tile(asks[s:s + TILE[0]], x[part], x32[part], pids[part], refs[part])
+
+    def extend(self, payload: pa.Table) -> np.ndarray:
+        """Hold a batch's payload rows; their numbers."""
+        self.base = 0 if self.pay is None else len(self.pay)
+        self.pay = payload if self.pay is None else pa.concat_tables([self.pay, payload])
+        return self.base + np.arange(len(payload))
+
+    def trim(self) -> None:
+        """Drop payload rows that are no longer referred to."""
+        held = self.refs >= 0
+        keep, inverse = np.unique(self.refs[held], return_inverse=True)
+        self.pay, self.refs[held] = self.pay.take(keep), inverse.ravel()
+
+    def table(self, names: np.ndarray) -> pa.Table:
+        """Payload, ``machine_id``, ``sim`` and ``sim_key`` of all that is held."""
+        held = self.refs >= 0
+        owner = np.broadcast_to(np.asarray(names)[:, None], held.shape)[held]
+        return self.pay.take(self.refs[held]).append_column("machine_id", pa.array(owner, pa.int32())).append_column(
+            "sim", pa.array(self.sims[held])).append_column("sim_key", pa.array(self.keys[held])).combine_chunks()
+
+
 def _scorer(bc, k: int):
     """Per task the k best patterns of each query among the lists that it wants."""
     def run(batches):
-        ids, q, wanted = bc.value
-        best, pay, base = None, None, 0
+        ids, q, wanted, least = bc.value
+        best = None
         for b in batches:
             if not b.num_rows:
                 continue
             t = pa.Table.from_batches([b]).combine_chunks()
             x, pids, lists = unit_rows(t.column("embedding")), t.column("pattern_id").to_numpy(), t.column("list_id").to_numpy()
-            new = []
+            best = best or Best(q, k, least)
+            refs = best.extend(t.drop_columns(["embedding", "list_id"]))
             for one in np.unique(lists):
                 asks, at = wanted.get(int(one)), np.flatnonzero(lists == one)
-                if asks is None:
-                    continue
-                for s in range(0, len(asks), max(1, (1 << 22) // len(at))):
-                    some = asks[s:s + max(1, (1 << 22) // len(at))]
-                    sims = q[some] @ x[at].T
-                    keys = np.rint(sims * 1e9).astype(np.int64)
-                    # similarity first, then the lower id; the k best of this piece
-                    order = np.lexsort((np.broadcast_to(pids[at], keys.shape), -keys), axis=1)[:, :k]
-                    new.append([np.repeat(some, order.shape[1]), np.take_along_axis(keys, order, 1).ravel(), pids[at][order].ravel(),
-                                np.take_along_axis(sims, order, 1).ravel(), base + at[order].ravel()])
-            if not new:
-                continue
-            rest = t.drop_columns(["embedding", "list_id"])
-            pay = rest if pay is None else pa.concat_tables([pay, rest])
-            cols = [np.concatenate(c) for c in zip(*([best] if best is not None else []), *new, strict=True)]
-            order = np.lexsort((cols[2], -cols[1], cols[0]))
-            cols = [c[order] for c in cols]
-            first = np.flatnonzero(np.r_[True, cols[0][1:] != cols[0][:-1]])
-            rank = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
-            best = [c[rank < k] for c in cols]
-            # payload of what is still among the best
-            keep, inverse = np.unique(best[4], return_inverse=True)
-            pay, best[4], base = pay.take(keep), inverse, len(keep)
+                if asks is not None:
+                    best.offer(x[at], pids[at], refs[at], asks)
+            best.trim()
         if best is not None:
-            out = pay.take(best[4]).append_column("machine_id", pa.array(ids[best[0]], pa.int32())).append_column(
-                "sim", pa.array(best[3])).append_column("sim_key", pa.array(best[1]))
-            yield from out.combine_chunks().to_batches()
+            yield from best.table(ids).to_batches()
     return run
 
 
@@ -218,10 +282,11 @@ def merge_levels(candidates: DataFrame, k: int, groups: int = GROUPS) -> DataFra
     return some.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k)
 
 
-def _candidates(index: Index, ids, q, want: np.ndarray, payload: list[str], k: int):
-    """Candidates of one pass and the broadcast they need; ``want`` marks (query, list)."""
+def _candidates(index: Index, ids, q, want: np.ndarray, payload: list[str], k: int, least: np.ndarray | None = None):
+    """Candidates of one pass and the broadcast they need; ``want`` marks (query, list), ``least`` holds the
+    keys that an earlier pass has found k patterns for."""
     lists = np.flatnonzero(want.any(0))
-    bc = index.spark.sparkContext.broadcast((ids, q, {int(index.ids[i]): np.flatnonzero(want[:, i]) for i in lists}))
+    bc = index.spark.sparkContext.broadcast((ids, q, {int(index.ids[i]): np.flatnonzero(want[:, i]) for i in lists}, least))
     rows = index.rows.where(F.col("list_id").isin([int(index.ids[i]) for i in lists]))
     fields = {f.name: f.dataType.simpleString() for f in index.rows.schema.fields}
     schema = ", ".join(f"{c} {fields[c]}" for c in payload) + ", machine_id int, sim double, sim_key bigint"
@@ -246,12 +311,12 @@ def _search_chunk(index: Index, chunk: DataFrame, payload: list[str], k: int) ->
     # k numbers a query of the chunk
     floors = {r.machine_id: r.least for r in first.groupBy("machine_id").agg(
         F.min("sim_key").alias("least"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= k).collect()}
-    floor = np.array([floors.get(int(i), -(1 << 62)) for i in ids], dtype=np.int64)
+    floor = np.array([floors.get(int(i), LOWEST) for i in ids], dtype=np.int64)
     more = ~probe & (bound >= floor[:, None])
     compared = int(((probe | more) * index.sizes).sum())
     if not more.any():
         return merge_levels(first, k).checkpoint(), compared, len(ids) * int(index.sizes.sum())
-    found, bc = _candidates(index, ids, q, more, payload, k)
+    found, bc = _candidates(index, ids, q, more, payload, k, floor)
     out = merge_levels(first.unionByName(found), k).checkpoint()
     bc.destroy()
     return out, compared, len(ids) * int(index.sizes.sum())

@@ -2,8 +2,8 @@
 
 Each attribute is a DataFrame built on first access and memoised as a *plan* (not
 data): touching ``oee_daily`` builds one logical plan from the scans up, which Catalyst
-optimises as a whole. Staging and marts run nothing until used. ``numbered_history`` (ids) and
-``similar_failures`` (query vectors) run a checkpoint job when they are first touched.
+optimises as a whole. Staging and marts run nothing until used. ``numbered_history`` (ids),
+``at_risk_stored`` and ``similar_failures`` (matches) run checkpoint jobs when they are first touched.
 """
 
 from __future__ import annotations
@@ -122,9 +122,16 @@ class Model:
         from plantmetrics.operators import retrieval
         return retrieval.failure_patterns(self.numbered_history, self.source.pattern_vectors)
 
+    @cached_property
+    def at_risk_stored(self) -> DataFrame:
+        """The at-risk machines, worked out once for all that is made from them."""
+        from plantmetrics.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(self.spark)
+        return self.at_risk_machines.checkpoint()
+
     @cached_property
     def query_vectors(self) -> DataFrame:
-        return self.source.machine_vectors(self.at_risk_machines.select("machine_id"))
+        return self.source.machine_vectors(self.at_risk_stored.select("machine_id"))
 
     @cached_property
     def similar_failures(self) -> DataFrame:
@@ -139,15 +146,15 @@ class Model:
     @cached_property
     def fallback_recommendations(self) -> DataFrame:
         from plantmetrics.operators import recommend
-        return recommend.fallback_recommendations(self.at_risk_machines, self.similar_failures, self.params)
+        return recommend.fallback_recommendations(self.at_risk_stored, self.similar_failures, self.params)
 
     @cached_property
     def new_recommendations(self) -> DataFrame:
         from plantmetrics.operators import recommend
-        return recommend.recommendations(self.at_risk_machines, self.similar_failures,
+        return recommend.recommendations(self.at_risk_stored, self.similar_failures,
                                          self.validated_responses, self.params)
 
     @cached_property
     def prompts(self) -> DataFrame:
         from plantmetrics.operators import recommend
-        return recommend.prompts(self.at_risk_machines, self.similar_failures)
+        return recommend.prompts(self.at_risk_stored, self.similar_failures)

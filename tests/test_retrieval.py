@@ -73,3 +73,38 @@ def test_driver_tables_similarity_in_range(spark):
     s = model(spark, SF).similar_failures
     r = s.agg(F.min("similarity"), F.max("similarity"), F.max("rank")).first()
     assert -1.0 <= r[0] <= r[1] <= 1.0 + 1e-12 and r[2] <= 3
+
+
+def test_best_keeps_the_k_nearest_with_ties_and_zero_vectors():
+    import numpy as np
+    import pyarrow as pa
+
+    from plantmetrics.operators.vector_index import Best
+    r = np.random.default_rng(4)
+    base = r.standard_normal((700, 16))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    x = np.vstack([base, base, base + 1e-8, np.zeros((3, 16))])
+    q = np.vstack([base[:40], r.standard_normal((60, 16)), np.zeros((2, 16))])
+    q[40:100] /= np.linalg.norm(q[40:100], axis=1, keepdims=True)
+    pids = r.permutation(len(x))
+    best = Best(q, 3)
+    for s in range(0, len(x), 500):
+        refs = best.extend(pa.table({"pattern_id": pids[s:s + 500]}))
+        best.offer(x[s:s + 500], pids[s:s + 500], refs, np.arange(len(q)))
+        best.trim()
+    keys = np.rint(np.einsum("qd,pd->qp", q, x) * 1e9).astype(np.int64)
+    for i in range(len(q)):
+        order = np.lexsort((pids, -keys[i]))[:3]
+        assert best.ids[i].tolist() == pids[order].tolist() and best.keys[i].tolist() == keys[i][order].tolist()
+    got = best.table(np.arange(len(q)))
+    assert got.column("pattern_id").to_numpy().reshape(-1, 3).tolist() == best.ids.tolist()
+
+
+def test_matches_are_scored_once_for_all_that_reads_them(spark):
+    """What is made from the matches reads them stored; the plan of an upsert scores nothing either."""
+    from plant_support import SF
+
+    import __spark_entry__ as entry
+    for name in ("similar_failures", "recommendations", "upsert_recommendations"):
+        plan = entry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" not in plan, name
