@@ -202,7 +202,9 @@ class Best:
             near = np.argpartition(-sims[fresh], k - 1, axis=1)[:, :k]
             known[fresh] = self._exact(np.repeat(some[fresh], k), x, near.ravel())[1].reshape(-1, k).min(axis=1)
         floor = (known / 1e9 - self.slack).astype(np.float32)
-        row, col = np.divmod(np.flatnonzero(~(sims < floor[:, None])), m)
+        asking = np.flatnonzero(~(sims.max(axis=1) < floor))      # most queries find nothing new in a tile
+        row, col = np.divmod(np.flatnonzero(~(sims[asking] < floor[asking, None])), m)
+        row = asking[row]
         exact, key = self._exact(some[row], x, col)
         at = some[row]
         last, last_id = self.keys[at, -1], self.ids[at, -1]
